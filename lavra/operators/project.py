@@ -52,7 +52,7 @@ def positional_rename(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.toDF(*names)
 
 
-def keyword_filter(df: DataFrame, column: str, terms: Iterable[str]) -> DataFrame:
+def keyword_filter(df: DataFrame, column: Column | str, terms: Iterable[str]) -> DataFrame:
     """Keep rows whose lower-cased text contains any term (null text never matches)."""
     return df.filter(lower_contains_any(column, terms))
 

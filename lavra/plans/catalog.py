@@ -512,8 +512,12 @@ def q_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
 # ----------------------------------------------------------- flagship query
 def q_procurement_report(spark: SparkSession, d: str) -> DataFrame:
     from .driver_bronze import procurement_bronze
-    from .procurement import report, silver_from_bronze, works_filter
-    return report(silver_from_bronze(works_filter(procurement_bronze(spark, d))))
+    from .procurement import BRONZE_SCHEMA, report, silver_from_bronze, works_filter
+    # bronze is a stored layer: land the derived notices as a table in the
+    # shared folder, then read it back like any bronze
+    path = scratch_path(spark, "procurement_bronze")
+    works_filter(procurement_bronze(spark, d)).write.mode("overwrite").parquet(path)
+    return report(silver_from_bronze(spark.read.schema(BRONZE_SCHEMA).parquet(path)))
 
 
 QUERIES: dict[str, Query] = {

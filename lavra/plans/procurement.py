@@ -12,11 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import config
 from ..functions import first_match_regex, parse_iso
-from ..operators import (commit_keys, flatten_json, grouped_report, keep_first, pending,
+from ..operators import (commit_keys, flatten_json, grouped_report, keep_first, keyword_filter, pending,
                          read_ledger, reset_ledger, window_diagnostics, window_plan)
 from ..operators.joins import bounded_broadcast
 from ..sources import read_envelope_pages
-from ..functions.text import lower_contains_any
 
 PAYLOAD_SCHEMA = """
 numeroControlePNCP string, numeroCompra string, processo string, anoCompra bigint,
@@ -63,25 +62,27 @@ BRONZE_ORDER = ["dt_ingestao", "source_file", "position", "payload"]
 
 def works_filter(bronze: DataFrame) -> DataFrame:
     """Keep notices whose object text holds a works keyword (lower-cased, plain substring)."""
-    obj = F.get_json_object("payload", "$.objetoCompra")
-    return bronze.filter(lower_contains_any(obj, config.WORKS_KEYWORDS))
+    return keyword_filter(bronze, F.get_json_object("payload", "$.objetoCompra"),
+                          config.WORKS_KEYWORDS)
 
 
 def silver_from_bronze(bronze: DataFrame) -> DataFrame:
     """Flatten, type, classify, keep the first copy of each control number.
 
-    Malformed payloads are kept out and flagged (``_malformed``) instead of
-    failing the whole rebuild; count them with ``malformed_count``.
+    Malformed payloads are kept out of silver instead of failing the whole
+    rebuild (count them with ``malformed_count``). They sort after every
+    valid row of their key and are dropped after the window, so the JSON is
+    parsed once: a filter before the window would be pushed down and parse
+    every payload a second time.
     """
     flat = flatten_json(bronze, "payload", PAYLOAD_SCHEMA, SILVER_FIELDS,
                         keep=LINEAGE + ["source_file", "position", "payload"],
                         corrupt_flag="_malformed")
-    flat = flat.filter(~F.col("_malformed"))
     typed = flat.withColumns({c: parse_iso(c) for c in TIMESTAMP_COLUMNS})
     typed = typed.withColumn("tipo_obra", first_match_regex("objeto_compra", config.WORKS_TYPE_RULES,
                                                            config.WORKS_TYPE_DEFAULT))
-    first = keep_first(typed, ["numero_controle_pncp"], BRONZE_ORDER)
-    return first.drop("source_file", "position", "payload", "_malformed")
+    first = keep_first(typed, ["numero_controle_pncp"], ["_malformed"] + BRONZE_ORDER)
+    return first.filter(~F.col("_malformed")).drop("source_file", "position", "payload", "_malformed")
 
 
 def malformed_count(bronze: DataFrame) -> int:
@@ -169,7 +170,6 @@ def ingest(spark: SparkSession, landing: str, lake: str, years: list[int],
 
 
 def read_bronze(spark: SparkSession, lake: str) -> DataFrame:
-    from ..sources.jsonl import read_jsonl  # noqa: F401  (bronze is Parquet here)
     try:
         return spark.read.schema(BRONZE_SCHEMA).parquet(f"{lake}/bronze")
     except Exception:
