@@ -106,8 +106,8 @@ def categories(spark: SparkSession) -> DataFrame:
 def landed_pages(spark: SparkSession, landing: str) -> DataFrame:
     """Pages landed as ``landing/<category>/<start>_<end>/page_<n>.json``.
 
-    A page that failed to download is landed as ``page_<n>.error`` (not read
-    as data) and counts as an event for its window.
+    A page that failed to download is landed as ``page_<n>.error`` holding the
+    error text (not read as data) and counts as an event for its window.
     """
     rows = read_envelope_pages(spark, f"{landing}/*/*/*.json")
     win = F.regexp_extract("source_file", r"/(\d+)/(\d{8})_(\d{8})/[^/]+$", 0)
