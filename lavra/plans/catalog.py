@@ -27,7 +27,7 @@ from ..operators import (batch_ids, coalesce_variants, contiguous_watermark, cov
                          stale_commits, union_by_name, weekly_windows, window_diagnostics,
                          window_plan, with_lineage)
 from ..operators.joins import bounded_broadcast
-from ..session import scratch_path, use_utc
+from ..session import scratch_path, spread, use_utc
 from ..sources import expand_zip, extract_links, read_delimited
 from .tables import table
 
@@ -145,7 +145,7 @@ def q_classify_regex(spark: SparkSession, d: str) -> DataFrame:
 
 def q_classify_works(spark: SparkSession, d: str) -> DataFrame:
     """The works-type and land-use rule lists over every document text."""
-    docs = table(spark, d, "documents")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     return docs.select("doc_id",
                        first_match_regex("text", config.WORKS_TYPE_RULES,
                                          config.WORKS_TYPE_DEFAULT).alias("tipo_obra"),
@@ -512,11 +512,11 @@ def q_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
 # ----------------------------------------------------------- flagship query
 def q_procurement_report(spark: SparkSession, d: str) -> DataFrame:
     from .driver_bronze import procurement_bronze
-    from .procurement import BRONZE_SCHEMA, report, silver_from_bronze, works_filter
+    from .procurement import BRONZE_SCHEMA, report, silver_from_bronze
     # bronze is a stored layer: land the derived notices as a table in the
     # shared folder, then read it back like any bronze
     path = scratch_path(spark, "procurement_bronze")
-    works_filter(procurement_bronze(spark, d)).write.mode("overwrite").parquet(path)
+    procurement_bronze(spark, d, works_only=True).write.mode("overwrite").parquet(path)
     return report(silver_from_bronze(spark.read.schema(BRONZE_SCHEMA).parquet(path)))
 
 

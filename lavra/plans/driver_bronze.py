@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import spread
 from .tables import table
 
 # Parameters of the derived bronze (not source-system values).
@@ -13,7 +14,7 @@ OBJECT_WORDS = ["pavimentação asfáltica", "obra de saneamento e ÁGUA", "refo
 SPHERES = {"F": "F", "O": "M", "P": "E"}
 
 
-def procurement_bronze(spark: SparkSession, d: str) -> DataFrame:
+def procurement_bronze(spark: SparkSession, d: str, works_only: bool = False) -> DataFrame:
     """Notice payloads from orders: one notice per order.
 
     Control number = the customer, so a customer's orders are copies and
@@ -21,10 +22,19 @@ def procurement_bronze(spark: SparkSession, d: str) -> DataFrame:
     object text is the priority plus a works phrase picked by the order key;
     the sphere comes from the order status; every 13th order has no
     ``orgaoEntidade`` (null sphere, left out of the summary).
+
+    ``works_only`` applies the works keyword filter to the object text at
+    landing time, before it is JSON-encoded (as a fetcher keeps only works
+    notices) — the same rows ``works_filter`` keeps from the payloads.
     """
-    o = table(spark, d, "orders")
+    from .. import config
+    from ..operators import keyword_filter
+    o = spread(table(spark, d, "orders"))
     k = F.col("o_orderkey")
     word = F.element_at(F.array(*[F.lit(w) for w in OBJECT_WORDS]), (k % 8 + 1).cast("int"))
+    o = o.withColumn("__obj", F.concat(F.col("o_orderpriority"), F.lit(" — "), word))
+    if works_only:
+        o = keyword_filter(o, "__obj", config.WORKS_KEYWORDS)
     sphere = F.create_map(*[x for kv in SPHERES.items() for x in map(F.lit, kv)])[F.col("o_orderstatus")]
     orgao = F.when(k % 13 != 0,
                    F.struct(F.concat(F.lit("cnpj-"), F.col("o_custkey").cast("string")).alias("cnpj"),
@@ -33,7 +43,7 @@ def procurement_bronze(spark: SparkSession, d: str) -> DataFrame:
     payload = F.to_json(F.struct(
         F.concat(F.lit("pncp-"), F.col("o_custkey").cast("string")).alias("numeroControlePNCP"),
         k.cast("string").alias("numeroCompra"),
-        F.concat(F.col("o_orderpriority"), F.lit(" — "), word).alias("objetoCompra"),
+        F.col("__obj").alias("objetoCompra"),
         F.col("o_totalprice").alias("valorTotalEstimado"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("dataPublicacaoPncp"),
         orgao.alias("orgaoEntidade")))

@@ -73,3 +73,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 __all__ = ["build_session", "use_utc", "shared_dir", "scratch_path", "path_exists",
            "local_path", "SESSION_DEFAULTS", "os"]
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin a small input over every core; large inputs pass through.
+
+    A single-row-group file is one task however many cores there are; for
+    CPU-heavy text work that is the whole job. On a cluster input splits far
+    outnumber cores and this is a no-op (no extra shuffle).
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
