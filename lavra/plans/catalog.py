@@ -80,7 +80,7 @@ EVENT_PAYLOAD_SCHEMA = ("numero bigint, tipo string, valor double, data string,
 
 def event_payloads(spark: SparkSession, d: str) -> DataFrame:
     """Nested JSON documents built from events; every 11th is not JSON at all."""
-    ev = table(spark, d, "events")
+    ev = spread(table(spark, d, "events"))
     owner = F.when(F.col("event_id") % 7 != 0,
                    F.struct(F.col("user_id").alias("usuario"),
                             F.from_json("props", "k bigint").alias("props")))
