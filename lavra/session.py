@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,16 +62,8 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence test through Hadoop's FileSystem, so it works on any store."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
-
-
-__all__ = ["build_session", "use_utc", "shared_dir", "scratch_path", "path_exists",
-           "local_path", "SESSION_DEFAULTS", "os"]
+__all__ = ["build_session", "use_utc", "shared_dir", "scratch_path", "local_path",
+           "spread", "SESSION_DEFAULTS"]
 
 
 def spread(df, min_partitions: int | None = None):
