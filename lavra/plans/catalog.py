@@ -520,6 +520,32 @@ def q_procurement_report(spark: SparkSession, d: str) -> DataFrame:
     return report(silver_from_bronze(spark.read.schema(BRONZE_SCHEMA).parquet(path)))
 
 
+def _mining_silver(spark: SparkSession, d: str) -> DataFrame:
+    from . import mining
+    from .driver_bronze import mining_attributes, mining_geometry
+    attrs = mining.attributes_rows(mining.source_filter(mining_attributes(spark, d)), "2024-01-01")
+    geom = mining.geometry_rows(mining_geometry(spark, d), "2024-01-01")
+    return mining.silver(attrs, geom)
+
+
+def q_mining_report(spark: SparkSession, d: str) -> DataFrame:
+    """Claims and area per aggregate type and phase group (source filter, keep-first, null-safe join)."""
+    from . import mining
+    return mining.report(_mining_silver(spark, d))
+
+
+def q_mining_coverage(spark: SparkSession, d: str) -> DataFrame:
+    from . import mining
+    return mining.coverage_report(_mining_silver(spark, d))
+
+
+def q_tenders_silver(spark: SparkSession, d: str) -> DataFrame:
+    """Tender CSV lines → strict parse → works filter → typed, stripped, distinct silver."""
+    from . import tenders
+    from .driver_bronze import tender_lines
+    return tenders.silver(tenders.bronze_from_lines(tender_lines(spark, d), "2024-01-01"))
+
+
 QUERIES: dict[str, Query] = {
     "keyword_filter": q_keyword_filter,
     "works_keyword_filter": q_works_keyword_filter,
@@ -565,6 +591,9 @@ QUERIES: dict[str, Query] = {
     "stream_append": q_stream_append,
     "stream_dedup": q_stream_dedup,
     "procurement_report": q_procurement_report,
+    "mining_report": q_mining_report,
+    "mining_coverage": q_mining_coverage,
+    "tenders_silver": q_tenders_silver,
 }
 
 

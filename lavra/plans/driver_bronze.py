@@ -53,3 +53,82 @@ def procurement_bronze(spark: SparkSession, d: str, works_only: bool = False) ->
                     F.lit("2024-01-01").alias("dt_ingestao"),
                     F.lit("orders").alias("source_file"),
                     k.alias("position"))
+
+
+# Mining claims derived from orders (attributes) and customers (geometry).
+OTHER_SUBSTANCE = "OURO"
+OTHER_PHASE = "DISPONIBILIDADE"
+
+
+def mining_attributes(spark: SparkSession, d: str) -> DataFrame:
+    """ESRI-like attribute rows: claim = customer (copies: one per order), FID = order.
+
+    Every 50th customer's claims have no number (null claims match each other);
+    substance and phase cycle through the source lists plus one value outside
+    them; every 9th order is outside the state.
+    """
+    from .. import config
+    o = spread(table(spark, d, "orders"))
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    subs = F.array(*[F.lit(s) for s in config.MINING_SUBSTANCES + [OTHER_SUBSTANCE]])
+    phases = F.array(*[F.lit(p) for vs, _ in config.MINING_PHASE_GROUPS for p in vs] + [F.lit(OTHER_PHASE)])
+    n_subs = len(config.MINING_SUBSTANCES) + 1
+    n_phases = sum(len(vs) for vs, _ in config.MINING_PHASE_GROUPS) + 1
+    processo = F.when(c % 50 != 0, F.concat(F.lit("P"), c.cast("string")))
+    attrs = F.create_map(
+        F.lit("PROCESSO"), processo,
+        F.lit("FID"), k.cast("string"),
+        F.lit("NUMERO"), F.concat((k % 1000).cast("string"), F.lit(".0")),
+        F.lit("ANO"), F.year("o_orderdate").cast("string"),
+        F.lit("SUBS"), F.element_at(subs, (k % n_subs + 1).cast("int")),
+        F.lit("FASE"), F.element_at(phases, (c % n_phases + 1).cast("int")),
+        F.lit("AREA_HA"), F.col("o_totalprice").cast("string"),
+        F.lit("UF"), F.when(k % 9 == 0, F.lit("MG")).otherwise(F.lit("SP")))
+    return o.select(attrs.alias("attributes"), F.lit("orders").alias("source_file"),
+                    k.alias("position"))
+
+
+def mining_geometry(spark: SparkSession, d: str) -> DataFrame:
+    """ESRI-like geometry rows from customers: a closed triangle, or no vertices every 11th."""
+    cu = spread(table(spark, d, "customer"))
+    c = F.col("c_custkey")
+    x, y = F.col("c_acctbal"), F.col("c_nationkey").cast("double")
+    ring = F.array(F.array(x, y), F.array(x + 1.0, y + 1.0), F.array(x, y))
+    rings = F.when(c % 11 == 0, F.array(F.array().cast("array<array<double>>"))).otherwise(F.array(ring))
+    return cu.select(F.create_map(F.lit("PROCESSO"), F.when(c % 50 != 0, F.concat(F.lit("P"), c.cast("string"))))
+                     .alias("attributes"),
+                     F.struct(rings.alias("rings")).alias("geometry"),
+                     F.lit("customer").alias("source_file"), c.alias("position"))
+
+
+def _br2(c):
+    """``1,234.56`` → ``1.234,56`` (two decimals, Brazilian separators)."""
+    return F.translate(F.format_number(c, 2), ",.", ".,")
+
+
+def tender_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Monthly tender CSV lines (21 ``;`` fields) from lineitem, with their period.
+
+    Every 31st order's lines carry an extra field (dropped), every 37th stop
+    after five fields (null-padded), every 10th supplier name is quoted and
+    holds a ``;``; a third of the lines are not works tenders.
+    """
+    li = spread(table(spark, d, "lineitem"))
+    k = F.col("l_orderkey")
+    s = F.col("l_suppkey").cast("string")
+    entity = F.when(F.col("l_suppkey") % 10 == 0, F.concat(F.lit('"Ent'), s, F.lit(';X"'))) \
+              .otherwise(F.concat(F.lit("Ent"), s))
+    obj = F.when(F.col("l_linenumber") % 3 == 0, F.lit("Outro")).otherwise(F.lit("Obras e servicos de engenharia"))
+    day = F.when(k % 29 == 0, F.lit("31/02/2023")).otherwise(F.date_format("l_shipdate", "d/M/yyyy"))
+    proposal = F.when(F.col("l_linenumber") == 7, F.lit("NA")).otherwise(_br2(F.col("l_tax")))
+    cells = [F.lit("SP"), entity, k.cast("string"), F.lit("conc"), obj, F.lit("desc"),
+             F.col("l_partkey").cast("string"), F.replace(F.col("l_quantity").cast("decimal(10,1)").cast("string"), F.lit("."), F.lit(",")),
+             F.lit("un"), _br2(F.col("l_extendedprice")), _br2(F.col("l_extendedprice")), F.lit("un"),
+             F.col("l_extendedprice").cast("decimal(18,2)").cast("string"),
+             F.col("l_discount").cast("decimal(4,2)").cast("string"), F.lit("un"),
+             F.col("l_linenumber").cast("string"), day, F.lit("cnpj"),
+             F.concat(F.lit(" Part"), s, F.lit("\t")), F.lit("hab"), proposal]
+    line = (F.when(k % 31 == 0, F.concat_ws(";", *cells, F.lit("extra")))
+             .when(k % 37 == 0, F.concat_ws(";", *cells[:5]))
+             .otherwise(F.concat_ws(";", *cells)))
+    return li.select(F.date_format("l_shipdate", "yyyy-MM").alias("period"), line.alias("line"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from .. import config
 from .catalog import (DOC_TERMS, FAIL_VALUE, GRID_HEADER_WORDS, PART_RULES, PART_TYPE_GROUPS,
                       AS_OF_YEAR)
-from .driver_bronze import OBJECT_WORDS, SPHERES
+from .driver_bronze import OBJECT_WORDS, OTHER_PHASE, OTHER_SUBSTANCE, SPHERES
 
 
 def _q(s: str) -> str:
@@ -112,6 +112,35 @@ pages AS (SELECT event_type AS section, floor(event_id / 100) AS page,
 _OBJECT_WORD = "list_extract([" + ", ".join(_q(w) for w in OBJECT_WORDS) + "], CAST(o_orderkey % 8 + 1 AS INTEGER))"
 _SPHERE = "CASE o_orderstatus " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in SPHERES.items()) + " END"
 
+_SUBS_ALL = config.MINING_SUBSTANCES + [OTHER_SUBSTANCE]
+_PHASES_ALL = [p for vs, _ in config.MINING_PHASE_GROUPS for p in vs] + [OTHER_PHASE]
+_MINING_SILVER = f"""
+a AS (SELECT CASE WHEN o_custkey % 50 = 0 THEN NULL ELSE 'P' || CAST(o_custkey AS VARCHAR) END AS processo,
+             o_orderkey AS fid,
+             list_extract([{', '.join(_q(x) for x in _SUBS_ALL)}],
+                          CAST(o_orderkey % {len(_SUBS_ALL)} + 1 AS INTEGER)) AS substancia,
+             list_extract([{', '.join(_q(x) for x in _PHASES_ALL)}],
+                          CAST(o_custkey % {len(_PHASES_ALL)} + 1 AS INTEGER)) AS fase,
+             o_totalprice AS area_ha,
+             CASE WHEN o_orderkey % 9 = 0 THEN 'MG' ELSE 'SP' END AS uf
+      FROM orders),
+f AS (SELECT * FROM a WHERE uf = {_q(config.MINING_STATE)}
+        AND substancia IN ({', '.join(_q(x) for x in config.MINING_SUBSTANCES)})),
+firsts AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY processo ORDER BY fid) = 1),
+typed AS (SELECT *, {_set_case('fase', config.MINING_PHASE_GROUPS, config.OTHER_GROUP)} AS fase_grupo,
+                 {_set_case('substancia', config.MINING_AGGREGATE_GROUPS, config.OTHER_GROUP)} AS tipo_agregado
+          FROM firsts),
+g AS (SELECT processo, lat FROM (
+        SELECT CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE 'P' || CAST(c_custkey AS VARCHAR) END AS processo,
+               c_custkey,
+               CASE WHEN c_custkey % 11 = 0 THEN NULL
+                    ELSE round_even((CAST(c_nationkey AS DOUBLE) + (c_nationkey + 1.0) + c_nationkey) / 3, 6)
+               END AS lat
+        FROM customer)
+      QUALIFY row_number() OVER (PARTITION BY processo ORDER BY c_custkey) = 1),
+s AS (SELECT t.*, g.lat FROM typed t LEFT JOIN g ON t.processo IS NOT DISTINCT FROM g.processo)
+"""
+
 SQL: dict[str, str] = {
     "keyword_filter": f"""
 SELECT doc_id, lang, source, n_chars FROM documents WHERE {_contains_any('text', DOC_TERMS)}""",
@@ -423,4 +452,54 @@ SELECT tipo_obra, orgao_esfera_id, count(numero_controle_pncp) AS qtd,
          AS valor_total_mi
 FROM typed WHERE orgao_esfera_id IS NOT NULL
 GROUP BY tipo_obra, orgao_esfera_id""",
+
+    "mining_report": f"""
+WITH {_MINING_SILVER}
+SELECT tipo_agregado, fase_grupo, count(processo) AS qtd_processos,
+       round_even(CAST(coalesce(sum(CAST(area_ha AS DECIMAL(38,6))), 0) AS DOUBLE), 0) AS area_total_ha
+FROM s GROUP BY tipo_agregado, fase_grupo""",
+
+    "mining_coverage": f"""
+WITH {_MINING_SILVER}
+SELECT count(*) AS total, count(lat) AS with_value, count(*) - count(lat) AS without_value,
+       CASE WHEN count(*) > 0 THEN round_even(CAST(count(lat) AS DOUBLE) * 100.0 / count(*), 1) END AS pct_with,
+       CASE WHEN count(*) > 0 THEN round_even(CAST(count(*) - count(lat) AS DOUBLE) * 100.0 / count(*), 1) END
+         AS pct_without
+FROM s""",
+
+    "tenders_silver": f"""
+WITH l AS (
+  SELECT *, CAST(l_suppkey AS VARCHAR) AS s,
+         translate(format('{{:,.2f}}', l_extendedprice), ',.', '.,') AS br_price,
+         CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS dec_price,
+         translate(format('{{:,.2f}}', l_tax), ',.', '.,') AS br_tax,
+         l_orderkey % 37 = 0 AS short
+  FROM lineitem
+  WHERE l_orderkey % 31 <> 0 AND l_linenumber % 3 <> 0)
+SELECT DISTINCT
+  'SP' AS municipio,
+  CASE WHEN l_suppkey % 10 = 0 THEN 'Ent' || s || ';X' ELSE 'Ent' || s END AS entidade,
+  CAST(l_orderkey AS VARCHAR) AS cod_licitacao, 'conc' AS modalidade,
+  'Obras e servicos de engenharia' AS objeto,
+  CASE WHEN NOT short THEN 'desc' END AS descricao_objeto,
+  CASE WHEN NOT short THEN CAST(l_partkey AS VARCHAR) END AS produto_item,
+  CASE WHEN NOT short THEN {_to_double("CAST(CAST(l_quantity AS DECIMAL(10,1)) AS VARCHAR)")} END AS qtd_contratada,
+  CASE WHEN NOT short THEN 'un' END AS unidade_contratada,
+  CASE WHEN NOT short THEN {_to_double("replace(replace(br_price, '.', ''), ',', '.')")} END AS vl_unit_orcamento_lote,
+  CASE WHEN NOT short THEN {_to_double("replace(br_price, ',', '.')")} END AS qtd_orcamento_lote,
+  CASE WHEN NOT short THEN 'un' END AS un_orcamento_lote,
+  CASE WHEN NOT short THEN {_to_double("replace(replace(dec_price, '.', ''), ',', '.')")} END AS vl_unit_orcamento_item,
+  CASE WHEN NOT short THEN {_to_double("CAST(CAST(l_discount AS DECIMAL(4,2)) AS VARCHAR)")} END AS qtd_orcamento_item,
+  CASE WHEN NOT short THEN 'un' END AS un_orcamento_item,
+  CASE WHEN NOT short THEN CAST(l_linenumber AS VARCHAR) END AS num_edital,
+  CASE WHEN NOT short AND l_orderkey % 29 <> 0
+       THEN try_strptime(strftime(l_shipdate, '%-d/%-m/%Y'), '%d/%m/%Y') END AS dt_edital,
+  CASE WHEN NOT short THEN 'cnpj' END AS cnpj_participante,
+  CASE WHEN NOT short THEN 'Part' || s END AS nome_participante,
+  CASE WHEN NOT short THEN 'hab' END AS resultado_habilitacao,
+  CASE WHEN NOT short AND l_linenumber <> 7
+       THEN {_to_double("replace(replace(br_tax, '.', ''), ',', '.')")} END AS vl_proposta,
+  strftime(l_shipdate, '%Y-%m') AS periodo,
+  TIMESTAMP '2024-01-01 00:00:00' AS dt_ingestao
+FROM l""",
 }

@@ -39,6 +39,11 @@ def bronze_from_archives(archives: DataFrame, ingest_date: str) -> DataFrame:
     text = F.decode(F.col("content"), "ISO-8859-1")
     lines = ok.select("period", F.posexplode(F.split(text, "\r?\n")).alias("line_no", "line")) \
               .filter((F.col("line_no") > 0) & (F.col("line") != ""))
+    return bronze_from_lines(lines, ingest_date)
+
+
+def bronze_from_lines(lines: DataFrame, ingest_date: str) -> DataFrame:
+    """``(period, line)`` CSV data lines → works-tender bronze rows."""
     rows = parse_lines(lines, SOURCE_COLUMNS)
     works = rows.filter(F.col("objeto") == F.lit(config.TENDER_WORKS_OBJECT))
     return works.select(*SOURCE_COLUMNS, F.col("period").alias("periodo"),
