@@ -8,10 +8,9 @@ from pyspark.sql import Column, functions as F
 
 from ..config import CP1252_C1_SOURCE, CP1252_C1_TARGET, NA_TOKENS
 
-# Characters Python's str.isspace() accepts: Unicode White_Space plus the
-# four ASCII information separators 0x1C–0x1F.
-_SPACE_CLASS = r"[\p{IsWhite_Space}\x{1C}-\x{1F}]"
-_EDGE_SPACE = rf"^{_SPACE_CLASS}+|{_SPACE_CLASS}+$"
+# Characters Python's str.isspace() accepts (Unicode White_Space plus the
+# ASCII information separators 0x1C–0x1F), built by rule rather than listed.
+WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def _col(c: Column | str) -> Column:
@@ -21,9 +20,10 @@ def _col(c: Column | str) -> Column:
 def strip_unicode(c: Column | str) -> Column:
     """Strip leading/trailing whitespace of every kind (tab, NBSP, …).
 
-    ``F.trim`` only removes the ASCII space.
+    ``F.trim`` only removes the ASCII space; ``btrim`` with the explicit
+    whitespace set is a plain scan from both ends (no regex).
     """
-    return F.regexp_replace(_col(c), _EDGE_SPACE, "")
+    return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
 def is_blank(c: Column | str) -> Column:

@@ -83,10 +83,13 @@ def flatten_json(df: DataFrame, payload: str, schema: StructType,
     if corrupt_flag:
         schema = StructType(list(schema.fields) + [StructField("__corrupt", StringType())]) \
             if isinstance(schema, StructType) else f"{schema}, __corrupt string"
-        parsed = df.withColumn("__doc", F.from_json(
-            F.col(payload), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__corrupt"}))
+        doc = F.from_json(F.col(payload), schema,
+                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__corrupt"})
     else:
-        parsed = df.withColumn("__doc", F.from_json(F.col(payload), schema))
+        doc = F.from_json(F.col(payload), schema)
+    # explode(array(doc)) is a generator the optimizer will not fold into the
+    # field accesses below: the text is parsed once, not once per field
+    parsed = df.select("*", F.explode(F.array(doc)).alias("__doc"))
     cols = [F.col(k) for k in keep]
     cols += [F.col("__doc." + path).alias(name) for name, path in fields]
     if corrupt_flag:

@@ -543,7 +543,29 @@ def q_tenders_silver(spark: SparkSession, d: str) -> DataFrame:
     """Tender CSV lines → strict parse → works filter → typed, stripped, distinct silver."""
     from . import tenders
     from .driver_bronze import tender_lines
-    return tenders.silver(tenders.bronze_from_lines(tender_lines(spark, d), "2024-01-01"))
+    # land the monthly CSV text as files in the shared folder, as a fetcher would
+    path = scratch_path(spark, "tender_csv")
+    tender_lines(spark, d).write.mode("overwrite").partitionBy("period").text(path)
+    return tenders.silver(tenders.bronze_from_files(spark, path, "2024-01-01"))
+
+
+def _permits_silver(spark: SparkSession, d: str) -> DataFrame:
+    from . import permits
+    from .driver_bronze import permit_grid
+    grid, years = permit_grid(spark, d)
+    return permits.silver(permits.records(grid, years, "2024-01-01"))
+
+
+def q_permits_silver(spark: SparkSession, d: str) -> DataFrame:
+    """Yearly grids → sheet → header → records → merged, typed, classified, keep-first silver."""
+    return _permits_silver(spark, d).select(
+        "ano_referencia", "mes", "alvara", "processo", "descricao", "categoria_de_uso",
+        "area_construcao_m2", "dt_aprovacao", "blocos_pavimentos_unidades", "uso_classificado")
+
+
+def q_permits_report(spark: SparkSession, d: str) -> DataFrame:
+    from . import permits
+    return permits.report(_permits_silver(spark, d))
 
 
 QUERIES: dict[str, Query] = {
@@ -594,6 +616,8 @@ QUERIES: dict[str, Query] = {
     "mining_report": q_mining_report,
     "mining_coverage": q_mining_coverage,
     "tenders_silver": q_tenders_silver,
+    "permits_silver": q_permits_silver,
+    "permits_report": q_permits_report,
 }
 
 

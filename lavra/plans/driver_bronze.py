@@ -132,3 +132,49 @@ def tender_lines(spark: SparkSession, d: str) -> DataFrame:
              .when(k % 37 == 0, F.concat_ws(";", *cells[:5]))
              .otherwise(F.concat_ws(";", *cells)))
     return li.select(F.date_format("l_shipdate", "yyyy-MM").alias("period"), line.alias("line"))
+
+
+# Permit workbooks derived from orders: one file per order year, headers drifting by year parity.
+PERMIT_OLD_HEADER = ["Mês", "Alvará", "Processo", "Descrição", "Categoria de Uso",
+                     "Área da Construção (m²)", "Aprovação", "Numero de Blocos",
+                     "Numero de Pavimentos", "Numero de Unidades"]
+PERMIT_NEW_HEADER = ["meses", "alvara", "processo", "descricao", "categoria_de_uso",
+                     "area_da_construcao", "aprovacao", "B/Locos P/Avimentos U/Nidades"]
+PERMIT_CATEGORIES = ["R2-01", "nr1-3", "C1", "comercial", "I2", "E1", "ZM"]
+
+
+def permit_grid(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Grid rows ``(file, sheet, sheet_idx, row_idx, cells)`` and the ``file → ano`` map."""
+    o = spread(table(spark, d, "orders"))
+    y = F.year("o_orderdate")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    cat = F.element_at(F.array(*[F.lit(x) for x in PERMIT_CATEGORIES], F.lit(None).cast("string")),
+                       (k % (len(PERMIT_CATEGORIES) + 1) + 1).cast("int"))
+    day = (F.when(k % 23 == 0, F.lit("2023-05-01 00:00:00"))
+            .when(k % 2 == 0, F.date_format("o_orderdate", "d/M/yyyy"))
+            .otherwise(F.date_format("o_orderdate", "d/M/yy")))
+    blocks = F.when(k % 3 == 0, F.lit(" ")).otherwise((k % 4).cast("string"))
+    floors = F.when(k % 5 == 0, F.lit(None).cast("string")).otherwise((k % 7).cast("string"))
+    units = F.when(k % 2 == 0, F.lit("")).otherwise((c % 9).cast("string"))
+    common = [F.month("o_orderdate").cast("string"), F.concat(F.lit("A-"), c.cast("string")),
+              F.concat(F.lit("P-"), c.cast("string")), F.col("o_orderpriority"), cat,
+              F.translate(F.format_number("o_totalprice", 2), ",.", ".,"), day]
+    old = F.array(*common, blocks, floors, units)
+    new = F.array(*common, F.concat_ws(" / ", F.coalesce(blocks, F.lit("")), F.coalesce(floors, F.lit("")),
+                                       F.coalesce(units, F.lit(""))))
+    data = o.select(y.cast("string").alias("file"), F.lit("Dados").alias("sheet"), F.lit(1).alias("sheet_idx"),
+                    (k + 2).alias("row_idx"), F.when(y % 2 == 0, old).otherwise(new).alias("cells"))
+    years = o.select(y.alias("y")).distinct()
+    f = F.col("y").cast("string")
+    title = years.select(f.alias("file"), F.lit("Dados").alias("sheet"), F.lit(1).alias("sheet_idx"),
+                         F.lit(0).cast("long").alias("row_idx"),
+                         F.array(F.concat(F.lit("Relatório "), f)).alias("cells"))
+    header = years.select(f.alias("file"), F.lit("Dados").alias("sheet"), F.lit(1).alias("sheet_idx"),
+                          F.lit(1).cast("long").alias("row_idx"),
+                          F.when(F.col("y") % 2 == 0, F.array(*[F.lit(h) for h in PERMIT_OLD_HEADER]))
+                           .otherwise(F.array(*[F.lit(h) for h in PERMIT_NEW_HEADER])).alias("cells"))
+    cover = years.select(f.alias("file"), F.lit("Capa").alias("sheet"), F.lit(0).alias("sheet_idx"),
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(2).cast("long"))).alias("row_idx"),
+                         F.array(F.lit("Prefeitura"), f).alias("cells"))
+    grid = data.unionByName(title).unionByName(header).unionByName(cover)
+    return grid, years.select(f.alias("file"), f.alias("ano"))

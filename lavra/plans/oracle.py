@@ -9,7 +9,7 @@ from __future__ import annotations
 from .. import config
 from .catalog import (DOC_TERMS, FAIL_VALUE, GRID_HEADER_WORDS, PART_RULES, PART_TYPE_GROUPS,
                       AS_OF_YEAR)
-from .driver_bronze import OBJECT_WORDS, OTHER_PHASE, OTHER_SUBSTANCE, SPHERES
+from .driver_bronze import OBJECT_WORDS, OTHER_PHASE, OTHER_SUBSTANCE, PERMIT_CATEGORIES, SPHERES
 
 
 def _q(s: str) -> str:
@@ -141,6 +141,42 @@ g AS (SELECT processo, lat FROM (
 s AS (SELECT t.*, g.lat FROM typed t LEFT JOIN g ON t.processo IS NOT DISTINCT FROM g.processo)
 """
 
+_PERMITS_SILVER = rf"""
+r AS (
+  SELECT CAST(year(o_orderdate) AS VARCHAR) AS ano_referencia, o_orderkey + 2 AS row_idx,
+         CAST(month(o_orderdate) AS VARCHAR) AS mes,
+         'A-' || CAST(o_custkey AS VARCHAR) AS alvara, 'P-' || CAST(o_custkey AS VARCHAR) AS processo,
+         o_orderpriority AS descricao,
+         list_extract([{', '.join(_q(x) for x in PERMIT_CATEGORIES)}, NULL],
+                      CAST(o_orderkey % {len(PERMIT_CATEGORIES) + 1} + 1 AS INTEGER)) AS categoria_de_uso,
+         translate(format('{{:,.2f}}', o_totalprice), ',.', '.,') AS area_txt,
+         CASE WHEN o_orderkey % 23 = 0 THEN '2023-05-01 00:00:00'
+              WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%-d/%-m/%Y')
+              ELSE strftime(o_orderdate, '%-d/%-m/%y') END AS apr_txt,
+         CASE WHEN o_orderkey % 3 = 0 THEN ' ' ELSE CAST(o_orderkey % 4 AS VARCHAR) END AS b,
+         CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_orderkey % 7 AS VARCHAR) END AS p,
+         CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE CAST(o_custkey % 9 AS VARCHAR) END AS u,
+         year(o_orderdate) % 2 = 0 AS old_layout
+  FROM orders),
+s AS (
+  SELECT ano_referencia, row_idx, mes, alvara, processo, descricao, categoria_de_uso,
+         {_to_double("replace(replace(area_txt, '.', ''), ',', '.')")} AS area_construcao_m2,
+         coalesce(CASE WHEN regexp_full_match(apr_txt, '\d{{1,2}}/\d{{1,2}}/\d{{4}}')
+                       THEN try_strptime(apr_txt, '%d/%m/%Y') END,
+                  CASE WHEN regexp_full_match(apr_txt, '\d{{1,2}}/\d{{1,2}}/\d{{2}}')
+                       THEN try_strptime(apr_txt, '%d/%m/%y') END) AS dt_aprovacao,
+         CASE WHEN old_layout
+              THEN nullif(concat_ws(' / ', CASE WHEN {_strip('b')} <> '' THEN b END,
+                                           CASE WHEN {_strip('p')} <> '' THEN p END,
+                                           CASE WHEN {_strip('u')} <> '' THEN u END), '')
+              ELSE concat_ws(' / ', coalesce(b, ''), coalesce(p, ''), coalesce(u, '')) END
+           AS blocos_pavimentos_unidades,
+         {_regex_case('categoria_de_uso', config.LAND_USE_RULES, config.LAND_USE_DEFAULT)} AS uso_classificado
+  FROM r),
+firsts AS (SELECT * FROM s
+           QUALIFY row_number() OVER (PARTITION BY alvara, processo, ano_referencia ORDER BY row_idx) = 1)
+"""
+
 SQL: dict[str, str] = {
     "keyword_filter": f"""
 SELECT doc_id, lang, source, n_chars FROM documents WHERE {_contains_any('text', DOC_TERMS)}""",
@@ -502,4 +538,18 @@ SELECT DISTINCT
   strftime(l_shipdate, '%Y-%m') AS periodo,
   TIMESTAMP '2024-01-01 00:00:00' AS dt_ingestao
 FROM l""",
+
+    "permits_silver": f"""
+WITH {_PERMITS_SILVER}
+SELECT ano_referencia, mes, alvara, processo, descricao, categoria_de_uso, area_construcao_m2,
+       dt_aprovacao, blocos_pavimentos_unidades, uso_classificado
+FROM firsts""",
+
+    "permits_report": f"""
+WITH {_PERMITS_SILVER}
+SELECT uso_classificado, ano_referencia, count(alvara) AS qtd,
+       round_even(CAST(coalesce(sum(CAST(area_construcao_m2 AS DECIMAL(38,6))), 0) AS DOUBLE) / 1e6, 2)
+         AS area_total_km2
+FROM firsts WHERE uso_classificado IS NOT NULL AND ano_referencia IS NOT NULL
+GROUP BY uso_classificado, ano_referencia""",
 }

@@ -10,13 +10,13 @@ full-row distinct (a re-ingest on another day is not a duplicate).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import config
 from ..functions import br_money, br_quantity, na_tokens_to_null, parse_dayfirst, parse_iso, strip_unicode
 from ..operators import distinct_rows
-from ..sources import expand_zip
-from ..sources.delimited import _separators_outside_quotes
+from ..sources import expand_zip, read_delimited
+from ..sources.delimited import field_count
 
 SOURCE_COLUMNS = config.TENDER_COLUMNS[:21]
 
@@ -24,12 +24,14 @@ SOURCE_COLUMNS = config.TENDER_COLUMNS[:21]
 def parse_lines(lines: DataFrame, columns: list[str], sep: str = ";") -> DataFrame:
     """CSV text lines → columns with the strict bad-line policy (all text)."""
     n = len(columns)
-    fields = F.size(F.regexp_extract_all(F.col("line"), F.lit(_separators_outside_quotes(sep)), 0)) + 1
+    fields = field_count(F.col("line"), sep)
     schema = ", ".join(f"`{c}` string" for c in columns)
     parsed = F.from_csv(F.col("line"), schema, {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
-    kept = lines.filter(fields <= n)
-    return kept.select(*[c for c in lines.columns if c != "line"],
-                       *[na_tokens_to_null(parsed[c]).alias(c) for c in columns])
+    others = [c for c in lines.columns if c != "line"]
+    # explode(array(x)) is a generator the optimizer will not fold into the
+    # field accesses below, so each line is parsed once (not once per field)
+    kept = lines.filter(fields <= n).select(*others, F.explode(F.array(parsed)).alias("__r"))
+    return kept.select(*others, *[na_tokens_to_null(F.col("__r")[c]).alias(c) for c in columns])
 
 
 def bronze_from_archives(archives: DataFrame, ingest_date: str) -> DataFrame:
@@ -42,6 +44,15 @@ def bronze_from_archives(archives: DataFrame, ingest_date: str) -> DataFrame:
     return bronze_from_lines(lines, ingest_date)
 
 
+def bronze_from_files(spark: SparkSession, path: str, ingest_date: str,
+                      period_col: str = "period") -> DataFrame:
+    """Landed monthly CSV files (``path/period=yyyy-MM/*``, no header) → works-tender bronze."""
+    rows = read_delimited(spark, path, SOURCE_COLUMNS, sep=";", charset="ISO-8859-1", header=False)
+    works = rows.filter(F.col("objeto") == F.lit(config.TENDER_WORKS_OBJECT))
+    return works.select(*SOURCE_COLUMNS, F.col(period_col).cast("string").alias("periodo"),
+                        F.lit(ingest_date).alias("dt_ingestao"))
+
+
 def bronze_from_lines(lines: DataFrame, ingest_date: str) -> DataFrame:
     """``(period, line)`` CSV data lines → works-tender bronze rows."""
     rows = parse_lines(lines, SOURCE_COLUMNS)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import cp1252_from_latin1, na_tokens_to_null
 
@@ -17,6 +17,18 @@ def _separators_outside_quotes(sep: str) -> str:
     return s + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
+def field_count(line: Column, sep: str = ";") -> Column:
+    """Number of fields in a delimited line, separators inside quotes not counted.
+
+    Lines without a quote take the cheap path (a literal split); only quoted
+    lines pay for the quote-aware regex, which looks ahead to the line end.
+    """
+    literal = "\\" + sep if sep in ".^$|?*+()[]{}\\" else sep
+    plain = F.size(F.split(line, literal, -1))
+    quoted = F.size(F.regexp_extract_all(line, F.lit(_separators_outside_quotes(sep)), 0)) + 1
+    return F.when(F.instr(line, '"') == 0, plain).otherwise(quoted)
+
+
 def read_delimited(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str],
                    sep: str = ";", charset: str = "ISO-8859-1", header: bool = True,
                    na_tokens: bool = True) -> DataFrame:
@@ -38,9 +50,10 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], columns: Sequ
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RAW)
            .option("columnPruning", "false").option("enforceSchema", "true")
            .csv(path))
-    fields = F.size(F.regexp_extract_all(F.col(_RAW), F.lit(_separators_outside_quotes(sep)), 0)) + 1
-    kept = raw.filter(F.col(_RAW).isNotNull() & (fields <= n))
-    cols = []
+    kept = raw.filter(F.col(_RAW).isNotNull() & (field_count(F.col(_RAW), sep) <= n))
+    # partition columns discovered from the folder layout (e.g. period=2023-03) pass through
+    extra = [c for c in raw.columns if c not in set(columns) | {_OVERFLOW, _RAW}]
+    cols = [F.col(f"`{c}`") for c in extra]
     for c in columns:
         v = F.col(f"`{c}`")
         if spark_charset != charset:
