@@ -15,6 +15,7 @@ from ..functions.names import dedupe_names, snake_keep_accents
 from ..functions.text import strip_unicode
 
 MAX_LAYOUTS = 5_000
+MAX_FILES = 100_000
 _NULL_CELL = "\u0000"
 
 
@@ -61,15 +62,22 @@ def apply_header(grid: DataFrame, headers: DataFrame,
                  keep: Sequence[str] = ("file",)) -> DataFrame:
     """Rows below each file's header row become records named by that row.
 
-    Header rows are metadata (one per file): their distinct layouts are
-    collected to name the columns, then one projection serves every layout
-    through a ``CASE`` on the header. Rows whose cells are all null are
-    dropped; header cells that are blank give no column.
+    ``headers`` has ``file, header_row`` (and ``sheet_idx`` when ``grid`` still
+    holds several sheets per file). Header rows are metadata — one per file —
+    so they are collected once (with a bound) and joined back as a broadcast
+    literal table: the final plan does not recompute sheet choice or header
+    detection. One projection serves every header layout through a ``CASE``
+    on the header; all-null rows are dropped; blank header cells give no column.
     """
-    hdr = (grid.join(headers, "file").filter(F.col("row_idx") == F.col("header_row"))
-               .select("file", F.transform("cells", lambda x: F.coalesce(x, F.lit(_NULL_CELL)))
-                       .alias("__header")))
-    layouts = [r["__header"] for r in hdr.select("__header").distinct().limit(MAX_LAYOUTS + 1).collect()]
+    keys = ["file"] + (["sheet_idx"] if "sheet_idx" in headers.columns else [])
+    hdr = (grid.join(headers, keys).filter(F.col("row_idx") == F.col("header_row"))
+               .select(*keys, "header_row",
+                       F.transform("cells", lambda x: F.coalesce(x, F.lit(_NULL_CELL))).alias("__header")))
+    rows = hdr.limit(MAX_FILES + 1).collect()
+    if len(rows) > MAX_FILES:
+        raise ValueError(f"more than {MAX_FILES} files in one call; split the input")
+    per_file = grid.sparkSession.createDataFrame(rows, hdr.schema)
+    layouts = list(dict.fromkeys(tuple(r["__header"]) for r in rows))
     if len(layouts) > MAX_LAYOUTS:
         raise ValueError(f"more than {MAX_LAYOUTS} header layouts; split the input")
     per_layout = [(F.array(*[F.lit(x) for x in h]), _layout_names(h, normalize)) for h in layouts]
@@ -77,7 +85,7 @@ def apply_header(grid: DataFrame, headers: DataFrame,
     for _, cols in per_layout:
         names += [n for _, n in cols if n not in names]
 
-    body = (grid.join(headers.join(hdr, "file"), "file")
+    body = (grid.join(F.broadcast(per_file), keys)
                 .filter((F.col("row_idx") > F.col("header_row"))
                         & F.exists("cells", lambda x: x.isNotNull())))
     out = []

@@ -29,8 +29,10 @@ def records(grid: DataFrame, years: DataFrame, ingest_date: str) -> DataFrame:
     """
     chosen = pick_sheet(grid).select("file", "sheet_idx")
     sheet = grid.join(chosen, ["file", "sheet_idx"], "left_semi")
-    heads = header_rows(sheet, config.PERMIT_HEADER_WORDS)
-    recs = apply_header(sheet, heads, snake_keep_accents)
+    heads = header_rows(sheet, config.PERMIT_HEADER_WORDS).join(chosen, "file")
+    # the collected per-file header table carries the sheet choice: the
+    # records plan reads the grid once more, without re-deciding anything
+    recs = apply_header(grid, heads, snake_keep_accents)
     return recs.join(years.select("file", F.col("ano").alias("ano_referencia")), "file") \
                .withColumn("dt_ingestao", F.lit(ingest_date))
 
