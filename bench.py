@@ -28,6 +28,7 @@ HEADLINE = [
     "concat_skip_blank", "centroid", "left_join_nullsafe", "html_links", "header_row",
     "contiguous_watermark", "outcome_diagnostics", "window_plan", "ledger_pending",
     "latest_variant", "coverage", "topn_preview", "nullable_int", "zip_members",
+    "mining_report", "permits_report", "tenders_silver", "investments_silver",
 ]
 
 

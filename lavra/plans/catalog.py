@@ -568,6 +568,23 @@ def q_permits_report(spark: SparkSession, d: str) -> DataFrame:
     return permits.report(_permits_silver(spark, d))
 
 
+INVESTMENT_HEADERS = ["Município", "Valor Investido ($)", "R$ Milhões", "Setor  Econômico", "Código"]
+
+
+def q_investments_silver(spark: SparkSession, d: str) -> DataFrame:
+    """Land a source CSV (header per file) from customers, read it back with inferred
+    types, fold the header names to ASCII snake case and add lineage."""
+    from . import investments
+    c = spread(table(spark, d, "customer"))
+    src = c.select(F.col("c_name").alias(INVESTMENT_HEADERS[0]), F.col("c_acctbal").alias(INVESTMENT_HEADERS[1]),
+                   (F.col("c_acctbal") / F.lit(1e6)).alias(INVESTMENT_HEADERS[2]),
+                   F.col("c_mktsegment").alias(INVESTMENT_HEADERS[3]), F.col("c_custkey").alias(INVESTMENT_HEADERS[4]))
+    path = scratch_path(spark, "investments_csv")
+    src.write.mode("overwrite").option("header", "true").option("sep", ";").csv(path)
+    name = config.INVESTMENT_SOURCES[0][0]
+    return investments.silver_for(spark, name, path, "2024-01-01", charset="UTF-8")
+
+
 QUERIES: dict[str, Query] = {
     "keyword_filter": q_keyword_filter,
     "works_keyword_filter": q_works_keyword_filter,
@@ -618,6 +635,7 @@ QUERIES: dict[str, Query] = {
     "tenders_silver": q_tenders_silver,
     "permits_silver": q_permits_silver,
     "permits_report": q_permits_report,
+    "investments_silver": q_investments_silver,
 }
 
 

@@ -26,9 +26,12 @@ def selection(spark: SparkSession, requested: list[str]) -> DataFrame:
     return select_sources(req, catalog(spark).select("name"))
 
 
-def silver_for(spark: SparkSession, name: str, path: str, ingest_date: str) -> DataFrame:
+def silver_for(spark: SparkSession, name: str, path: str, ingest_date: str,
+               charset: str | None = None) -> DataFrame:
+    """One registered source → silver; ``charset`` overrides the catalog's (re-encoded landings)."""
     spec = {n: (k, s, c) for n, k, s, c in config.INVESTMENT_SOURCES}[name]
-    _, sep, charset = spec
+    _, sep, catalog_charset = spec
+    charset = charset or catalog_charset
     df = rename_all(read_inferred(spark, path, sep=sep, charset=charset), snake_ascii)
     return with_lineage(df, fonte=name, dt_ingestao=ingest_date)
 

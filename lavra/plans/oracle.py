@@ -346,7 +346,7 @@ FROM req""",
 
     "batch_ids": """
 SELECT period, n_kept, seq, CAST(floor((seq - 1) / 6) AS INTEGER) AS batch_id
-FROM (SELECT period, n_kept, row_number() OVER (ORDER BY period) AS seq
+FROM (SELECT period, n_kept, CAST(row_number() OVER (ORDER BY period) AS INTEGER) AS seq
       FROM (SELECT strftime(o_orderdate, '%Y-%m') AS period,
                    count(*) FILTER (WHERE o_orderstatus = 'F') AS n_kept
             FROM orders GROUP BY 1)
@@ -377,8 +377,8 @@ g AS (SELECT category,
              count(*) FILTER (WHERE NOT skipped) AS windows,
              count(*) FILTER (WHERE skipped) AS skipped,
              count(*) FILTER (WHERE NOT skipped AND n_events > 0) AS with_event,
-             coalesce(sum(rows_seen) FILTER (WHERE NOT skipped), 0) AS evaluated,
-             coalesce(sum(rows_kept) FILTER (WHERE NOT skipped), 0) AS found
+             CAST(coalesce(sum(rows_seen) FILTER (WHERE NOT skipped), 0) AS BIGINT) AS evaluated,
+             CAST(coalesce(sum(rows_kept) FILTER (WHERE NOT skipped), 0) AS BIGINT) AS found
       FROM s GROUP BY category)
 SELECT *, CASE WHEN windows = 0 THEN 'nothing queried'
                WHEN evaluated = 0 AND with_event = 0 THEN 'no rows and no events: check one window by hand'
@@ -552,4 +552,10 @@ SELECT uso_classificado, ano_referencia, count(alvara) AS qtd,
          AS area_total_km2
 FROM firsts WHERE uso_classificado IS NOT NULL AND ano_referencia IS NOT NULL
 GROUP BY uso_classificado, ano_referencia""",
+
+    "investments_silver": f"""
+SELECT c_name AS municipio, c_acctbal AS valor_investido_s, c_acctbal / 1e6 AS rs_milhoes,
+       c_mktsegment AS setor__economico, CAST(c_custkey AS INTEGER) AS codigo,
+       {_q(config.INVESTMENT_SOURCES[0][0])} AS fonte, '2024-01-01' AS dt_ingestao
+FROM customer""",
 }

@@ -12,7 +12,12 @@ SF = "/root/testdata/sf0.001"
 FAST = ["keyword_filter", "json_flatten", "br_decimal_parse", "multi_date_parse", "strip_text",
         "concat_skip_blank", "centroid", "dedup_first", "left_join_nullsafe", "window_plan",
         "contiguous_watermark", "outcome_diagnostics", "override_merge", "html_links", "header_row",
-        "report_class", "coverage", "csv_policy", "zip_members", "procurement_report"]
+        "report_class", "coverage", "csv_policy", "zip_members", "procurement_report",
+        "mining_report", "mining_coverage", "tenders_silver", "permits_silver", "permits_report",
+        "investments_silver", "batch_ids"]
+
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +39,8 @@ def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF)
     rel = duck.sql(oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    duck_types = dict(zip(rel.columns, map(str, rel.types)))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
     assert _norm([tuple(r) for r in df.collect()], df.columns) == _norm(rel.fetchall(), rel.columns)
 
 
