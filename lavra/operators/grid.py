@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegerType
 
 from ..functions.names import dedupe_names, snake_keep_accents
 from ..functions.text import strip_unicode
@@ -67,7 +68,7 @@ def apply_header(grid: DataFrame, headers: DataFrame,
     so they are collected once (with a bound) and joined back as a broadcast
     literal table: the final plan does not recompute sheet choice or header
     detection. One projection serves every header layout through a ``CASE``
-    on the header; all-null rows are dropped; blank header cells give no column.
+    on the file's layout id; all-null rows are dropped; blank header cells give no column.
     """
     keys = ["file"] + (["sheet_idx"] if "sheet_idx" in headers.columns else [])
     hdr = (grid.join(headers, keys).filter(F.col("row_idx") == F.col("header_row"))
@@ -76,11 +77,14 @@ def apply_header(grid: DataFrame, headers: DataFrame,
     rows = hdr.limit(MAX_FILES + 1).collect()
     if len(rows) > MAX_FILES:
         raise ValueError(f"more than {MAX_FILES} files in one call; split the input")
-    per_file = grid.sparkSession.createDataFrame(rows, hdr.schema)
     layouts = list(dict.fromkeys(tuple(r["__header"]) for r in rows))
     if len(layouts) > MAX_LAYOUTS:
         raise ValueError(f"more than {MAX_LAYOUTS} header layouts; split the input")
-    per_layout = [(F.array(*[F.lit(x) for x in h]), _layout_names(h, normalize)) for h in layouts]
+    layout_id = {h: i for i, h in enumerate(layouts)}
+    per_file = grid.sparkSession.createDataFrame(
+        [tuple(r[k] for k in keys) + (r["header_row"], layout_id[tuple(r["__header"])]) for r in rows],
+        hdr.select(*keys, "header_row").schema.add("__layout", IntegerType()))
+    per_layout = [(i, _layout_names(h, normalize)) for i, h in enumerate(layouts)]
     names: list[str] = []
     for _, cols in per_layout:
         names += [n for _, n in cols if n not in names]
@@ -91,11 +95,11 @@ def apply_header(grid: DataFrame, headers: DataFrame,
     out = []
     for name in names:
         expr = None
-        for arr, cols in per_layout:
+        for lid, cols in per_layout:
             pos = dict((n, i) for i, n in cols).get(name)
             if pos is None:
                 continue
-            cond = F.col("__header") == arr
+            cond = F.col("__layout") == F.lit(lid)
             val = F.get(F.col("cells"), pos)
             expr = F.when(cond, val) if expr is None else expr.when(cond, val)
         out.append(expr.alias(name))

@@ -552,8 +552,14 @@ def q_tenders_silver(spark: SparkSession, d: str) -> DataFrame:
 def _permits_silver(spark: SparkSession, d: str) -> DataFrame:
     from . import permits
     from .driver_bronze import permit_grid
+    # the grid is the landed input of the permits job: write it once as a table
+    # in the shared folder, then run sheet choice, headers and records on it
     grid, years = permit_grid(spark, d)
-    return permits.silver(permits.records(grid, years, "2024-01-01"))
+    path = scratch_path(spark, "permit_grid")
+    grid.write.mode("overwrite").parquet(path)
+    landed = spark.read.parquet(path)
+    years = landed.select("file").distinct().withColumn("ano", F.col("file"))
+    return permits.silver(permits.records(landed, years, "2024-01-01"))
 
 
 def q_permits_silver(spark: SparkSession, d: str) -> DataFrame:
