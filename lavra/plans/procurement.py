@@ -8,6 +8,8 @@ and adds estimated value per (works type, government sphere).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import config
@@ -140,7 +142,9 @@ def ingest(spark: SparkSession, landing: str, lake: str, years: list[int],
     year_df = spark.createDataFrame([(y,) for y in years], "year int")
     plan = window_plan(categories(spark), year_df)
     committed = read_ledger(spark, ledger, "procurement")
-    todo = pending(plan, committed).cache()
+    # no .cache() here: cached data is matched by plan, and a plan over the
+    # ledger path looks the same before and after the ledger changes
+    todo = pending(plan, committed)
     rows = landed_pages(spark, landing).join(todo.select("key", "category", "name", "start"), "key", "left_semi")
     rows = rows.join(todo.select("key", "category", "name", "start"), "key")
     kept = works_filter(rows)
@@ -160,13 +164,14 @@ def ingest(spark: SparkSession, landing: str, lake: str, years: list[int],
                        F.coalesce("n_events", F.lit(0)).alias("n_events"),
                        F.coalesce("rows_seen", F.lit(0)).alias("rows_seen"),
                        F.coalesce("rows_kept", F.lit(0)).alias("rows_kept")))
-    outcome = outcome.cache()
-    ok = outcome.filter(~F.col("skipped") & (F.col("n_events") == 0)).select("key")
-    commit_keys(ok, ledger, "procurement")
-    diag = window_diagnostics(outcome).collect()
-    todo.unpersist()
-    outcome.unpersist()
-    return spark.createDataFrame(diag)
+    # the run's outcome table (one row per window) is written once; the commit
+    # and the diagnostics both read that snapshot, taken before the ledger grows
+    run_path = f"{lake}/_outcomes/run={uuid.uuid4().hex}"
+    outcome.write.mode("overwrite").parquet(run_path)
+    snapshot = spark.read.parquet(run_path)
+    commit_keys(snapshot.filter(~F.col("skipped") & (F.col("n_events") == 0)).select("key"),
+                ledger, "procurement")
+    return window_diagnostics(snapshot)
 
 
 def read_bronze(spark: SparkSession, lake: str) -> DataFrame:

@@ -73,5 +73,9 @@ def spread(df, min_partitions: int | None = None):
     CPU-heavy text work that is the whole job. On a cluster input splits far
     outnumber cores and this is a no-op (no extra shuffle).
     """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
+        return df
+    return df.repartition(n) if current < n else df

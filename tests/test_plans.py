@@ -148,3 +148,35 @@ def test_stream_append_is_incremental(spark, tmp):
         fh.write('{"k": 3}\n')
     out = stream_append_jsonl(spark, src, "k bigint", "t", f"{tmp}/lake")
     assert sorted(r.k for r in out.collect()) == [1, 2, 3]
+
+
+def test_procurement_overwrite_mode_forgets_ledger(spark, tmp):
+    landing, lake = f"{tmp}/landing", f"{tmp}/lake"
+    _land(landing, 4, "20240101", "20240131", 1, [{"numeroControlePNCP": "a", "objetoCompra": "obra"}])
+    procurement.ingest(spark, landing, lake, [2024], ingest_date="2024-02-01")
+    again = {r.category: r for r in procurement.ingest(spark, landing, lake, [2024]).collect()}
+    assert again["Concorrência Eletrônica"].windows == 0
+    fresh = {r.category: r for r in procurement.ingest(spark, landing, lake, [2024], mode="overwrite").collect()}
+    assert fresh["Concorrência Eletrônica"].windows == 12 and fresh["Concorrência Eletrônica"].found == 1
+    assert procurement.read_bronze(spark, lake).count() == 1  # overwrite replaced the bronze
+
+
+def test_stream_dedup_with_watermark(spark, tmp):
+    from lavra.streaming import stream_distinct_keys
+    src = f"{tmp}/ev"
+    os.makedirs(src)
+    with open(f"{src}/a.json", "w") as fh:
+        fh.write('{"k": 1, "ts": "2024-01-01T00:00:00"}\n{"k": 1, "ts": "2024-01-01T00:10:00"}\n'
+                 '{"k": 2, "ts": "2024-01-01T00:20:00"}\n')
+    out = stream_distinct_keys(spark, src, "k bigint, ts timestamp", ["k"], f"{tmp}/lake",
+                               event_time="ts", delay="1 hour")
+    assert sorted(r.k for r in out.collect()) == [1, 2]
+
+
+def test_jsonl_sink_keeps_nulls(spark, tmp):
+    from lavra.sources import write_jsonl
+    df = spark.createDataFrame([("x", None)], "a string, b string")
+    write_jsonl(df, f"{tmp}/out")
+    text = "".join(open(os.path.join(f"{tmp}/out", f)).read()
+                   for f in os.listdir(f"{tmp}/out") if f.endswith(".json"))
+    assert json.loads(text.strip()) == {"a": "x", "b": None}
