@@ -2,11 +2,11 @@
 
 from .archives import expand_zip
 from .delimited import read_delimited, read_inferred
-from .files import list_layer, read_bytes, with_extension
+from .files import list_layer, read_bytes, route_by_extension, with_extension
 from .html import extract_links
 from .jsonl import read_envelope_pages, read_esri_pages, read_jsonl
 from .sinks import land_bytes, write_jsonl, write_parquet
 
 __all__ = ["expand_zip", "read_delimited", "read_inferred", "list_layer", "read_bytes",
-           "with_extension", "extract_links", "read_envelope_pages", "read_esri_pages",
+           "with_extension", "route_by_extension", "extract_links", "read_envelope_pages", "read_esri_pages",
            "read_jsonl", "land_bytes", "write_jsonl", "write_parquet"]

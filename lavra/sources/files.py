@@ -28,3 +28,18 @@ def read_bytes(spark: SparkSession, path: str, glob: str | None = None) -> DataF
 def with_extension(df: DataFrame, path_col: str = "path") -> DataFrame:
     """Add the lower-cased extension used to route files to a reader."""
     return df.withColumn("ext", F.lower(F.regexp_extract(F.col(path_col), r"\.([^./]+)$", 1)))
+
+
+def route_by_extension(files: DataFrame, supported: list[str], path_col: str = "path") -> dict[str, DataFrame]:
+    """Split landed files by lower-cased extension; an unsupported one is an error.
+
+    Returns one DataFrame per supported extension (filters over one scan).
+    The unsupported check is a single aggregate over file metadata, and the
+    error names a few offending paths.
+    """
+    tagged = with_extension(files, path_col)
+    bad = tagged.filter(~F.col("ext").isin(list(supported)))
+    sample = [r[path_col] for r in bad.select(path_col).limit(5).collect()]
+    if sample:
+        raise ValueError(f"unsupported file type(s), e.g. {sample}")
+    return {ext: tagged.filter(F.col("ext") == ext) for ext in supported}

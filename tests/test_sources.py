@@ -76,3 +76,22 @@ def test_envelope_pages_and_jsonl(spark, tmp):
     with open(os.path.join(tmp, "l.jsonl"), "w") as fh:
         fh.write('{"a": "x"}\n\n{"a": "y"}\n')
     assert read_jsonl(spark, os.path.join(tmp, "l.jsonl"), "a string").count() == 2
+
+
+def test_layers_routing_and_landing(spark, tmp):
+    import pytest
+    from lavra.sources import land_bytes, list_layer, read_bytes, route_by_extension
+    for layer, name, data in [("bronze/x", "a.csv", b"1"), ("bronze/x", "b.ZIP", b"22"),
+                              ("bronze/x_y", "c.csv", b"333")]:
+        os.makedirs(os.path.join(tmp, layer), exist_ok=True)
+        with open(os.path.join(tmp, layer, name), "wb") as fh:
+            fh.write(data)
+    listed = sorted(os.path.basename(r.path) for r in list_layer(spark, tmp, "bronze/x").collect())
+    assert listed == ["a.csv", "b.ZIP"]  # the trailing slash keeps x_y out
+    routes = route_by_extension(list_layer(spark, tmp, "bronze/x"), ["csv", "zip"])
+    assert routes["csv"].count() == 1 and routes["zip"].count() == 1
+    with pytest.raises(ValueError):
+        route_by_extension(list_layer(spark, tmp, "bronze/x"), ["csv"])
+    land_bytes(read_bytes(spark, os.path.join(tmp, "bronze", "x_y")), os.path.join(tmp, "landed"))
+    got = spark.read.parquet(os.path.join(tmp, "landed")).collect()
+    assert [(r.length, bytes(r.content)) for r in got] == [(3, b"333")]
