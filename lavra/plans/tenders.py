@@ -13,25 +13,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import config
-from ..functions import br_money, br_quantity, na_tokens_to_null, parse_dayfirst, parse_iso, strip_unicode
+from ..functions import br_money, br_quantity, parse_dayfirst, parse_iso, strip_unicode
 from ..operators import distinct_rows
 from ..sources import expand_zip, read_delimited
-from ..sources.delimited import field_count
+from ..sources.delimited import parse_delimited_lines
 
 SOURCE_COLUMNS = config.TENDER_COLUMNS[:21]
 
 
 def parse_lines(lines: DataFrame, columns: list[str], sep: str = ";") -> DataFrame:
     """CSV text lines → columns with the strict bad-line policy (all text)."""
-    n = len(columns)
-    fields = field_count(F.col("line"), sep)
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    parsed = F.from_csv(F.col("line"), schema, {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
-    others = [c for c in lines.columns if c != "line"]
-    # explode(array(x)) is a generator the optimizer will not fold into the
-    # field accesses below, so each line is parsed once (not once per field)
-    kept = lines.filter(fields <= n).select(*others, F.explode(F.array(parsed)).alias("__r"))
-    return kept.select(*others, *[na_tokens_to_null(F.col("__r")[c]).alias(c) for c in columns])
+    return parse_delimited_lines(lines, columns, sep)
 
 
 def bronze_from_archives(archives: DataFrame, ingest_date: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import cp1252_from_latin1, na_tokens_to_null
 
-_OVERFLOW = "__overflow"
+_LINE = "__line"
 _RAW = "__raw_line"
 
 
@@ -29,39 +29,64 @@ def field_count(line: Column, sep: str = ";") -> Column:
     return F.when(F.instr(line, '"') == 0, plain).otherwise(quoted)
 
 
-def read_delimited(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str],
-                   sep: str = ";", charset: str = "ISO-8859-1", header: bool = True,
-                   na_tokens: bool = True) -> DataFrame:
-    """All-text delimited read with the spreadsheet-tool bad-line policy.
+def parse_delimited_lines(lines: DataFrame, columns: Sequence[str], sep: str = ";",
+                          line_col: str = "line", na_tokens: bool = True) -> DataFrame:
+    """Text lines → all-text columns with the spreadsheet-tool bad-line policy.
 
     A line with more fields than ``columns`` is dropped, a shorter one is
-    padded with nulls (Spark's own modes either truncate long lines or drop
-    short ones). The reader gets one spare column plus the raw-line column:
-    the raw line is null exactly when the line filled the spare column, and
-    otherwise a count of separators outside quotes tells long lines apart.
-    ``charset='windows-1252'`` reads ISO-8859-1 and re-maps 0x80–0x9F.
+    padded with nulls (Spark's own CSV modes either truncate long lines or drop
+    short ones). Every other column of ``lines`` passes through.
     """
     n = len(columns)
-    schema = ", ".join([f"`{c}` string" for c in columns] + [f"{_OVERFLOW} string", f"{_RAW} string"])
-    spark_charset = "ISO-8859-1" if charset.lower() in ("windows-1252", "cp1252") else charset
-    raw = (spark.read.schema(schema)
-           .option("sep", sep).option("header", str(header).lower())
-           .option("encoding", spark_charset).option("quote", '"').option("escape", '"')
-           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RAW)
-           .option("columnPruning", "false").option("enforceSchema", "true")
-           .csv(path))
-    kept = raw.filter(F.col(_RAW).isNotNull() & (field_count(F.col(_RAW), sep) <= n))
-    # partition columns discovered from the folder layout (e.g. period=2023-03) pass through
-    extra = [c for c in raw.columns if c not in set(columns) | {_OVERFLOW, _RAW}]
-    cols = [F.col(f"`{c}`") for c in extra]
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    parsed = F.from_csv(F.col(line_col), schema, {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    others = [F.col(f"`{c}`") for c in lines.columns if c != line_col]
+    # explode(array(x)) is a generator the optimizer will not fold into the
+    # field accesses below, so each line is parsed once (not once per field)
+    kept = lines.filter(field_count(F.col(line_col), sep) <= n) \
+                .select(*others, F.explode(F.array(parsed)).alias("__r"))
+    out = []
     for c in columns:
-        v = F.col(f"`{c}`")
-        if spark_charset != charset:
-            v = cp1252_from_latin1(v)
-        if na_tokens:
-            v = na_tokens_to_null(v)
-        cols.append(v.alias(c))
-    return kept.select(*cols)
+        v = F.col("__r")[c]
+        out.append((na_tokens_to_null(v) if na_tokens else v).alias(c))
+    return kept.select(*others, *out)
+
+
+def read_lines(spark: SparkSession, path: str | Sequence[str], charset: str = "ISO-8859-1",
+               header: bool = False, line_col: str = "line") -> DataFrame:
+    """The physical lines of text files, decoded with ``charset``.
+
+    A one-column CSV read with separator and quote switched off: every line is
+    one well-formed record (blank lines skipped, the first line of each file
+    dropped when ``header``). A line holding the switched-off separator (NUL)
+    is recovered whole from the corrupt-record column. ``charset='windows-1252'``
+    reads ISO-8859-1 and re-maps 0x80–0x9F. Partition columns of the folder
+    layout (e.g. ``period=2023-03``) pass through.
+    """
+    spark_charset = "ISO-8859-1" if charset.lower() in ("windows-1252", "cp1252") else charset
+    raw = (spark.read.schema(f"{_LINE} string, {_RAW} string")
+           .option("sep", "\u0000").option("quote", "\u0000").option("header", str(header).lower())
+           .option("encoding", spark_charset).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", _RAW).csv(path))
+    line = F.coalesce(F.col(_RAW), F.col(_LINE))
+    if spark_charset != charset:
+        line = cp1252_from_latin1(line)
+    extra = [F.col(f"`{c}`") for c in raw.columns if c not in (_LINE, _RAW)]
+    return raw.select(*extra, line.alias(line_col))
+
+
+def read_delimited(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str],
+                   sep: str = ";", charset: str = "ISO-8859-1", header: bool = True,
+                   na_tokens: bool = True) -> DataFrame:
+    """All-text delimited read with the strict bad-line policy (see
+    ``parse_delimited_lines``): lines are read whole, then parsed once each.
+
+    Reading lines first keeps the common case (a line with exactly
+    ``len(columns)`` fields) off Spark's malformed-record path, which raises
+    and catches an exception per record.
+    """
+    lines = read_lines(spark, path, charset, header, line_col=_RAW)
+    return parse_delimited_lines(lines, columns, sep, line_col=_RAW, na_tokens=na_tokens)
 
 
 def read_inferred(spark: SparkSession, path: str | Sequence[str], sep: str = ";",

@@ -19,6 +19,18 @@ def test_delimited_bad_line_policy(spark, tmp):
                           ("q\";r", "s", "t")], key=repr)
 
 
+def test_delimited_count_nul_and_cp1252(spark, tmp):
+    # count() alone must work (no query over only a corrupt-record column);
+    # a line holding NUL is kept whole; windows-1252 bytes are re-mapped
+    path = os.path.join(tmp, "n.csv")
+    with open(path, "wb") as fh:
+        fh.write(b"h1;h2\n1;a\x00b\n\x93q\x94;2\n3;4;5\n")
+    df = read_delimited(spark, path, ["a", "b"], sep=";", charset="windows-1252", header=True)
+    assert df.count() == 2
+    assert sorted((tuple(r) for r in df.collect()), key=repr) == sorted(
+        [("1", "a\x00b"), ("\u201cq\u201d", "2")], key=repr)
+
+
 def test_cp1252_csv(spark, tmp):
     path = os.path.join(tmp, "w.csv")
     with open(path, "wb") as fh:
