@@ -17,9 +17,11 @@ def _expand(pattern: str | None, first_only: bool, path_col: str, content_col: s
     rx = re.compile(pattern, re.IGNORECASE) if pattern else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # input batches are capped in bytes by Arrow batching; output goes out
+        # one archive at a time, so a worker never holds a batch's members at once
         for pdf in batches:
-            out = []
             for path, blob in zip(pdf[path_col], pdf[content_col]):
+                out = []
                 try:
                     with zipfile.ZipFile(io.BytesIO(bytes(blob))) as zf:
                         infos = [i for i in zf.infolist() if not i.is_dir()]
@@ -32,8 +34,8 @@ def _expand(pattern: str | None, first_only: bool, path_col: str, content_col: s
                         for info in infos:
                             out.append((path, info.filename.rsplit("/", 1)[-1], zf.read(info), None))
                 except Exception as exc:  # recorded per archive; others go on
-                    out.append((path, None, None, f"{type(exc).__name__}: {exc}"))
-            yield pd.DataFrame(out, columns=["archive", "member", "content", "error"])
+                    out = [(path, None, None, f"{type(exc).__name__}: {exc}")]
+                yield pd.DataFrame(out, columns=["archive", "member", "content", "error"])
 
     return run
 
