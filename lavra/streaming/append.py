@@ -37,8 +37,12 @@ def stream_append_jsonl(spark: SparkSession, src: str, schema: str, pipeline: st
     stream = reader.json(src).withColumn("source_file", F.col("_metadata.file_path"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{bronze}/batch_id={batch_id}")
-        commit_keys(batch.select(F.col("source_file").alias("key")).distinct(), ledger, pipeline)
+        out = f"{bronze}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(out)
+        # the ledger takes its keys from what was written (a one-column Parquet
+        # scan), not from a second pass over the JSON source
+        written = spark.read.parquet(out).select(F.col("source_file").alias("key")).distinct()
+        commit_keys(written, ledger, pipeline)
 
     query = (stream.writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
