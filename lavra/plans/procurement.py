@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import config
-from ..functions import first_match_regex, parse_iso
-from ..operators import (commit_keys, flatten_json, grouped_report, keep_first, keyword_filter, pending,
+from ..functions import first_match_regex, lower_contains_any, parse_iso
+from ..operators import (commit_keys, flatten_json, grouped_report, keep_first, pending,
                          read_ledger, reset_ledger, window_diagnostics, window_plan)
 from ..operators.joins import bounded_broadcast
 from ..sources import read_envelope_pages
@@ -62,10 +62,14 @@ LINEAGE = ["fonte", "modalidade", "ano_referencia", "dt_ingestao"]
 BRONZE_ORDER = ["dt_ingestao", "source_file", "position", "payload"]
 
 
+def is_works() -> Column:
+    """The notice's object text holds a works keyword (lower-cased, plain substring)."""
+    return lower_contains_any(F.get_json_object("payload", "$.objetoCompra"), config.WORKS_KEYWORDS)
+
+
 def works_filter(bronze: DataFrame) -> DataFrame:
-    """Keep notices whose object text holds a works keyword (lower-cased, plain substring)."""
-    return keyword_filter(bronze, F.get_json_object("payload", "$.objetoCompra"),
-                          config.WORKS_KEYWORDS)
+    """Keep works notices (``is_works``)."""
+    return bronze.filter(is_works())
 
 
 def silver_from_bronze(bronze: DataFrame) -> DataFrame:
@@ -155,9 +159,10 @@ def ingest(spark: SparkSession, landing: str, lake: str, years: list[int],
                       "source_file", F.col("position").cast("bigint"))
     new.write.mode("overwrite" if mode == "overwrite" else "append").parquet(bronze)
     events = landed_events(spark, landing).groupBy("key").agg(F.count(F.lit(1)).alias("n_events"))
-    seen = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows_seen"))
-    found = kept.groupBy("key").agg(F.count(F.lit(1)).alias("rows_kept"))
-    outcome = (plan.join(seen, "key", "left").join(found, "key", "left").join(events, "key", "left")
+    # rows seen and kept per window in one pass over the landed pages
+    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows_seen"),
+                                     F.count_if(is_works()).alias("rows_kept"))
+    outcome = (plan.join(counts, "key", "left").join(events, "key", "left")
                .join(todo.select("key", F.lit(False).alias("pending_flag")), "key", "left")
                .select("key", F.col("name").alias("category"),
                        F.col("pending_flag").isNull().alias("skipped"),
