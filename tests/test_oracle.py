@@ -71,3 +71,10 @@ def test_scan_prunes_and_pushes(spark):
     assert "In(o_orderpriority" in plan
     dedup = queries()["report_class"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_extendedprice:double,l_returnflag:string>" in dedup
+
+
+def test_delimited_lines_parsed_once(spark):
+    # one from_csv per line (inside a generator), however many fields are read
+    plan = queries()["tenders_silver"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_csv(") == 1
+    assert "Generate" in plan
