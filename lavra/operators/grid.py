@@ -10,13 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import IntegerType
 
 from ..functions.names import dedupe_names, snake_keep_accents
 from ..functions.text import strip_unicode
+from ..session import scratch_path
+from .joins import bounded_broadcast
 
 MAX_LAYOUTS = 5_000
-MAX_FILES = 100_000
 _NULL_CELL = "\u0000"
 
 
@@ -64,32 +64,38 @@ def apply_header(grid: DataFrame, headers: DataFrame,
     """Rows below each file's header row become records named by that row.
 
     ``headers`` has ``file, header_row`` (and ``sheet_idx`` when ``grid`` still
-    holds several sheets per file). Header rows are metadata — one per file —
-    so they are collected once (with a bound) and joined back as a broadcast
-    literal table: the final plan does not recompute sheet choice or header
-    detection. One projection serves every header layout through a ``CASE``
-    on the file's layout id; all-null rows are dropped; blank header cells give no column.
+    holds several sheets per file). The header rows (one per file) are written
+    once to the shared folder, so the records plan reads them instead of
+    re-running sheet choice and header detection. Only the distinct header
+    layouts reach the driver (bounded and checked: each one becomes a branch of
+    the projection); layout ids go back to the files through a join, and the
+    per-file table meets the grid in a join the planner sizes from the written
+    files. All-null rows are dropped; blank header cells give no column.
     """
     keys = ["file"] + (["sheet_idx"] if "sheet_idx" in headers.columns else [])
     hdr = (grid.join(headers, keys).filter(F.col("row_idx") == F.col("header_row"))
                .select(*keys, "header_row",
                        F.transform("cells", lambda x: F.coalesce(x, F.lit(_NULL_CELL))).alias("__header")))
-    rows = hdr.limit(MAX_FILES + 1).collect()
-    if len(rows) > MAX_FILES:
-        raise ValueError(f"more than {MAX_FILES} files in one call; split the input")
-    layouts = list(dict.fromkeys(tuple(r["__header"]) for r in rows))
-    if len(layouts) > MAX_LAYOUTS:
+    spark = grid.sparkSession
+    path = scratch_path(spark, "grid_headers")
+    hdr.write.mode("overwrite").parquet(path)
+    hdr = spark.read.parquet(path)
+
+    # layouts in order of the first file that uses them, so output columns are stable
+    firsts = (hdr.groupBy("__header").agg(F.min(F.struct(*keys)).alias("__first"))
+                 .limit(MAX_LAYOUTS + 1).collect())
+    if len(firsts) > MAX_LAYOUTS:
         raise ValueError(f"more than {MAX_LAYOUTS} header layouts; split the input")
-    layout_id = {h: i for i, h in enumerate(layouts)}
-    per_file = grid.sparkSession.createDataFrame(
-        [tuple(r[k] for k in keys) + (r["header_row"], layout_id[tuple(r["__header"])]) for r in rows],
-        hdr.select(*keys, "header_row").schema.add("__layout", IntegerType()))
+    layouts = [tuple(r["__header"]) for r in sorted(firsts, key=lambda r: tuple(r["__first"]))]
+    ids = spark.createDataFrame([(list(h), i) for i, h in enumerate(layouts)],
+                                "__header array<string>, __layout int")
+    per_file = hdr.join(bounded_broadcast(ids, len(layouts)), "__header").drop("__header")
     per_layout = [(i, _layout_names(h, normalize)) for i, h in enumerate(layouts)]
     names: list[str] = []
     for _, cols in per_layout:
         names += [n for _, n in cols if n not in names]
 
-    body = (grid.join(F.broadcast(per_file), keys)
+    body = (grid.join(per_file, keys)
                 .filter((F.col("row_idx") > F.col("header_row"))
                         & F.exists("cells", lambda x: x.isNotNull())))
     out = []
