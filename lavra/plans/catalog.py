@@ -108,17 +108,17 @@ def q_rename_or_null(spark: SparkSession, d: str) -> DataFrame:
     return with_lineage(out, fonte="supplier")
 
 
-MESSY_NATION_NAMES = ["Código da Nação", "Nome  da Nação ($)", " Região/Área (m²) ",
-                      "Nação  Chave", "Área da Construção (m²)"]
+MESSY_NAMES = ["Código da Nação", "Nome  da Nação ($)", " Região/Área (m²) ",
+               "Nação  Chave", "Área da Construção (m²)"]
 
 
 def q_normalize_names(spark: SparkSession, d: str) -> DataFrame:
-    nat = table(spark, d, "nation")
-    messy = nat.select(F.col("n_nationkey").alias(MESSY_NATION_NAMES[0]),
-                       F.col("n_name").alias(MESSY_NATION_NAMES[1]),
-                       F.col("n_regionkey").alias(MESSY_NATION_NAMES[2]),
-                       F.col("n_nationkey").alias(MESSY_NATION_NAMES[3]),
-                       F.col("n_name").alias(MESSY_NATION_NAMES[4]))
+    sup = table(spark, d, "supplier")
+    messy = sup.select(F.col("s_suppkey").alias(MESSY_NAMES[0]),
+                       F.col("s_name").alias(MESSY_NAMES[1]),
+                       F.col("s_nationkey").alias(MESSY_NAMES[2]),
+                       F.col("s_suppkey").alias(MESSY_NAMES[3]),
+                       F.col("s_name").alias(MESSY_NAMES[4]))
     names = [snake_ascii(n) for n in messy.columns[:3]] + \
             [snake_keep_accents(n) for n in messy.columns[3:]]
     return positional_rename(messy, names)
@@ -318,10 +318,14 @@ def q_refresh_current(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_source_selection(spark: SparkSession, d: str) -> DataFrame:
+    # every customer requests a source: its region's name (every 5th) or its nation's
     region = table(spark, d, "region")
     nation = table(spark, d, "nation")
-    requested = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.when(F.col("n_nationkey") % 5 == 0, F.col("r_name")).otherwise(F.col("n_name")).alias("name"))
+    cust = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    requested = (cust.join(nation, cust.c_nationkey == nation.n_nationkey)
+                     .join(region, nation.n_regionkey == region.r_regionkey)
+                     .select(F.when(F.col("c_custkey") % 5 == 0, F.col("r_name"))
+                              .otherwise(F.col("n_name")).alias("name")))
     return select_sources(requested, region.select(F.col("r_name").alias("name")))
 
 
@@ -454,40 +458,41 @@ def q_topn_preview(spark: SparkSession, d: str) -> DataFrame:
 
 
 # -------------------------------------------------------- files and streams
-def _nation_zips(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _supplier_zips(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
-        for key, name, region in zip(pdf["n_nationkey"], pdf["n_name"], pdf["n_regionkey"]):
-            line = f"{key};{name};{region}\n".encode("latin-1")
+        for key, name, nation in zip(pdf["s_suppkey"], pdf["s_name"], pdf["s_nationkey"]):
+            line = f"{key};{name};{nation}\n".encode("latin-1")
             buf = io.BytesIO()
             with zipfile.ZipFile(buf, "w") as zf:
                 zf.writestr(f"{key}_data.csv", line)
                 zf.writestr(f"{key}_DATA.CSV", line + line)
                 zf.writestr(f"{key}_notes.txt", b"notes")
-            rows.append((f"nation_{key}.zip", buf.getvalue()))
+            rows.append((f"supplier_{key}.zip", buf.getvalue()))
         yield pd.DataFrame(rows, columns=["path", "content"])
 
 
 def q_zip_members(spark: SparkSession, d: str) -> DataFrame:
-    nation = table(spark, d, "nation")
-    archives = nation.mapInPandas(_nation_zips, "path string, content binary")
+    # one archive per supplier (three members, two of them CSV)
+    sup = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    archives = sup.mapInPandas(_supplier_zips, "path string, content binary")
     members = expand_zip(archives, member_pattern=r"\.(csv|xlsx)$")
     return members.select("archive", "member", F.length("content").alias("n_bytes"), "error")
 
 
-def _nation_lines(nation: DataFrame) -> DataFrame:
-    k = F.col("n_nationkey")
-    key, name, region = k.cast("string"), F.col("n_name"), F.col("n_regionkey").cast("string")
+def _supplier_lines(supplier: DataFrame) -> DataFrame:
+    k = F.col("s_suppkey")
+    key, name, region = k.cast("string"), F.col("s_name"), F.col("s_nationkey").cast("string")
     line = (F.when(k % 5 == 0, F.concat_ws(";", key, name, region, F.lit("extra")))
              .when(k % 5 == 1, F.concat_ws(";", key, name))
              .when(k % 5 == 2, F.concat_ws(";", key, F.concat(F.lit('"'), name, F.lit(';x"')), region))
              .otherwise(F.concat_ws(";", key, name, region)))
-    return nation.select(line.alias("value"))
+    return supplier.select(line.alias("value"))
 
 
 def q_csv_policy(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "csv_policy")
-    _nation_lines(table(spark, d, "nation")).write.mode("overwrite").text(path)
+    _supplier_lines(table(spark, d, "supplier")).write.mode("overwrite").text(path)
     return read_delimited(spark, path, ["a", "b", "c"], sep=";", header=False)
 
 

@@ -206,9 +206,9 @@ SELECT s_suppkey AS fornecedor, s_name AS nome, s_nationkey AS nacao, s_acctbal
 FROM supplier""",
 
     "normalize_names": """
-SELECT n_nationkey AS codigo_da_nacao, n_name AS nome__da_nacao_s, n_regionkey AS regiaoarea_m2,
-       n_nationkey AS "nação_chave", n_name AS "área_da_construção_m"
-FROM nation""",
+SELECT s_suppkey AS codigo_da_nacao, s_name AS nome__da_nacao_s, s_nationkey AS regiaoarea_m2,
+       s_suppkey AS "nação_chave", s_name AS "área_da_construção_m"
+FROM supplier""",
 
     "coalesce_variants": """
 SELECT o_orderkey AS pedido, o_totalprice AS valor,
@@ -339,8 +339,9 @@ UNION
 SELECT key FROM planned WHERE CAST(substr(key, 1, 4) AS INTEGER) = {AS_OF_YEAR}""",
 
     "source_selection": """
-WITH req AS (SELECT DISTINCT CASE WHEN n_nationkey % 5 = 0 THEN r_name ELSE n_name END AS name
-             FROM nation JOIN region ON n_regionkey = r_regionkey)
+WITH req AS (SELECT DISTINCT CASE WHEN c_custkey % 5 = 0 THEN r_name ELSE n_name END AS name
+             FROM customer JOIN nation ON c_nationkey = n_nationkey
+                           JOIN region ON n_regionkey = r_regionkey)
 SELECT name, CASE WHEN name IN (SELECT r_name FROM region) THEN 'selected' ELSE 'unknown' END AS status
 FROM req""",
 
@@ -447,25 +448,25 @@ SELECT o_orderkey, o_totalprice, (SELECT greatest(count(*) - 10, 0) FROM orders)
 FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""",
 
     "zip_members": """
-SELECT 'nation_' || CAST(n_nationkey AS VARCHAR) || '.zip' AS archive,
-       CAST(n_nationkey AS VARCHAR) || '_data.csv' AS member,
-       CAST(strlen(CAST(n_nationkey AS VARCHAR) || ';' || n_name || ';' || CAST(n_regionkey AS VARCHAR)) + 1
+SELECT 'supplier_' || CAST(s_suppkey AS VARCHAR) || '.zip' AS archive,
+       CAST(s_suppkey AS VARCHAR) || '_data.csv' AS member,
+       CAST(strlen(CAST(s_suppkey AS VARCHAR) || ';' || s_name || ';' || CAST(s_nationkey AS VARCHAR)) + 1
             AS INTEGER) AS n_bytes,
        CAST(NULL AS VARCHAR) AS error
-FROM nation
+FROM supplier
 UNION ALL
-SELECT 'nation_' || CAST(n_nationkey AS VARCHAR) || '.zip',
-       CAST(n_nationkey AS VARCHAR) || '_DATA.CSV',
-       CAST(2 * (strlen(CAST(n_nationkey AS VARCHAR) || ';' || n_name || ';' || CAST(n_regionkey AS VARCHAR)) + 1)
+SELECT 'supplier_' || CAST(s_suppkey AS VARCHAR) || '.zip',
+       CAST(s_suppkey AS VARCHAR) || '_DATA.CSV',
+       CAST(2 * (strlen(CAST(s_suppkey AS VARCHAR) || ';' || s_name || ';' || CAST(s_nationkey AS VARCHAR)) + 1)
             AS INTEGER),
        CAST(NULL AS VARCHAR)
-FROM nation""",
+FROM supplier""",
 
     "csv_policy": """
-SELECT CAST(n_nationkey AS VARCHAR) AS a,
-       CASE WHEN n_nationkey % 5 = 2 THEN n_name || ';x' ELSE n_name END AS b,
-       CASE WHEN n_nationkey % 5 = 1 THEN NULL ELSE CAST(n_regionkey AS VARCHAR) END AS c
-FROM nation WHERE n_nationkey % 5 <> 0""",
+SELECT CAST(s_suppkey AS VARCHAR) AS a,
+       CASE WHEN s_suppkey % 5 = 2 THEN s_name || ';x' ELSE s_name END AS b,
+       CASE WHEN s_suppkey % 5 = 1 THEN NULL ELSE CAST(s_nationkey AS VARCHAR) END AS c
+FROM supplier WHERE s_suppkey % 5 <> 0""",
 
     "stream_append": "SELECT event_id, event_type, value FROM events",
 
