@@ -548,11 +548,12 @@ def q_tenders_silver(spark: SparkSession, d: str) -> DataFrame:
     """Tender CSV lines → strict parse → works filter → typed, stripped, distinct silver."""
     from . import tenders
     from .driver_bronze import tender_lines
-    # land the monthly CSV text in the shared folder as a fetcher would: one
-    # file per month under period=yyyy-MM (without the shuffle every task
-    # would write a file into every month folder, tasks × months small files)
+    # land the monthly CSV text in the shared folder as a fetcher would, about
+    # one file per month under period=yyyy-MM (without the shuffle every task
+    # would write a file into every month folder). REBALANCE lets AQE split a
+    # month too big for one task and merge small ones.
     path = scratch_path(spark, "tender_csv")
-    tender_lines(spark, d).repartition("period").write.mode("overwrite").partitionBy("period").text(path)
+    tender_lines(spark, d).hint("rebalance", "period").write.mode("overwrite").partitionBy("period").text(path)
     return tenders.silver(tenders.bronze_from_files(spark, path, "2024-01-01"))
 
 
