@@ -138,3 +138,21 @@ def test_grid_sheet_header_and_records(spark):
     assert f1 == [("1", "A-1", "dup"), ("2", "A-2", "d2")]
     f2 = [(r.c1, r.c2) for r in recs.filter("file = 'f2'").collect()]
     assert f2 == [("v1", "v2")]
+
+
+def test_apply_header_shared_layouts_stable_order(spark):
+    # 40 files over two header layouts: layouts are collected, files are not;
+    # output columns follow the layout of the first file, then new names
+    rows = []
+    for i in range(40):
+        f = f"f{i:02d}"
+        head = ["Mês", "Alvará", "Extra"] if i % 2 else ["Mês", "Alvará"]
+        rows.append((f, 0, head))
+        rows.append((f, 1, [str(i), f"A-{i}"] + (["x"] if i % 2 else [])))
+        rows.append((f, 2, [None, None] + ([None] if i % 2 else [])))
+    grid = spark.createDataFrame(rows, "file string, row_idx int, cells array<string>")
+    heads = spark.createDataFrame([(f"f{i:02d}", 0) for i in range(40)], "file string, header_row int")
+    recs = apply_header(grid, heads)
+    assert recs.columns == ["file", "row_idx", "mês", "alvará", "extra"]
+    got = sorted((r.file, r["mês"], r["alvará"], r.extra) for r in recs.collect())
+    assert got == sorted((f"f{i:02d}", str(i), f"A-{i}", "x" if i % 2 else None) for i in range(40))
