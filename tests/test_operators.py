@@ -156,3 +156,22 @@ def test_apply_header_shared_layouts_stable_order(spark):
     assert recs.columns == ["file", "row_idx", "mês", "alvará", "extra"]
     got = sorted((r.file, r["mês"], r["alvará"], r.extra) for r in recs.collect())
     assert got == sorted((f"f{i:02d}", str(i), f"A-{i}", "x" if i % 2 else None) for i in range(40))
+
+
+def test_hot_key_third_of_rows(spark):
+    # key 0 holds a third of all rows; both operators cut it map-side before the shuffle
+    n = 30_000
+    df = (spark.range(n).repartition(8)
+               .select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                       F.col("id").alias("seq"), (F.col("id") % 7).cast("double").alias("v")))
+    first = keep_first(df, ["k"], ["seq"])
+    assert first.count() == 1 + (n - n // 3)
+    assert first.filter("k = 0").collect()[0].seq == 0
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Partial") > plan.index("Exchange")  # partial limit sits below the exchange
+    rep = grouped_report(df, ["k"], "seq", "v", digits=0)
+    hot = rep.filter("k = 0").collect()[0]
+    assert hot.qtd == n // 3
+    assert hot.valor == float(sum(i % 7 for i in range(0, n, 3)))
+    agg_plan = rep._jdf.queryExecution().executedPlan().toString()
+    assert agg_plan.count("HashAggregate") >= 2  # partial (map-side) + final
