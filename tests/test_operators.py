@@ -175,3 +175,16 @@ def test_hot_key_third_of_rows(spark):
     assert hot.valor == float(sum(i % 7 for i in range(0, n, 3)))
     agg_plan = rep._jdf.queryExecution().executedPlan().toString()
     assert agg_plan.count("HashAggregate") >= 2  # partial (map-side) + final
+
+
+def test_null_safe_join_hot_null_key(spark):
+    # a third of the left keys are null; null matches the one null-keyed right row
+    n = 9_000
+    left = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 50)
+                                 .cast("bigint").alias("k"), F.col("id"))
+    right = spark.createDataFrame([(None, "null-row")] + [(i, f"r{i}") for i in range(50)],
+                                  "k bigint, label string")
+    out = null_safe_join(left, right, ["k"], "left")
+    assert out.count() == n
+    assert out.filter(F.col("k").isNull() & (F.col("label") == "null-row")).count() == n // 3
+    assert out.filter(F.col("label").isNull()).count() == 0
