@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lavra.llm import piece_codec
 from lavra.llm.common import table
+from lavra.llm.fingerprints import compare_edited, fit_ranks
 from lavra.llm.line_dedup import dedup_lines
 from lavra.llm.mixing import mix
+from lavra.llm.ngram_lm import classify
 from lavra.llm.oracle import SQL
 from lavra.llm.quality_rules import quality_rules
 from lavra.llm.secret_scan import secret_scan, spans_text
+from lavra.llm.token_counts import count_tokens, read_ranks
 from lavra.llm.url_filters import judge_urls
 
 BASE_KINDS = ("assign", "access", "hex")
@@ -24,15 +28,39 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", "stratum", "rejected_by")
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return compare_edited(docs, fit_ranks(docs))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = count_tokens(table(spark, sf_dir, "documents"), read_ranks())
+    return counted.select("doc_id", "section", "start", "end", F.col("n_tokens").cast("long").alias("n_tokens"),
+                          "n_crossing")
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "stratum", "n_symbols", "perplexity", "limit", "kept")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.col("text"), F.col("_lr_n_deleted").alias("n_lines_deleted"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = piece_codec.read_model()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = piece_codec.decode(piece_codec.encode(docs, data), data)
+    return coded.select("doc_id", F.size("token_ids").alias("n_tokens"), "token_ids",
+                        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = secret_scan(table(spark, sf_dir, "documents"))
 
@@ -51,6 +79,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op4_url_filters, op6_line_dedup, op9_secret_scans, op10_mixing)}
+    f.__name__: f for f in (
+        op1_quality_rules, op2_document_fingerprints, op3_token_counts, op4_url_filters, op5_quality_classifier,
+        op6_line_dedup, op8_sentencepiece, op9_secret_scans, op10_mixing)}
 
 __all__ = ["QUERIES", "SQL"]
