@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lavra.llm import piece_codec
 from lavra.llm.common import table
 from lavra.llm.fingerprints import compare_edited, fit_ranks
+from lavra.llm.jaccard_join import jaccard_components
 from lavra.llm.line_dedup import dedup_lines
 from lavra.llm.mixing import mix
 from lavra.llm.ngram_lm import classify
@@ -53,6 +54,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("text"), F.col("_lr_n_deleted").alias("n_lines_deleted"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = piece_codec.read_model()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -81,6 +86,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_document_fingerprints, op3_token_counts, op4_url_filters, op5_quality_classifier,
-        op6_line_dedup, op8_sentencepiece, op9_secret_scans, op10_mixing)}
+        op6_line_dedup, op7_jaccard_join, op8_sentencepiece, op9_secret_scans, op10_mixing)}
 
 __all__ = ["QUERIES", "SQL"]
