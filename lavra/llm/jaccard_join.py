@@ -352,12 +352,12 @@ def keep_one(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     Of rows that share the smallest doc_id, those with the smallest text hash stay once.
     """
-    found = jaccard_components(docs, words)
+    found = jaccard_components(docs, words).withColumn("_jj_id", F.xxhash64("doc_id"))
     chosen = (found.filter("n_shingles > 0").groupBy("component_id").agg(F.min(F.when(
         F.col("doc_id").eqNullSafe(F.col("component_id")), F.col("row"))).alias("_jj_row"))
-              .withColumnRenamed("component_id", "_jj_doc"))
-    empty = found.filter("n_shingles = 0").select(F.col("doc_id").alias("_jj_doc"), F.col("row").alias("_jj_row")).distinct()
-    keep = chosen.select("_jj_doc", "_jj_row").unionByName(empty)
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_jj_doc")) & (F.xxhash64("text") == F.col("_jj_row")),
-                     "left_semi")
-    return kept.dropDuplicates()
+              .select("_jj_row", F.xxhash64("component_id").alias("_jj_id")))
+    empty = found.filter("n_shingles = 0").select(F.col("row").alias("_jj_row"), "_jj_id").distinct()
+    key = ["_jj_row", "_jj_id"]
+    # joined and made distinct by one key, so that texts are dealt out once
+    return (docs.withColumns({"_jj_row": F.xxhash64("text"), "_jj_id": F.xxhash64("doc_id")})
+            .join(chosen.unionByName(empty), key).dropDuplicates(key).select(*[F.col(f"`{c}`") for c in docs.columns]))

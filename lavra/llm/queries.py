@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,5 +88,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_document_fingerprints, op3_token_counts, op4_url_filters, op5_quality_classifier,
         op6_line_dedup, op7_jaccard_join, op8_sentencepiece, op9_secret_scans, op10_mixing)}
+QUERIES["pipeline"] = corpus_pipeline.run
 
 __all__ = ["QUERIES", "SQL"]
