@@ -7,6 +7,7 @@ from pyspark.sql import Column, functions as F
 from .text import _col, strip_unicode
 
 ISO_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}([T ]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?$"
+ISO_OFFSET = r"^(\S+[T ]\d{1,2}:[\d:.]+)(?:[Zz]|[+-]\d{2}:?\d{2})$"
 
 
 def _ntz(ts: Column) -> Column:
@@ -19,8 +20,11 @@ def _try_parse(c: Column, fmt: str | None = None) -> Column:
 
 
 def parse_iso(c: Column | str) -> Column:
-    """ISO-8601 date or date-time; anything else (``2024`` alone too) → null."""
-    c = strip_unicode(_col(c).cast("string"))
+    """ISO-8601 date or date-time; anything else (``2024`` alone too) → null.
+
+    A zone offset is accepted and the wall clock kept: ``…T10:00:00-03:00`` is 10:00.
+    """
+    c = F.regexp_replace(strip_unicode(_col(c).cast("string")), ISO_OFFSET, "$1")
     return F.when(c.rlike(ISO_TEXT), _try_parse(c))
 
 

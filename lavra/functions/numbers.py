@@ -33,6 +33,8 @@ def br_quantity(c: Column | str) -> Column:
 
 
 def nullable_int(c: Column | str) -> Column:
-    """Numeric text → bigint when integral (``7.0`` → 7), else null."""
-    d = to_double(c)
-    return F.when(d == F.floor(d), d.try_cast("bigint"))
+    """Numeric text → bigint when integral (``7.0`` → 7), else null; whole digits stay exact."""
+    text = _col(c).cast("string")
+    digits = F.regexp_extract(text, r"^\s*([+-]?\d+)(?:\.0*)?\s*$", 1)
+    d = to_double(text)
+    return F.when(digits != "", digits.try_cast("bigint")).when(d == F.floor(d), d.try_cast("bigint"))

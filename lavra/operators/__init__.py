@@ -1,8 +1,8 @@
 """DataFrame → DataFrame operators."""
 
 from .dedup import distinct_rows, keep_first
-from .grid import apply_header, header_hits, header_rows, pick_sheet
-from .joins import bounded_broadcast, null_safe_join
+from .grid import apply_header, header_hits, header_rows, pick_sheet, sheet_headers
+from .joins import null_safe_join
 from .ledger import (batch_ids, commit_keys, contiguous_watermark, latest_variant,
                      outcome_status, override_merge, pending, pending_with_refresh,
                      read_ledger, reset_ledger, select_sources, stale_commits)

@@ -1,4 +1,4 @@
-"""Join helpers: null-safe equi-joins and bounded broadcasts."""
+"""Null-safe equi-joins; which side is broadcast is left to AQE's measured sizes."""
 
 from __future__ import annotations
 
@@ -21,14 +21,3 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
         c = left[k].eqNullSafe(renamed[f"__r_{k}"])
         cond = c if cond is None else cond & c
     return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
-
-
-def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a frame whose row count is bounded by construction.
-
-    Only for catalogs built from literals or fixed lists: the caller states
-    the bound, and anything above it raises instead of flooding executors.
-    """
-    if rows > 100_000:
-        raise ValueError(f"refusing to broadcast a side declared at {rows} rows")
-    return F.broadcast(df)

@@ -21,17 +21,19 @@ def read_ledger(spark: SparkSession, path: str, pipeline: str) -> DataFrame:
     """Committed keys of one pipeline since its last reset; none when absent."""
     try:
         raw = spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    except AnalysisException:
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "key string, committed_at timestamp")
     mine = raw.filter(F.col("pipeline") == pipeline)
-    last_reset = (mine.filter(F.col("kind") == "reset")
-                  .agg(F.max("committed_at").alias("__reset")).withColumn("__one", F.lit(1)))
-    # one-row aggregate attached through an equi-join on a constant
-    return (mine.filter(F.col("kind") == "commit").withColumn("__one", F.lit(1))
-            .join(F.broadcast(last_reset), "__one", "left")
-            .filter(F.col("__reset").isNull() | (F.col("committed_at") > F.col("__reset")))
-            .select("key", "committed_at")
-            .dropDuplicates(["key"]))
+    # newest commit of each key, and the newest reset under the null key, in one aggregation
+    last = mine.groupBy("key").agg(F.max(F.when(F.col("kind") == "commit", F.col("committed_at"))).alias("committed_at"),
+                                   F.max(F.when(F.col("kind") == "reset", F.col("committed_at"))).alias("reset_at"))
+    reset_at = last.agg(F.max("reset_at").alias("at")).first()["at"]  # one value
+    since = last.filter(F.col("committed_at").isNotNull())
+    if reset_at is not None:
+        since = since.filter(F.col("committed_at") > F.lit(reset_at))
+    return since.select("key", "committed_at")
 
 
 def commit_keys(keys: DataFrame, path: str, pipeline: str, key_col: str = "key") -> None:
@@ -60,8 +62,9 @@ def pending_with_refresh(planned: DataFrame, committed: DataFrame, year: Column,
     """Pending when not committed, or in the current (still growing) year, or overwrite."""
     if overwrite:
         return planned
-    fresh = planned.filter(year == F.lit(current_year))
-    return pending(planned, committed, key).unionByName(fresh).distinct()
+    done = committed.select(key, F.lit(True).alias("__done")).dropDuplicates([key])
+    return (planned.join(done, key, "left")
+            .filter(F.col("__done").isNull() | (year == F.lit(current_year))).drop("__done"))
 
 
 def stale_commits(committed: DataFrame, present: DataFrame, key: str = "key") -> DataFrame:
@@ -128,10 +131,9 @@ def override_merge(fixed: DataFrame, recent: DataFrame, key: str, value: str) ->
 
 def select_sources(requested: DataFrame, catalog: DataFrame, name: str = "name") -> DataFrame:
     """Requested names split into ``selected`` (in the catalog) and ``unknown``."""
-    req = requested.select(name).distinct()
-    selected = req.join(catalog.select(name), name, "left_semi").withColumn("status", F.lit("selected"))
-    unknown = req.join(catalog.select(name), name, "left_anti").withColumn("status", F.lit("unknown"))
-    return selected.unionByName(unknown)
+    known = catalog.select(name, F.lit("selected").alias("status")).dropDuplicates([name])
+    return (requested.select(name).distinct().join(known, name, "left")
+            .withColumn("status", F.coalesce("status", F.lit("unknown"))))
 
 
 def outcome_status(n_events: Column, rows: Column, empty_is_failure: bool = False) -> Column:

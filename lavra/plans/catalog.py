@@ -26,8 +26,7 @@ from ..operators import (batch_ids, coalesce_variants, contiguous_watermark, cov
                          pick_sheet, positional_rename, preview, project_or_null, select_sources,
                          stale_commits, union_by_name, weekly_windows, window_diagnostics,
                          window_plan, with_lineage)
-from ..operators.joins import bounded_broadcast
-from ..session import scratch_path, spread, use_utc
+from ..session import scratch_path, use_utc
 from ..sources import expand_zip, extract_links, read_delimited
 from .tables import table
 
@@ -80,7 +79,7 @@ EVENT_PAYLOAD_SCHEMA = ("numero bigint, tipo string, valor double, data string,
 
 def event_payloads(spark: SparkSession, d: str) -> DataFrame:
     """Nested JSON documents built from events; every 11th is not JSON at all."""
-    ev = spread(table(spark, d, "events"))
+    ev = table(spark, d, "events")
     owner = F.when(F.col("event_id") % 7 != 0,
                    F.struct(F.col("user_id").alias("usuario"),
                             F.from_json("props", "k bigint").alias("props")))
@@ -145,7 +144,7 @@ def q_classify_regex(spark: SparkSession, d: str) -> DataFrame:
 
 def q_classify_works(spark: SparkSession, d: str) -> DataFrame:
     """The works-type and land-use rule lists over every document text."""
-    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
+    docs = table(spark, d, "documents").select("doc_id", "text")
     return docs.select("doc_id",
                        first_match_regex("text", config.WORKS_TYPE_RULES,
                                          config.WORKS_TYPE_DEFAULT).alias("tipo_obra"),
@@ -282,7 +281,7 @@ def q_weekly_windows(spark: SparkSession, d: str) -> DataFrame:
 def modality_catalog(spark: SparkSession) -> DataFrame:
     rows = [(c, g, n) for c, g, n in config.PROCUREMENT_MODALITIES]
     cat = spark.createDataFrame(rows, "category int, granularity string, name string")
-    return bounded_broadcast(cat, len(rows))
+    return cat
 
 
 def q_window_plan(spark: SparkSession, d: str) -> DataFrame:
@@ -589,7 +588,7 @@ def q_investments_silver(spark: SparkSession, d: str) -> DataFrame:
     """Land a source CSV (header per file) from customers, read it back with inferred
     types, fold the header names to ASCII snake case and add lineage."""
     from . import investments
-    c = spread(table(spark, d, "customer"))
+    c = table(spark, d, "customer")
     src = c.select(F.col("c_name").alias(INVESTMENT_HEADERS[0]), F.col("c_acctbal").alias(INVESTMENT_HEADERS[1]),
                    (F.col("c_acctbal") / F.lit(1e6)).alias(INVESTMENT_HEADERS[2]),
                    F.col("c_mktsegment").alias(INVESTMENT_HEADERS[3]), F.col("c_custkey").alias(INVESTMENT_HEADERS[4]))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import spread
 from .tables import table
 
 # Parameters of the derived bronze (not source-system values).
@@ -29,7 +28,7 @@ def procurement_bronze(spark: SparkSession, d: str, works_only: bool = False) ->
     """
     from .. import config
     from ..operators import keyword_filter
-    o = spread(table(spark, d, "orders"))
+    o = table(spark, d, "orders")
     k = F.col("o_orderkey")
     word = F.element_at(F.array(*[F.lit(w) for w in OBJECT_WORDS]), (k % 8 + 1).cast("int"))
     o = o.withColumn("__obj", F.concat(F.col("o_orderpriority"), F.lit(" — "), word))
@@ -68,7 +67,7 @@ def mining_attributes(spark: SparkSession, d: str) -> DataFrame:
     them; every 9th order is outside the state.
     """
     from .. import config
-    o = spread(table(spark, d, "orders"))
+    o = table(spark, d, "orders")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     subs = F.array(*[F.lit(s) for s in config.MINING_SUBSTANCES + [OTHER_SUBSTANCE]])
     phases = F.array(*[F.lit(p) for vs, _ in config.MINING_PHASE_GROUPS for p in vs] + [F.lit(OTHER_PHASE)])
@@ -90,7 +89,7 @@ def mining_attributes(spark: SparkSession, d: str) -> DataFrame:
 
 def mining_geometry(spark: SparkSession, d: str) -> DataFrame:
     """ESRI-like geometry rows from customers: a closed triangle, or no vertices every 11th."""
-    cu = spread(table(spark, d, "customer"))
+    cu = table(spark, d, "customer")
     c = F.col("c_custkey")
     x, y = F.col("c_acctbal"), F.col("c_nationkey").cast("double")
     ring = F.array(F.array(x, y), F.array(x + 1.0, y + 1.0), F.array(x, y))
@@ -113,7 +112,7 @@ def tender_lines(spark: SparkSession, d: str) -> DataFrame:
     after five fields (null-padded), every 10th supplier name is quoted and
     holds a ``;``; a third of the lines are not works tenders.
     """
-    li = spread(table(spark, d, "lineitem"))
+    li = table(spark, d, "lineitem")
     k = F.col("l_orderkey")
     s = F.col("l_suppkey").cast("string")
     entity = F.when(F.col("l_suppkey") % 10 == 0, F.concat(F.lit('"Ent'), s, F.lit(';X"'))) \
@@ -145,7 +144,7 @@ PERMIT_CATEGORIES = ["R2-01", "nr1-3", "C1", "comercial", "I2", "E1", "ZM"]
 
 def permit_grid(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Grid rows ``(file, sheet, sheet_idx, row_idx, cells)`` and the ``file → ano`` map."""
-    o = spread(table(spark, d, "orders"))
+    o = table(spark, d, "orders")
     y = F.year("o_orderdate")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     cat = F.element_at(F.array(*[F.lit(x) for x in PERMIT_CATEGORIES], F.lit(None).cast("string")),

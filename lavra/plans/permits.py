@@ -14,12 +14,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import config
 from ..functions import (br_money, concat_skip_blank, extract_optional_int, first_match_regex,
                          parse_two_formats, snake_keep_accents)
-from ..operators import (apply_header, coalesce_variants, col_or_null, grouped_report, header_rows, keep_first,
-                         latest_variant, override_merge, pick_sheet)
+from ..operators import (apply_header, coalesce_variants, col_or_null, grouped_report, keep_first, latest_variant,
+                         override_merge, sheet_headers)
 from ..sources import extract_links
 
 AREA_COLUMNS = {"area_construcao_m2", "area_terreno_m2"}
 DATE_COLUMNS = {"dt_aprovacao", "dt_autuacao"}
+# every spelling that silver reads; other columns of a workbook are not silver's
+PERMIT_RAW_COLUMNS = list(dict.fromkeys(
+    [c for _, variants in config.PERMIT_COLUMN_VARIANTS for c in variants]
+    + [config.PERMIT_BLOCKS_DIRECT, *config.PERMIT_BLOCKS_PARTS]))
 
 
 def records(grid: DataFrame, years: DataFrame, ingest_date: str) -> DataFrame:
@@ -27,12 +31,9 @@ def records(grid: DataFrame, years: DataFrame, ingest_date: str) -> DataFrame:
 
     ``years`` maps ``file`` → ``ano`` (one row per file).
     """
-    chosen = pick_sheet(grid).select("file", "sheet_idx")
-    sheet = grid.join(chosen, ["file", "sheet_idx"], "left_semi")
-    heads = header_rows(sheet, config.PERMIT_HEADER_WORDS).join(chosen, "file")
-    # the collected per-file header table carries the sheet choice: the
-    # records plan reads the grid once more, without re-deciding anything
-    recs = apply_header(grid, heads, snake_keep_accents)
+    # one pass decides sheet and header of every file, one more reads the records
+    heads = sheet_headers(grid, config.PERMIT_HEADER_WORDS)
+    recs = apply_header(grid, heads, snake_keep_accents, columns=PERMIT_RAW_COLUMNS)
     return recs.join(years.select("file", F.col("ano").alias("ano_referencia")), "file") \
                .withColumn("dt_ingestao", F.lit(ingest_date))
 

@@ -11,13 +11,14 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.utils import AnalysisException
 
 from .. import config
 from ..functions import first_match_regex, lower_contains_any, parse_iso
 from ..operators import (commit_keys, flatten_json, grouped_report, keep_first, pending,
                          read_ledger, reset_ledger, window_diagnostics, window_plan)
-from ..operators.joins import bounded_broadcast
-from ..sources import read_envelope_pages
+from ..sources.jsonl import missing_path
+from ..sources.sinks import write_parquet
 
 PAYLOAD_SCHEMA = """
 numeroControlePNCP string, numeroCompra string, processo string, anoCompra bigint,
@@ -105,40 +106,70 @@ def report(silver: DataFrame) -> DataFrame:
 
 def categories(spark: SparkSession) -> DataFrame:
     rows = [(c, g, n) for c, g, n in config.PROCUREMENT_MODALITIES]
-    return bounded_broadcast(spark.createDataFrame(rows, "category int, granularity string, name string"),
-                             len(rows))
+    return spark.createDataFrame(rows, "category int, granularity string, name string")
 
 
-def landed_pages(spark: SparkSession, landing: str) -> DataFrame:
-    """Pages landed as ``landing/<category>/<start>_<end>/page_<n>.json``.
+# landing/<category>/<start>_<end>/page_<n>.json, or the same as partition folders
+# (category=…/window=…_…/page=<n>/part-….json); a failed call lands an envelope with
+# ``error``, or a file ending in .error
+_WINDOW = r"/(?:category=)?(\d+)/(?:window=)?(\d{8})_(\d{8})/"
+PAGE_SCHEMA = "data array<string>, totalPaginas bigint, error string"
 
-    A page that failed to download is landed as ``page_<n>.error`` holding the
-    error text (not read as data) and counts as an event for its window.
-    """
-    rows = read_envelope_pages(spark, f"{landing}/*/*/*.json")
-    win = F.regexp_extract("source_file", r"/(\d+)/(\d{8})_(\d{8})/[^/]+$", 0)
-    return rows.withColumn("key", F.concat_ws(":", F.regexp_extract(win, r"/(\d+)/", 1),
-                                              F.regexp_extract(win, r"/(\d{8})_", 1),
-                                              F.regexp_extract(win, r"_(\d{8})/", 1)))
+
+def _window_key(path: Column) -> Column:
+    parts = [F.regexp_extract(path, _WINDOW, g) for g in (1, 2, 3)]
+    return F.when(parts[0] != "", F.concat_ws(":", *parts))
 
 
-def landed_events(spark: SparkSession, landing: str) -> DataFrame:
-    errors = (spark.read.format("binaryFile").option("pathGlobFilter", "*.error")
-              .option("recursiveFileLookup", "true").load(landing).select("path"))
-    m = F.regexp_extract("path", r"/(\d+)/(\d{8})_(\d{8})/[^/]+$", 0)
-    return errors.select(F.concat_ws(":", F.regexp_extract(m, r"/(\d+)/", 1),
-                                     F.regexp_extract(m, r"/(\d{8})_", 1),
-                                     F.regexp_extract(m, r"_(\d{8})/", 1)).alias("key"))
+def landed_folders(spark: SparkSession, landing: str) -> DataFrame:
+    """key, folder, n_errors of every landed window: a listing, no file is opened."""
+    try:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .option("pathGlobFilter", "*.{json,error}").load(landing).select("path"))
+    except AnalysisException as exc:
+        if not missing_path(exc):
+            raise
+        return spark.createDataFrame([], "key string, folder string, n_errors bigint")
+    return (files.withColumn("key", _window_key(F.col("path"))).filter("key is not null")
+            .groupBy("key", F.regexp_extract("path", r"^(.*?)" + _WINDOW[:-1], 0).alias("folder"))
+            .agg(F.count_if(F.col("path").endswith(".error")).alias("n_errors")))
+
+
+def landed_pages(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """One row per page of the given window folders: key, page, records as JSON text, total, error."""
+    if not folders:
+        return spark.createDataFrame([], f"key string, page int, source_file string, {PAGE_SCHEMA}")
+    pages = (spark.read.schema(PAGE_SCHEMA).option("multiLine", "true").option("pathGlobFilter", "*.json")
+             .option("recursiveFileLookup", "true").json(folders)
+             .withColumn("source_file", F.col("_metadata.file_path")))
+    return pages.select(_window_key(F.col("source_file")).alias("key"),
+                        F.regexp_extract("source_file", r"page[_=](\d+)", 1).try_cast("int").alias("page"),
+                        "source_file", "data", "totalPaginas", "error")
+
+
+def landed_counts(pages: DataFrame) -> DataFrame:
+    """Per window: pages landed of how many, failed calls, records seen and kept; one pass."""
+    kept = F.filter("data", lambda x: lower_contains_any(F.get_json_object(x, "$.objetoCompra"), config.WORKS_KEYWORDS))
+    good = F.col("error").isNull() & F.col("data").isNotNull()
+    return pages.groupBy("key").agg(
+        F.size(F.collect_set(F.when(good, F.col("page")))).alias("n_pages"),
+        F.coalesce(F.max(F.when(good, F.col("totalPaginas"))), F.lit(0)).alias("total"),
+        F.count_if(~good).alias("n_failed"),
+        F.sum(F.coalesce(F.size("data"), F.lit(0)).cast("bigint")).alias("rows_seen"),
+        F.sum(F.coalesce(F.size(kept), F.lit(0)).cast("bigint")).alias("rows_kept"))
 
 
 def ingest(spark: SparkSession, landing: str, lake: str, years: list[int],
            mode: str = "append", ingest_date: str | None = None) -> DataFrame:
     """Incremental bronze load with commit-after-write; returns per-category diagnostics.
 
-    Windows already in the ledger are skipped; rows of every pending window
-    are appended to bronze (a failed window keeps its partial rows, and is
-    retried next run — silver keeps the first copy); only windows without an
-    event are committed, after the bronze write succeeded.
+    Windows in the ledger are skipped, and only the folders of pending windows
+    are read. Their rows are appended to bronze (a failed or incomplete window
+    keeps its partial rows and is retried; silver keeps the first copy). A
+    window is committed, after the bronze write, only if it was answered in
+    full: a landed page (which may be empty), no failed call, and every page
+    from 1 to ``totalPaginas``. A window with nothing landed stays pending.
+    Nothing is written where no pending window has landed anything.
     """
     ledger, bronze = f"{lake}/_ledger", f"{lake}/bronze"
     if mode == "overwrite":
@@ -149,38 +180,50 @@ def ingest(spark: SparkSession, landing: str, lake: str, years: list[int],
     # no .cache() here: cached data is matched by plan, and a plan over the
     # ledger path looks the same before and after the ledger changes
     todo = pending(plan, committed)
-    rows = landed_pages(spark, landing).join(todo.select("key", "category", "name", "start"), "key", "left_semi")
-    rows = rows.join(todo.select("key", "category", "name", "start"), "key")
-    kept = works_filter(rows)
-    day = ingest_date or F.date_format(F.current_date(), "yyyy-MM-dd")
-    new = kept.select("payload", F.lit("pncp").alias("fonte"), F.col("name").alias("modalidade"),
-                      F.substring("start", 1, 4).alias("ano_referencia"),
-                      (F.lit(day) if isinstance(day, str) else day).alias("dt_ingestao"),
-                      "source_file", F.col("position").cast("bigint"))
-    new.write.mode("overwrite" if mode == "overwrite" else "append").parquet(bronze)
-    events = landed_events(spark, landing).groupBy("key").agg(F.count(F.lit(1)).alias("n_events"))
-    # rows seen and kept per window in one pass over the landed pages
-    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows_seen"),
-                                     F.count_if(is_works()).alias("rows_kept"))
-    outcome = (plan.join(counts, "key", "left").join(events, "key", "left")
+    # at most one folder per planned window
+    landed = landed_folders(spark, landing).join(todo.select("key"), "key", "left_semi").collect()
+    errors = spark.createDataFrame([(r["key"], r["n_errors"]) for r in landed], "key string, n_errors bigint")
+    pages = landed_pages(spark, [r["folder"] for r in landed])
+    if landed or mode == "overwrite":
+        rows = (pages.filter("error is null").select("key", "source_file", F.posexplode("data").alias("position", "payload"))
+                .join(todo.select("key", "name", "start"), "key"))
+        day = F.lit(ingest_date) if ingest_date else F.date_format(F.current_date(), "yyyy-MM-dd")
+        new = works_filter(rows).select(
+            "payload", F.lit("pncp").alias("fonte"), F.col("name").alias("modalidade"),
+            F.substring("start", 1, 4).alias("ano_referencia"), day.alias("dt_ingestao"),
+            "source_file", F.col("position").cast("bigint"))
+        new.write.mode("overwrite" if mode == "overwrite" else "append").parquet(bronze)
+    events = F.coalesce("n_errors", F.lit(0)) + F.coalesce("n_failed", F.lit(0))
+    outcome = (plan.join(landed_counts(pages), "key", "left").join(errors, "key", "left")
                .join(todo.select("key", F.lit(False).alias("pending_flag")), "key", "left")
-               .select("key", F.col("name").alias("category"),
-                       F.col("pending_flag").isNull().alias("skipped"),
-                       F.coalesce("n_events", F.lit(0)).alias("n_events"),
-                       F.coalesce("rows_seen", F.lit(0)).alias("rows_seen"),
-                       F.coalesce("rows_kept", F.lit(0)).alias("rows_kept")))
+               .select("key", F.col("name").alias("category"), F.col("pending_flag").isNull().alias("skipped"),
+                       events.alias("n_events"), F.coalesce("rows_seen", F.lit(0)).alias("rows_seen"),
+                       F.coalesce("rows_kept", F.lit(0)).alias("rows_kept"),
+                       ((F.coalesce("n_pages", F.lit(0)) > 0) & (events == 0)
+                        & (F.col("n_pages") >= F.col("total"))).alias("complete")))
+    if not landed:
+        return window_diagnostics(outcome)
     # the run's outcome table (one row per window) is written once; the commit
     # and the diagnostics both read that snapshot, taken before the ledger grows
     run_path = f"{lake}/_outcomes/run={uuid.uuid4().hex}"
     outcome.write.mode("overwrite").parquet(run_path)
-    snapshot = spark.read.parquet(run_path)
-    commit_keys(snapshot.filter(~F.col("skipped") & (F.col("n_events") == 0)).select("key"),
-                ledger, "procurement")
+    snapshot = spark.read.schema(outcome.schema).parquet(run_path)
+    commit_keys(snapshot.filter(~F.col("skipped") & F.col("complete")).select("key"), ledger, "procurement")
     return window_diagnostics(snapshot)
 
 
 def read_bronze(spark: SparkSession, lake: str) -> DataFrame:
+    """Bronze rows; none before the first ingest. Any other read error is raised."""
     try:
         return spark.read.schema(BRONZE_SCHEMA).parquet(f"{lake}/bronze")
-    except Exception:
+    except AnalysisException as exc:
+        if not missing_path(exc):
+            raise
         return spark.createDataFrame([], BRONZE_SCHEMA)
+
+
+def write_silver(spark: SparkSession, lake: str) -> DataFrame:
+    """Rebuild silver from all of bronze and overwrite the table; returns it."""
+    path = f"{lake}/silver"
+    write_parquet(silver_from_bronze(read_bronze(spark, lake)), path)
+    return spark.read.parquet(path)

@@ -43,11 +43,14 @@ def use_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, as named by ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (a test session) do we create one of our
-    own and register it, so every later call in the session agrees.
+    Where the setting is absent, a local session (as in tests) gets a folder of
+    its own, registered so that every later call agrees; a cluster session is
+    refused, since its executors could not see such a folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="lavra-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -66,19 +69,4 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["build_session", "use_utc", "shared_dir", "scratch_path", "local_path",
-           "spread", "SESSION_DEFAULTS"]
-
-
-def spread(df, min_partitions: int | None = None):
-    """Round-robin a small input over every core; large inputs pass through.
-
-    A single-row-group file is one task however many cores there are; for
-    CPU-heavy text work that is the whole job. On a cluster input splits far
-    outnumber cores and this is a no-op (no extra shuffle).
-    """
-    try:
-        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
-        return df
-    return df.repartition(n) if current < n else df
+           "SESSION_DEFAULTS"]

@@ -6,50 +6,51 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.numbers import to_double
 from ..functions.text import cp1252_from_latin1, na_tokens_to_null
 
 _LINE = "__line"
 _RAW = "__raw_line"
 
 
-def _separators_outside_quotes(sep: str) -> str:
-    s = "\\" + sep if sep in ".^$|?*+()[]{}\\" else sep
-    return s + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# put after a record's last field: the parser reads a blank field and a missing one alike,
+# but this mark shows in the first columns only if the record has no field too many
+_END = "\u0002"
 
 
-def field_count(line: Column, sep: str = ";") -> Column:
-    """Number of fields in a delimited line, separators inside quotes not counted.
+def _options(sep: str) -> dict[str, str]:
+    return {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnPruning": "false"}
 
-    Lines without a quote take the cheap path (a literal split); only quoted
-    lines pay for the quote-aware regex, which looks ahead to the line end.
-    """
-    literal = "\\" + sep if sep in ".^$|?*+()[]{}\\" else sep
-    plain = F.size(F.split(line, literal, -1))
-    quoted = F.size(F.regexp_extract_all(line, F.lit(_separators_outside_quotes(sep)), 0)) + 1
-    return F.when(F.instr(line, '"') == 0, plain).otherwise(quoted)
+
+def _marked(raw: Column, columns: Sequence[str], sep: str) -> Column:
+    """A record's text → struct of its fields, one column more than asked for, the end marked."""
+    schema = ", ".join(f"`{c}` string" for c in [*columns, "__more"])
+    return F.from_csv(F.concat(raw, F.lit(sep + _END)), schema, _options(sep))
+
+
+def _fits(record: Column, columns: Sequence[str]) -> Column:
+    return F.array_contains(F.array(*[F.coalesce(record[c], F.lit("")) for c in [*columns, "__more"]]), _END)
+
+
+def _cell(c: Column, na_tokens: bool) -> Column:
+    c = F.when(c != _END, c)
+    return na_tokens_to_null(c) if na_tokens else c
 
 
 def parse_delimited_lines(lines: DataFrame, columns: Sequence[str], sep: str = ";",
                           line_col: str = "line", na_tokens: bool = True) -> DataFrame:
     """Text lines → all-text columns with the spreadsheet-tool bad-line policy.
 
-    A line with more fields than ``columns`` is dropped, a shorter one is
-    padded with nulls (Spark's own CSV modes either truncate long lines or drop
-    short ones). Every other column of ``lines`` passes through.
+    A line with more fields than ``columns`` is dropped, also if the fields too
+    many are blank; a shorter one is padded with nulls. Each line is parsed
+    once. Every other column of ``lines`` passes through.
     """
-    n = len(columns)
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    parsed = F.from_csv(F.col(line_col), schema, {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
     others = [F.col(f"`{c}`") for c in lines.columns if c != line_col]
     # explode(array(x)) is a generator the optimizer will not fold into the
     # field accesses below, so each line is parsed once (not once per field)
-    kept = lines.filter(field_count(F.col(line_col), sep) <= n) \
-                .select(*others, F.explode(F.array(parsed)).alias("__r"))
-    out = []
-    for c in columns:
-        v = F.col("__r")[c]
-        out.append((na_tokens_to_null(v) if na_tokens else v).alias(c))
-    return kept.select(*others, *out)
+    kept = lines.select(*others, F.explode(F.array(_marked(F.col(line_col), columns, sep))).alias("__r"))
+    return (kept.filter(_fits(F.col("__r"), columns))
+            .select(*others, *[_cell(F.col("__r")[c], na_tokens).alias(c) for c in columns]))
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str], charset: str = "ISO-8859-1",
@@ -77,30 +78,60 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], charset: str = "I
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str],
                    sep: str = ";", charset: str = "ISO-8859-1", header: bool = True,
-                   na_tokens: bool = True) -> DataFrame:
-    """All-text delimited read with the strict bad-line policy (see
-    ``parse_delimited_lines``): lines are read whole, then parsed once each.
+                   na_tokens: bool = True, quoted_newlines: bool = True) -> DataFrame:
+    """All-text delimited read with the strict bad-line policy (see ``parse_delimited_lines``).
 
-    Reading lines first keeps the common case (a line with exactly
-    ``len(columns)`` fields) off Spark's malformed-record path, which raises
-    and catches an exception per record.
+    A quoted field may hold line breaks, so a file is read from its start by one task;
+    ``quoted_newlines=False`` lets Spark split files known to hold none.
     """
-    lines = read_lines(spark, path, charset, header, line_col=_RAW)
-    return parse_delimited_lines(lines, columns, sep, line_col=_RAW, na_tokens=na_tokens)
+    spark_charset = "ISO-8859-1" if charset.lower() in ("windows-1252", "cp1252") else charset
+    schema = ", ".join(f"`{c}` string" for c in [*columns, _RAW])
+    raw = (spark.read.schema(schema).options(**_options(sep)).option("columnNameOfCorruptRecord", _RAW)
+           .option("header", str(header).lower()).option("enforceSchema", "true").option("encoding", spark_charset)
+           .option("multiLine", str(quoted_newlines).lower()).csv(path))
+    others = [F.col(f"`{c}`") for c in raw.columns if c not in (*columns, _RAW)]
+
+    def text(c: Column) -> Column:
+        return c if spark_charset == charset else cp1252_from_latin1(c)
+
+    # only records with another number of fields are looked at again
+    again = F.when(F.col(_RAW).isNotNull(), _marked(F.col(_RAW), columns, sep))
+    rows = raw.select(*others, _RAW, *[F.col(f"`{c}`") for c in columns], F.explode(F.array(again)).alias("__r"))
+    odd = F.col(_RAW).isNotNull()
+    # always true, but it names a data column: Spark refuses to read the record's text alone
+    named = F.coalesce(F.col(f"`{columns[0]}`"), F.lit("")) >= ""
+    return (rows.filter(named & (~odd | _fits(F.col("__r"), columns)))
+            .select(*others, *[_cell(text(F.when(odd, F.col("__r")[c]).otherwise(F.col(f"`{c}`"))), na_tokens).alias(c)
+                               for c in columns]))
+
+
+_WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
+_TRUTH = r"^(?:True|False|TRUE|FALSE|true|false)$"
 
 
 def read_inferred(spark: SparkSession, path: str | Sequence[str], sep: str = ";",
                   charset: str = "UTF-8") -> DataFrame:
-    """Header + inferred types, doubled quotes inside quotes read as one quote."""
+    """Header + inferred types over the strict read: long lines dropped, short ones padded.
+
+    Names come from the header; one aggregation over the text columns finds those whose every
+    value is a whole number, a number or a truth value (missing ones aside); others stay text.
+    """
     spark_charset = "ISO-8859-1" if charset.lower() in ("windows-1252", "cp1252") else charset
-    df = (spark.read.option("sep", sep).option("header", "true").option("inferSchema", "true")
-          .option("encoding", spark_charset).option("quote", '"').option("escape", '"')
-          .option("mode", "DROPMALFORMED").csv(path))
-    if spark_charset != charset:
-        df = df.select(*[cp1252_from_latin1(F.col(f"`{c}`")).alias(cp1252_name(c))
-                         if t == "string" else F.col(f"`{c}`").alias(cp1252_name(c))
-                         for c, t in df.dtypes])
-    return df
+    head = (spark.read.option("sep", sep).option("header", "true").option("quote", '"').option("escape", '"')
+            .option("encoding", spark_charset).option("multiLine", "true").csv(path))
+    names = [cp1252_name(c) if spark_charset != charset else c for c in head.columns]
+    text = read_delimited(spark, path, names, sep=sep, charset=charset)
+    cols = [F.col(f"`{c}`") for c in names]
+    counts = text.agg(*[x for i, c in enumerate(cols) for x in (
+        F.count(c).alias(f"n{i}"), F.count_if(c.rlike(_WHOLE)).alias(f"i{i}"),
+        F.count(to_double(c)).alias(f"d{i}"), F.count_if(c.rlike(_TRUTH)).alias(f"b{i}"))]).first()
+    out = []
+    for i, (c, name) in enumerate(zip(cols, names)):
+        n = counts[f"n{i}"]
+        kind = next((k for k, key in (("bigint", "i"), ("double", "d"), ("boolean", "b")) if n and counts[f"{key}{i}"] == n),
+                    None)
+        out.append((F.trim(c).cast(kind) if kind else c).alias(name))
+    return text.select(*[F.col(f"`{c}`") for c in text.columns if c not in names], *out)
 
 
 def cp1252_name(name: str) -> str:

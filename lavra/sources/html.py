@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-ANCHOR_HREF = r'<a\b[^>]*?\bhref="([^"]+)"'
+# a value in either kind of quotes, or bare; an attribute name follows white space
+ANCHOR_HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]+)"|'([^']+)'|([^\s"'>]+))"""
 
 
 def extract_links(df: DataFrame, html: str, base: Column | str, keep: Sequence[str] = (),
@@ -18,7 +19,10 @@ def extract_links(df: DataFrame, html: str, base: Column | str, keep: Sequence[s
     """
     base_col = F.col(base) if isinstance(base, str) and base in df.columns else (
         base if isinstance(base, Column) else F.lit(base))
-    hrefs = F.regexp_extract_all(F.col(html), F.lit(ANCHOR_HREF), 1)
+    hrefs = F.transform(
+        F.arrays_zip(*[F.regexp_extract_all(F.col(html), F.lit(ANCHOR_HREF), g).alias(f"g{g}") for g in (1, 2, 3)]),
+        lambda m: F.concat(F.coalesce(m["g1"], F.lit("")), F.coalesce(m["g2"], F.lit("")),
+                           F.coalesce(m["g3"], F.lit(""))))
     out = df.select(*keep, base_col.alias("__base"), F.posexplode(hrefs).alias("link_pos", "href"))
     if fragment:
         out = out.filter(F.contains(F.col("href"), F.lit(fragment)))

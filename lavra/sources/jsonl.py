@@ -12,9 +12,14 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> Data
     try:
         return spark.read.schema(schema).json(path)
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return spark.createDataFrame([], schema)
-        raise
+        if not missing_path(exc):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def missing_path(exc: AnalysisException) -> bool:
+    """Whether a read failed only because there is nothing at the path."""
+    return exc.getCondition() == "PATH_NOT_FOUND"
 
 
 def read_envelope_pages(spark: SparkSession, path: str, rows_field: str = "data") -> DataFrame:

@@ -8,7 +8,6 @@ from lavra.functions import (br_money, br_quantity, concat_skip_blank, cp1252_fr
                              first_ring_centroid, nullable_int, parse_dayfirst, parse_iso,
                              parse_two_formats, snake_ascii, snake_keep_accents, strip_unicode,
                              to_double, url_basename)
-from lavra.functions.classify import literal_alternatives
 from lavra.functions.names import dedupe_names
 from tests.conftest import values
 
@@ -66,12 +65,6 @@ def test_land_use_rules(spark):
     assert got == ["residencial", "comercial", "outros", "outros", "equipamento"]
 
 
-def test_literal_alternatives():
-    assert literal_alternatives("ub[sc]|cras") == ["ubs", "ubc", "cras"]
-    assert literal_alternatives("R[1-3]") == ["R1", "R2", "R3"]
-    assert literal_alternatives("a.b") is None and literal_alternatives("(x)") is None
-
-
 def test_regex_fallback_matches_rlike(spark):
     rules = [("^ab+c$", "anchored"), ("x|y", "xy")]
     assert values(spark, first_match_regex("x", rules, "none"), ["abbc", "AY", "q"]) == ["anchored", "xy", "none"]
@@ -112,3 +105,19 @@ def test_optional_group_and_paths(spark):
     pat = config.PERMIT_LINK_PATTERN
     assert values(spark, extract_optional_int("x", pat, 2), ["sissel_ano_2026_03", "sissel_ano_2025"]) == [3, 0]
     assert values(spark, url_basename("x"), ["https://h/a/Arq%20X.xlsx?d=1"]) == ["Arq X.xlsx"]
+
+
+def test_nullable_int_exact(spark):
+    assert values(spark, nullable_int("x"), ["9007199254740993", "7.0", "7.5", "1e3", " -4. ", "99999999999999999999"]) \
+        == [9007199254740993, 7, None, 1000, -4, None]
+
+
+def test_parse_iso_offsets_keep_wall_clock(spark):
+    got = values(spark, parse_iso("x"), ["2024-01-15T10:00:00Z", "2024-01-15T10:00:00-03:00", "2024-01-15", "2024Z"])
+    assert got == [dt.datetime(2024, 1, 15, 10)] * 2 + [dt.datetime(2024, 1, 15), None]
+
+
+def test_name_rules():
+    assert snake_ascii(" Valor  Investido ($) ") == "valor__investido_s" and snake_ascii("Açaí/ção-1") == "acaicao1"
+    assert snake_keep_accents("Área da Construção (m²)") == "área_da_construção_m"
+    assert snake_keep_accents("__a__b//c%") == "a_b_c" and snake_keep_accents("") == ""

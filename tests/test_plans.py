@@ -43,11 +43,11 @@ def test_procurement_silver_edge_rows(spark):
                    ("drenagem", "M"): (0, 1.0), ("construção geral", "M"): (1, 1.0)}
 
 
-def _land(landing, cat, start, end, page, rows):
+def _land(landing, cat, start, end, page, rows, total=1):
     d = os.path.join(landing, str(cat), f"{start}_{end}")
     os.makedirs(d, exist_ok=True)
     with open(os.path.join(d, f"page_{page}.json"), "w") as fh:
-        json.dump({"data": rows, "totalPaginas": 1}, fh)
+        json.dump({"data": rows, "totalPaginas": total}, fh)
 
 
 def test_procurement_ingest_commit_after_write(spark, tmp):
@@ -63,12 +63,28 @@ def test_procurement_ingest_commit_after_write(spark, tmp):
     assert diag["Concorrência Eletrônica"].evaluated == 2 and diag["Concorrência Eletrônica"].found == 1
     assert diag["Dispensa de Licitação"].with_event == 1
     assert procurement.read_bronze(spark, lake).count() == 2
-    # second run: committed windows are skipped, the failed one is retried
+    # second run: only answered windows are skipped; the failed one and those never landed stay pending
     diag2 = {r.category: r for r in procurement.ingest(spark, landing, lake, [2024], ingest_date="2024-02-02").collect()}
-    assert diag2["Concorrência Eletrônica"].skipped == 12 and diag2["Concorrência Eletrônica"].windows == 0
-    assert diag2["Dispensa de Licitação"].windows == 1  # only the failed window is retried
-    assert diag2["Dispensa de Licitação"].skipped == 11 and diag2["Dispensa de Licitação"].with_event == 1
+    assert diag2["Concorrência Eletrônica"].skipped == 1 and diag2["Concorrência Eletrônica"].windows == 11
+    assert diag2["Dispensa de Licitação"].windows == 12
+    assert diag2["Dispensa de Licitação"].skipped == 0 and diag2["Dispensa de Licitação"].with_event == 1
     assert procurement.read_bronze(spark, lake).count() == 2
+    # a window landed later, and one whose second page comes later, still load
+    _land(landing, 4, "20240201", "20240229", 1, [{"numeroControlePNCP": "d", "objetoCompra": "obra"}], total=2)
+    _land(landing, 4, "20240301", "20240331", 1, [], total=0)
+    procurement.ingest(spark, landing, lake, [2024])
+    keys = {r.key for r in procurement.read_ledger(spark, f"{lake}/_ledger", "procurement").collect()}
+    assert "4:20240201:20240229" not in keys and "4:20240301:20240331" in keys  # truly empty is an answer
+    _land(landing, 4, "20240201", "20240229", 2, [{"numeroControlePNCP": "e", "objetoCompra": "obra"}], total=2)
+    procurement.ingest(spark, landing, lake, [2024])
+    keys = {r.key for r in procurement.read_ledger(spark, f"{lake}/_ledger", "procurement").collect()}
+    assert "4:20240201:20240229" in keys
+    assert {r.numero_controle_pncp for r in procurement.write_silver(spark, lake).collect()} == {"a", "c", "d", "e"}
+    # nothing pending has landed: no new bronze file
+    os.remove(f"{landing}/8/20240101_20240131/page_1.error")
+    files = sorted(os.listdir(f"{lake}/bronze"))
+    procurement.ingest(spark, landing, lake, [2024])
+    assert sorted(os.listdir(f"{lake}/bronze")) == files
 
 
 def _tender_zip(lines):
@@ -155,7 +171,7 @@ def test_procurement_overwrite_mode_forgets_ledger(spark, tmp):
     _land(landing, 4, "20240101", "20240131", 1, [{"numeroControlePNCP": "a", "objetoCompra": "obra"}])
     procurement.ingest(spark, landing, lake, [2024], ingest_date="2024-02-01")
     again = {r.category: r for r in procurement.ingest(spark, landing, lake, [2024]).collect()}
-    assert again["Concorrência Eletrônica"].windows == 0
+    assert again["Concorrência Eletrônica"].windows == 11  # the answered one is skipped, the others never landed
     fresh = {r.category: r for r in procurement.ingest(spark, landing, lake, [2024], mode="overwrite").collect()}
     assert fresh["Concorrência Eletrônica"].windows == 12 and fresh["Concorrência Eletrônica"].found == 1
     assert procurement.read_bronze(spark, lake).count() == 1  # overwrite replaced the bronze

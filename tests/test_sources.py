@@ -107,3 +107,25 @@ def test_layers_routing_and_landing(spark, tmp):
     land_bytes(read_bytes(spark, os.path.join(tmp, "bronze", "x_y")), os.path.join(tmp, "landed"))
     got = spark.read.parquet(os.path.join(tmp, "landed")).collect()
     assert [(r.length, bytes(r.content)) for r in got] == [(3, b"333")]
+
+
+def test_delimited_stray_quotes_and_quoted_newlines(spark, tmp):
+    path = os.path.join(tmp, "q.csv")
+    records = ['a;5" pipe;y', 'a;5" pipe;y;z', '"q\nnl";b;c', "x;y;", "x;y;z;", "x;y;z;;", "only", '"d""q";;3']
+    with open(path, "wb") as fh:
+        fh.write(("\n".join(records) + "\n").encode("latin-1"))
+    df = read_delimited(spark, path, ["a", "b", "c"], sep=";", header=False)
+    # by hand from the policy: fields too many drop a record, also blank ones; missing ones are null
+    want = [("a", '5" pipe', "y"), ("q\nnl", "b", "c"), ("x", "y", None), ("only", None, None), ('d"q', None, "3")]
+    assert sorted((tuple(r) for r in df.collect()), key=repr) == sorted(want, key=repr)
+    assert df.select("b").count() == len(want)
+
+
+def test_inferred_pads_short_rows_and_reads_missing_tokens(spark, tmp):
+    path = os.path.join(tmp, "i.csv")
+    with open(path, "wb") as fh:
+        fh.write("h1;h2;h3;h4\n1;2,5;1.5;x\n2;NA;N/A\n3;text;2;\x81y\n4;5;6;7;8\n".encode("latin-1"))
+    df = read_inferred(spark, path, sep=";", charset="windows-1252")
+    assert dict(df.dtypes) == {"h1": "bigint", "h2": "string", "h3": "double", "h4": "string"}
+    rows = {r.h1: r for r in df.collect()}
+    assert sorted(rows) == [1, 2, 3] and rows[2].h2 is None and rows[2].h3 is None and rows[2].h4 is None
