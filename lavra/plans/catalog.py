@@ -524,6 +524,33 @@ def q_procurement_report(spark: SparkSession, d: str) -> DataFrame:
     return report(silver_from_bronze(spark.read.schema(BRONZE_SCHEMA).parquet(path)))
 
 
+def q_ingest_replay(spark: SparkSession, d: str) -> DataFrame:
+    """Two ingest runs over landed pages: which windows each run commits, and the rows bronze ends with."""
+    from . import procurement
+    from .driver_bronze import landed_replay
+    staged = scratch_path(spark, "replay_pages")
+    landed_replay(spark, d).write.mode("overwrite").parquet(staged)
+    pages = spark.read.parquet(staged)
+    years = [r["y"] for r in pages.select(F.substring("window", 1, 4).cast("int").alias("y")).distinct().collect()]
+    landing, lake = scratch_path(spark, "replay_landing"), scratch_path(spark, "replay_lake")
+    done = []
+    for run in (1, 2):
+        (pages.filter(F.col("run") == run).drop("run").repartition("category", "window", "page").write.mode("append")
+         .partitionBy("category", "window", "page").json(landing))
+        procurement.ingest(spark, landing, lake, years, ingest_date=f"2024-01-0{run}").write.format("noop").mode(
+            "overwrite").save()
+        committed = scratch_path(spark, "replay_committed")  # the ledger as this run left it
+        procurement.read_ledger(spark, f"{lake}/_ledger", "procurement").select("key").write.parquet(committed)
+        done.append(spark.read.parquet(committed).withColumn(f"run_{run}", F.lit(True)))
+    windows = pages.select(F.concat_ws(":", F.col("category").cast("string"), F.replace("window", F.lit("_"), F.lit(":")))
+                           .alias("key")).distinct()
+    rows = (procurement.read_bronze(spark, lake).groupBy(procurement._window_key(F.col("source_file")).alias("key"))
+            .agg(F.count(F.lit(1)).alias("n")))
+    return (windows.join(done[0], "key", "left").join(done[1], "key", "left").join(rows, "key", "left")
+            .select("key", *[F.coalesce(f"run_{r}", F.lit(False)).alias(f"committed_{r}") for r in (1, 2)],
+                    F.coalesce("n", F.lit(0)).alias("bronze_rows")))
+
+
 def _mining_silver(spark: SparkSession, d: str) -> DataFrame:
     from . import mining
     from .driver_bronze import mining_attributes, mining_geometry
@@ -643,6 +670,7 @@ QUERIES: dict[str, Query] = {
     "stream_append": q_stream_append,
     "stream_dedup": q_stream_dedup,
     "procurement_report": q_procurement_report,
+    "ingest_replay": q_ingest_replay,
     "mining_report": q_mining_report,
     "mining_coverage": q_mining_coverage,
     "tenders_silver": q_tenders_silver,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .tables import table
 
@@ -54,6 +54,48 @@ def procurement_bronze(spark: SparkSession, d: str, works_only: bool = False) ->
                     k.alias("position"))
 
 
+# Landed API pages derived from orders: order keys per page
+PAGE_KEYS = 50_000
+REPLAY_CATEGORY, EMPTY_CATEGORY = 4, 5
+
+
+def landed_replay(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of monthly windows: category, window, page, run (when it lands), data, totalPaginas, error.
+
+    A month's orders come in pages of PAGE_KEYS order keys. By month number since
+    year 0, modulo 5: 0 lands in run 2 only; 1 lacks its last page in run 1, where it has
+    several; 2 fails its first page in run 1; the others land whole in run 1. The
+    second category answers every month with one empty page.
+    """
+    o = table(spark, d, "orders")
+    k, day = F.col("o_orderkey"), F.col("o_orderdate")
+    month = F.trunc(day, "MM")
+    word = F.element_at(F.array(*[F.lit(w) for w in OBJECT_WORDS[:4]], F.lit("compra de papel")), (k % 5 + 1).cast("int"))
+    notice = F.struct(F.concat(F.lit("pncp-"), k.cast("string")).alias("numeroControlePNCP"), word.alias("objetoCompra"))
+    blocks = (o.groupBy(month.alias("m"), F.floor(k / PAGE_KEYS).alias("block"))
+              .agg(F.array_sort(F.collect_list(notice)).alias("data")))
+    # a month's pages, numbered in the order of their key blocks
+    by_month = Window.partitionBy("m")
+    paged = blocks.withColumns({"page": F.row_number().over(by_month.orderBy("block")),
+                                "totalPaginas": F.count(F.lit(1)).over(by_month)})
+    case = (F.year("m") * 12 + F.month("m")) % 5
+    window = F.concat_ws("_", F.date_format("m", "yyyyMMdd"), F.date_format(F.last_day("m"), "yyyyMMdd"))
+    last = F.col("page") == F.col("totalPaginas")
+    late = (case == 0) | ((case == 1) & last & (F.col("page") > 1)) | ((case == 2) & (F.col("page") == 1))
+    real = paged.select(F.lit(REPLAY_CATEGORY).alias("category"), window.alias("window"), "page",
+                        F.when(late, 2).otherwise(1).alias("run"), "data", "totalPaginas",
+                        F.lit(None).cast("string").alias("error"))
+    failed = paged.filter((case == 2) & (F.col("page") == 1)).select(
+        F.lit(REPLAY_CATEGORY).alias("category"), window.alias("window"), "page", F.lit(1).alias("run"),
+        F.lit(None).cast(paged.schema["data"].dataType).alias("data"), F.lit(None).cast("bigint").alias("totalPaginas"),
+        F.lit("HTTP 500").alias("error"))
+    empty = paged.select("m").distinct().select(
+        F.lit(EMPTY_CATEGORY).alias("category"), window.alias("window"), F.lit(1).alias("page"), F.lit(1).alias("run"),
+        F.array().cast(paged.schema["data"].dataType).alias("data"), F.lit(0).cast("bigint").alias("totalPaginas"),
+        F.lit(None).cast("string").alias("error"))
+    return real.unionByName(failed).unionByName(empty)
+
+
 # Mining claims derived from orders (attributes) and customers (geometry).
 OTHER_SUBSTANCE = "OURO"
 OTHER_PHASE = "DISPONIBILIDADE"

@@ -490,6 +490,23 @@ SELECT tipo_obra, orgao_esfera_id, count(numero_controle_pncp) AS qtd,
 FROM typed WHERE orgao_esfera_id IS NOT NULL
 GROUP BY tipo_obra, orgao_esfera_id""",
 
+    "ingest_replay": """
+WITH n AS (
+  SELECT date_trunc('month', o_orderdate)::DATE AS m, o_orderkey // 50000 AS block, count(*) AS seen,
+         count(*) FILTER (o_orderkey % 5 <> 4) AS kept
+  FROM orders GROUP BY 1, 2),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY m ORDER BY block) AS page, count(*) OVER (PARTITION BY m) AS total,
+         (year(m) * 12 + month(m)) % 5 AS c FROM n),
+w AS (
+  SELECT m, c, max(total) AS total, sum(kept) AS kept,
+         -- rows of run 1 that a window left incomplete loads again in run 2
+         sum(kept) FILTER ((c = 1 AND total > 1 AND page < total) OR (c = 2 AND page > 1)) AS again
+  FROM p GROUP BY m, c),
+k AS (SELECT *, strftime(m, '%Y%m%d') || ':' || strftime(last_day(m), '%Y%m%d') AS win FROM w)
+SELECT '4:' || win AS key, (c IN (3, 4) OR (c = 1 AND total = 1)) AS committed_1, TRUE AS committed_2,
+       CAST(kept + coalesce(again, 0) AS BIGINT) AS bronze_rows FROM k
+UNION ALL SELECT '5:' || win, TRUE, TRUE, 0 FROM k""",
     "mining_report": f"""
 WITH {_MINING_SILVER}
 SELECT tipo_agregado, fase_grupo, count(processo) AS qtd_processos,

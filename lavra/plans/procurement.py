@@ -122,7 +122,10 @@ def _window_key(path: Column) -> Column:
 
 
 def landed_folders(spark: SparkSession, landing: str) -> DataFrame:
-    """key, folder, n_errors of every landed window: a listing, no file is opened."""
+    """key, folder, n_errors of every landed window: a listing, no file is opened.
+
+    An error file counts until its page is landed beside it.
+    """
     try:
         files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                  .option("pathGlobFilter", "*.{json,error}").load(landing).select("path"))
@@ -132,7 +135,9 @@ def landed_folders(spark: SparkSession, landing: str) -> DataFrame:
         return spark.createDataFrame([], "key string, folder string, n_errors bigint")
     return (files.withColumn("key", _window_key(F.col("path"))).filter("key is not null")
             .groupBy("key", F.regexp_extract("path", r"^(.*?)" + _WINDOW[:-1], 0).alias("folder"))
-            .agg(F.count_if(F.col("path").endswith(".error")).alias("n_errors")))
+            .agg(F.size(F.array_except(F.collect_set(F.regexp_extract("path", r"([^/]+)\.error$", 1)),
+                                       F.array_append(F.collect_set(F.regexp_extract("path", r"([^/]+)\.json$", 1)),
+                                                      F.lit("")))).cast("bigint").alias("n_errors")))
 
 
 def landed_pages(spark: SparkSession, folders: list[str]) -> DataFrame:
@@ -148,13 +153,14 @@ def landed_pages(spark: SparkSession, folders: list[str]) -> DataFrame:
 
 
 def landed_counts(pages: DataFrame) -> DataFrame:
-    """Per window: pages landed of how many, failed calls, records seen and kept; one pass."""
+    """Per window: pages landed of how many, failed pages not landed since, records seen and kept; one pass."""
     kept = F.filter("data", lambda x: lower_contains_any(F.get_json_object(x, "$.objetoCompra"), config.WORKS_KEYWORDS))
     good = F.col("error").isNull() & F.col("data").isNotNull()
     return pages.groupBy("key").agg(
         F.size(F.collect_set(F.when(good, F.col("page")))).alias("n_pages"),
         F.coalesce(F.max(F.when(good, F.col("totalPaginas"))), F.lit(0)).alias("total"),
-        F.count_if(~good).alias("n_failed"),
+        F.size(F.array_except(F.collect_set(F.when(~good, F.coalesce("page", F.lit(-1)))),
+                              F.collect_set(F.when(good, F.col("page"))))).alias("n_failed"),
         F.sum(F.coalesce(F.size("data"), F.lit(0)).cast("bigint")).alias("rows_seen"),
         F.sum(F.coalesce(F.size(kept), F.lit(0)).cast("bigint")).alias("rows_kept"))
 
