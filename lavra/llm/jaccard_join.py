@@ -11,15 +11,17 @@ connected components of all links.
    the first n - ceil(0.8 n) + 1 in that order. Any order is exact; this one
    keeps tokens of common passages out of the first ones. Only tokens that
    two nodes have among their first are kept on.
-3. A node's other first tokens are in no partner, which bounds the
-   intersection it can have: U = n minus those. A pair can only link if
-   80 * (n_a + n_b) <= 180 * min(U_a, U_b), and by sizes.
+3. If the first token that a pair shares has place i in one set and j in the
+   other, the intersection is at most min(n_a - i, n_b - j). So a token is worth
+   following for a pair only if 80 * (n_a + n_b) <= 180 * min(u_a, u_b), where
+   u = n - place, and the sizes allow a link; a linking pair passes by its first
+   shared token at least.
 4. Similar nodes are partitioned into groups: for each token, its nodes are
    compared with the one of them that has the fewest rare tokens, and groups
    are the components of the links so found; a group of thousands of near
    copies takes as many comparisons as it has nodes and tokens, not the square.
 5. The token-group matrix holds each group's union of first tokens, with the
-   smallest size and the largest U of the group's nodes that have the token.
+   sizes and the largest u of the group's nodes that have the token.
    A node is bounded against every other group that shares a token; only
    groups whose bound allows a link are opened, and the node is compared with
    their nodes that pass step 3.
@@ -221,7 +223,10 @@ def _need(n):
 
 
 def _first_tokens(docs: DataFrame, frequent: np.ndarray, words: int) -> DataFrame:
-    """token, node, n, rare: the first tokens of every set in the common order, once per node and task."""
+    """token, node, n, rare, u: the first tokens of every set in the common order, once per node and task.
+
+    rare: tokens that aren't frequent; u: tokens from this one on.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most FREQUENT numbers
 
     def run(batches):
@@ -241,13 +246,15 @@ def _first_tokens(docs: DataFrame, frequent: np.ndarray, words: int) -> DataFram
                 index = np.repeat(np.arange(len(ids)), n)
                 order = np.lexsort((token, late, index))
                 place = np.arange(len(token)) - np.repeat(np.cumsum(n) - n, n)
-                take = order[(place < np.repeat(n - _need(n) + 1, n)) & np.repeat(new, n)]
-                rare = np.add.reduceat(~late, np.cumsum(n) - n)
+                chosen = (place < np.repeat(n - _need(n) + 1, n)) & np.repeat(new, n)
+                take, left = order[chosen], (np.repeat(n, n) - place)[chosen]
+                rare = np.add.reduceat((~late).astype(np.int64), np.cumsum(n) - n)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(token[take]), pa.array(sig[index[take]]), pa.array(n[index[take]].astype(np.int32)),
-                     pa.array(rare[index[take]].astype(np.int32))], ["token", "node", "n", "rare"])
+                     pa.array(rare[index[take]].astype(np.int32)), pa.array(left.astype(np.int32))],
+                    ["token", "node", "n", "rare", "u"])
 
-    return docs.select("text").mapInArrow(run, "token long, node long, n int, rare int")
+    return docs.select("text").mapInArrow(run, "token long, node long, n int, rare int, u int")
 
 
 def _token_sets(texts: DataFrame, words: int) -> DataFrame:
@@ -294,10 +301,7 @@ def link_nodes(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFram
     # of those, tokens that two different nodes have; copies in other tasks were counted above
     shared = (kept.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
               .select("token"))
-    kept = kept.join(shared, "token", "left_semi")
-    bound = kept.groupBy("node").agg((F.first("n") - (F.first("n") - F.ceil(F.first("n") * PERCENT / 100) + 1)
-                                      + F.count(F.lit(1))).cast("int").alias("u"))
-    matrix = store(kept.join(bound, "node"), "matrix")  # token, node, n, rare, u
+    matrix = store(kept.join(shared, "token", "left_semi"), "matrix")  # token, node, n, rare, u
     lead = matrix.groupBy("token").agg(F.min(F.struct("rare", "node", "n", "u")).alias("l"),
                                        F.min("n").alias("n_min"))
     led = store(matrix.join(lead, "token"), "led")
