@@ -7,4 +7,11 @@ Layers: ``sources`` (landed files → bronze DataFrames), ``functions``
 five end-to-end jobs plus the queries registered for the driver).
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# task functions travel by value: executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -98,7 +98,7 @@ def contiguous_watermark(pages: DataFrame, section: str = "section",
     Two aggregations, no ordering window: safe when one section is most rows.
     """
     first_fail = (pages.groupBy(section)
-                  .agg(F.min(F.when(~F.col(ok), F.col(start))).alias("__fail")))
+                  .agg(F.min(F.when(~F.col(ok), F.col(start))).alias("__fail"), F.max(end).alias("__last")))
     joined = pages.join(first_fail, section)
     prefix = F.col(ok) & (F.col("__fail").isNull() | (F.col(start) < F.col("__fail")))
     closes = F.lit(True)
@@ -110,7 +110,7 @@ def contiguous_watermark(pages: DataFrame, section: str = "section",
             closes = closes | (F.col(end) >= F.col("total"))
     return (joined.groupBy(section)
             .agg(F.coalesce(F.max(F.when(prefix & closes, F.col(end))), F.lit(0)).alias("watermark"),
-                 F.max("__fail").alias("first_failed_offset")))
+                 F.max("__fail").alias("first_failed_offset"), F.max("__last").alias("last_offset")))
 
 
 def latest_variant(df: DataFrame, group: str, value: str, rank: Sequence[str]) -> DataFrame:

@@ -28,6 +28,7 @@ from ..operators import (batch_ids, coalesce_variants, contiguous_watermark, cov
                          window_plan, with_lineage)
 from ..session import scratch_path, use_utc
 from ..sources import expand_zip, extract_links, read_delimited
+from .driver_bronze import OBJECT_WORDS
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,9 +67,16 @@ def q_eq_in_filter(spark: SparkSession, d: str) -> DataFrame:
         .select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
 
 
+def works_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Whole document texts; by doc_id, some end with a procurement phrase."""
+    docs = table(spark, d, "documents")
+    phrase = F.get(F.array(*[F.lit(w) for w in OBJECT_WORDS]), (F.col("doc_id") % (len(OBJECT_WORDS) + 3)).cast("int"))
+    return docs.withColumn("text", F.concat_ws(" ", "text", phrase))
+
+
 def q_works_keyword_filter(spark: SparkSession, d: str) -> DataFrame:
     """The procurement keyword list itself, over every document text."""
-    docs = table(spark, d, "documents")
+    docs = works_documents(spark, d)
     return keyword_filter(docs, "text", config.WORKS_KEYWORDS).select("doc_id", "lang")
 
 
@@ -144,7 +152,7 @@ def q_classify_regex(spark: SparkSession, d: str) -> DataFrame:
 
 def q_classify_works(spark: SparkSession, d: str) -> DataFrame:
     """The works-type and land-use rule lists over every document text."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = works_documents(spark, d).select("doc_id", "text")
     return docs.select("doc_id",
                        first_match_regex("text", config.WORKS_TYPE_RULES,
                                          config.WORKS_TYPE_DEFAULT).alias("tipo_obra"),
@@ -154,9 +162,11 @@ def q_classify_works(spark: SparkSession, d: str) -> DataFrame:
 
 def q_classify_set(spark: SparkSession, d: str) -> DataFrame:
     part = table(spark, d, "part")
+    substance = F.get(F.array(*[F.lit(s) for s in config.MINING_SUBSTANCES]),
+                      (F.col("p_partkey") % (len(config.MINING_SUBSTANCES) + 1)).cast("int"))
     return part.select("p_partkey",
                        first_match_set("p_type", PART_TYPE_GROUPS, config.OTHER_GROUP).alias("grupo"),
-                       first_match_set(F.upper("p_brand"), config.MINING_AGGREGATE_GROUPS,
+                       first_match_set(substance, config.MINING_AGGREGATE_GROUPS,
                                        config.OTHER_GROUP).alias("tipo_agregado"))
 
 
@@ -337,31 +347,36 @@ def q_batch_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def event_page_log(spark: SparkSession, d: str, page: int = 100) -> DataFrame:
+    # a section per event type and user parity; sections of even users never fail
     ev = table(spark, d, "events")
-    return (ev.groupBy(F.col("event_type").alias("section"),
+    odd = F.col("user_id") % 2
+    return (ev.groupBy(F.concat_ws(":", "event_type", odd.cast("string")).alias("section"),
                        F.floor(F.col("event_id") / page).alias("page"))
               .agg(F.min("event_id").alias("start_offset"),
                    (F.max("event_id") + 1).alias("end_offset"),
-                   (F.count_if(F.col("value") > FAIL_VALUE) == 0).alias("ok")))
+                   (F.count_if((F.col("value") > FAIL_VALUE) & (odd == 1)) == 0).alias("ok")))
 
 
 def q_contiguous_watermark(spark: SparkSession, d: str) -> DataFrame:
-    pages = event_page_log(spark, d)
-    totals = table(spark, d, "events").groupBy(F.col("event_type").alias("section")) \
-        .agg((F.max("event_id") + 1).alias("total"))
-    wm = contiguous_watermark(pages)
-    return wm.join(totals, "section").select(
+    return contiguous_watermark(event_page_log(spark, d)).select(
         "section", "watermark", "first_failed_offset",
-        (F.col("watermark") >= F.col("total")).alias("complete"))
+        (F.col("watermark") >= F.col("last_offset")).alias("complete"))
 
 
 def event_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    # a category per event type and case: 0 as it is, 1 all skipped, 2 only failures, 3 nothing at all
     ev = table(spark, d, "events")
-    return (ev.groupBy(F.col("event_type").alias("category"), F.to_date("ts").alias("day"))
+    case = F.col("event_id") % 4
+    empty = F.col("kind") >= 2
+    return (ev.groupBy(F.concat_ws(":", "event_type", case.cast("string")).alias("category"), case.alias("kind"),
+                       F.to_date("ts").alias("day"))
               .agg(F.count_if(F.col("value") > FAIL_VALUE).alias("n_events"),
                    F.count(F.lit(1)).alias("rows_seen"),
                    F.count_if(F.get_json_object("props", "$.k").cast("int") < 50).alias("rows_kept"))
-              .withColumn("skipped", F.dayofmonth("day") == 1))
+              .withColumns({"n_events": F.when(F.col("kind") == 3, 0).otherwise(F.col("n_events")),
+                            "rows_seen": F.when(empty, 0).otherwise(F.col("rows_seen")),
+                            "rows_kept": F.when(empty, 0).otherwise(F.col("rows_kept")),
+                            "skipped": (F.dayofmonth("day") == 1) | (F.col("kind") == 1)}))
 
 
 def q_outcome_diagnostics(spark: SparkSession, d: str) -> DataFrame:
@@ -389,7 +404,9 @@ def q_override_merge(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem")
     fixed = li.select(F.year("l_shipdate").cast("string").alias("year")).distinct() \
         .withColumn("href", F.concat(F.lit("https://fixed.example/"), F.col("year"), F.lit(".xls")))
-    recent = latest_variant(link_table(spark, d), "year", "href", ["month", "pos"])
+    # links for odd years only, so that even years keep the fixed address
+    recent = latest_variant(link_table(spark, d).filter(F.col("year").cast("int") % 2 == 1), "year", "href",
+                            ["month", "pos"])
     return override_merge(fixed, recent, "year", "href")
 
 
@@ -467,7 +484,15 @@ def _supplier_zips(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 zf.writestr(f"{key}_data.csv", line)
                 zf.writestr(f"{key}_DATA.CSV", line + line)
                 zf.writestr(f"{key}_notes.txt", b"notes")
-            rows.append((f"supplier_{key}.zip", buf.getvalue()))
+            blob = buf.getvalue()
+            if key % 9 == 0:  # broken
+                blob = blob[:20]
+            elif key % 9 == 1:  # nothing that matches
+                buf = io.BytesIO()
+                with zipfile.ZipFile(buf, "w") as zf:
+                    zf.writestr("readme.txt", b"x")
+                blob = buf.getvalue()
+            rows.append((f"supplier_{key}.zip", blob))
         yield pd.DataFrame(rows, columns=["path", "content"])
 
 
@@ -476,7 +501,8 @@ def q_zip_members(spark: SparkSession, d: str) -> DataFrame:
     sup = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     archives = sup.mapInPandas(_supplier_zips, "path string, content binary")
     members = expand_zip(archives, member_pattern=r"\.(csv|xlsx)$")
-    return members.select("archive", "member", F.length("content").alias("n_bytes"), "error")
+    return members.select("archive", "member", F.length("content").alias("n_bytes"),
+                          F.sha2("content", 256).alias("sha256"), "error")
 
 
 def _supplier_lines(supplier: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from .. import config
 from ..functions import rename_all, snake_ascii
 from ..operators import select_sources, with_lineage
 from ..sources import read_inferred
+from ..sources.sinks import write_parquet
 
 
 def catalog(spark: SparkSession) -> DataFrame:
@@ -36,14 +37,17 @@ def silver_for(spark: SparkSession, name: str, path: str, ingest_date: str,
     return with_lineage(df, fonte=name, dt_ingestao=ingest_date)
 
 
-def load_all(spark: SparkSession, paths: dict[str, str], ingest_date: str) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """Silver per readable source, and the error text per failed one; all failed → error."""
+def load_all(spark: SparkSession, paths: dict[str, str], ingest_date: str, lake: str) -> tuple[dict[str, str], dict[str, str]]:
+    """Rebuild every readable source's silver table under ``lake``; (path per source, error per failed one).
+
+    A source counts as read when its whole table was written; one that fails on
+    any row is reported and doesn't stop the others. All failed → error.
+    """
     ok, failed = {}, {}
-    for name, path in paths.items():
+    for name, path in paths.items():  # a handful of registered sources
         try:
-            df = silver_for(spark, name, path, ingest_date)
-            df.limit(1).collect()
-            ok[name] = df
+            write_parquet(silver_for(spark, name, path, ingest_date), f"{lake}/silver/{name}")
+            ok[name] = f"{lake}/silver/{name}"
         except Exception as exc:  # isolate one bad source
             failed[name] = f"{type(exc).__name__}: {exc}"
     if paths and not ok:

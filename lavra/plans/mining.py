@@ -35,9 +35,10 @@ def attributes_rows(pages: DataFrame, ingest_date: str) -> DataFrame:
 
 
 def geometry_rows(pages: DataFrame, ingest_date: str) -> DataFrame:
-    """ESRI feature rows → (processo, lat, lon, geometry_raw); absent geometry → ``{}``."""
+    """ESRI feature rows → (processo, lat, lon, geometry_raw as landed); absent geometry → ``{}``."""
     lat, lon = first_ring_centroid(F.col("geometry.rings"))
-    raw = F.coalesce(F.to_json("geometry"), F.lit("{}"))
+    text = F.col("geometry_raw") if "geometry_raw" in pages.columns else F.to_json("geometry")
+    raw = F.coalesce(text, F.lit("{}"))
     return pages.select(F.col("attributes")["PROCESSO"].alias("processo"), lat.alias("lat"),
                         lon.alias("lon"), raw.alias("geometry_raw"), "source_file", "position",
                         F.lit(ingest_date).alias("dt_ingestao"))

@@ -103,12 +103,16 @@ FROM {_ORDER_YEARS} y,
 _MODALITIES = ", ".join(f"({c}, {_q(g)}, {_q(n)})" for c, g, n in config.PROCUREMENT_MODALITIES)
 
 _PAGES = f"""
-pages AS (SELECT event_type AS section, floor(event_id / 100) AS page,
+pages AS (SELECT event_type || ':' || (user_id % 2) AS section, floor(event_id / 100) AS page,
                  min(event_id) AS start_offset, max(event_id) + 1 AS end_offset,
-                 count(*) FILTER (WHERE value > {FAIL_VALUE}) = 0 AS ok
+                 count(*) FILTER (WHERE value > {FAIL_VALUE} AND user_id % 2 = 1) = 0 AS ok
           FROM events GROUP BY ALL)
 """
 
+_WORKS_DOCS = ("(SELECT * REPLACE (concat_ws(' ', text, list_extract([" + ", ".join(_q(w) for w in OBJECT_WORDS)
+               + f"], CAST(doc_id % {len(OBJECT_WORDS) + 3} + 1 AS INTEGER))) AS text) FROM documents)")
+_SUBSTANCE = ("list_extract([" + ", ".join(_q(x) for x in config.MINING_SUBSTANCES)
+              + f"], CAST(p_partkey % {len(config.MINING_SUBSTANCES) + 1} + 1 AS INTEGER))")
 _OBJECT_WORD = "list_extract([" + ", ".join(_q(w) for w in OBJECT_WORDS) + "], CAST(o_orderkey % 8 + 1 AS INTEGER))"
 _SPHERE = "CASE o_orderstatus " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in SPHERES.items()) + " END"
 
@@ -182,7 +186,7 @@ SQL: dict[str, str] = {
 SELECT doc_id, lang, source, n_chars FROM documents WHERE {_contains_any('text', DOC_TERMS)}""",
 
     "works_keyword_filter": f"""
-SELECT doc_id, lang FROM documents WHERE {_contains_any('text', config.WORKS_KEYWORDS)}""",
+SELECT doc_id, lang FROM {_WORKS_DOCS} WHERE {_contains_any('text', config.WORKS_KEYWORDS)}""",
 
     "eq_in_filter": """
 SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority FROM orders
@@ -221,11 +225,11 @@ FROM orders""",
     "classify_works": f"""
 SELECT doc_id, {_regex_case('text', config.WORKS_TYPE_RULES, config.WORKS_TYPE_DEFAULT)} AS tipo_obra,
        {_regex_case('text', config.LAND_USE_RULES, config.LAND_USE_DEFAULT)} AS uso_classificado
-FROM documents""",
+FROM {_WORKS_DOCS}""",
 
     "classify_set": f"""
 SELECT p_partkey, {_set_case('p_type', PART_TYPE_GROUPS, config.OTHER_GROUP)} AS grupo,
-       {_set_case('upper(p_brand)', config.MINING_AGGREGATE_GROUPS, config.OTHER_GROUP)} AS tipo_agregado
+       {_set_case(_SUBSTANCE, config.MINING_AGGREGATE_GROUPS, config.OTHER_GROUP)} AS tipo_agregado
 FROM part""",
 
     "br_decimal_parse": f"""
@@ -357,7 +361,7 @@ FROM (SELECT period, n_kept, CAST(row_number() OVER (ORDER BY period) AS INTEGER
 WITH {_PAGES},
 ff AS (SELECT section, min(CASE WHEN NOT ok THEN start_offset END) AS first_failed_offset
        FROM pages GROUP BY section),
-tot AS (SELECT event_type AS section, max(event_id) + 1 AS total FROM events GROUP BY 1),
+tot AS (SELECT event_type || ':' || (user_id % 2) AS section, max(event_id) + 1 AS total FROM events GROUP BY 1),
 wm AS (SELECT p.section,
               coalesce(max(CASE WHEN p.ok AND (ff.first_failed_offset IS NULL
                                                 OR p.start_offset < ff.first_failed_offset)
@@ -369,11 +373,12 @@ FROM wm JOIN tot USING (section)""",
 
     "outcome_diagnostics": f"""
 WITH o AS (
-  SELECT event_type AS category, CAST(ts AS DATE) AS day,
-         count(*) FILTER (WHERE value > {FAIL_VALUE}) AS n_events, count(*) AS rows_seen,
-         count(*) FILTER (WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) < 50) AS rows_kept
+  SELECT event_type || ':' || (event_id % 4) AS category, event_id % 4 AS kind, CAST(ts AS DATE) AS day,
+         count(*) FILTER (WHERE value > {FAIL_VALUE} AND event_id % 4 <> 3) AS n_events,
+         count(*) FILTER (WHERE event_id % 4 < 2) AS rows_seen,
+         count(*) FILTER (WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) < 50 AND event_id % 4 < 2) AS rows_kept
   FROM events GROUP BY ALL),
-s AS (SELECT *, dayofmonth(day) = 1 AS skipped FROM o),
+s AS (SELECT *, dayofmonth(day) = 1 OR kind = 1 AS skipped FROM o),
 g AS (SELECT category,
              count(*) FILTER (WHERE NOT skipped) AS windows,
              count(*) FILTER (WHERE skipped) AS skipped,
@@ -395,7 +400,7 @@ fixed AS (SELECT DISTINCT CAST(year(l_shipdate) AS VARCHAR) AS year FROM lineite
 SELECT coalesce(f.year, r.year) AS year,
        coalesce(r.href, 'https://fixed.example/' || f.year || '.xls') AS href,
        CASE WHEN r.href IS NOT NULL THEN 'recent' ELSE 'fixed' END AS origin
-FROM fixed f FULL OUTER JOIN latest r ON f.year = r.year""",
+FROM fixed f FULL OUTER JOIN (SELECT * FROM latest WHERE CAST(year AS INTEGER) % 2 = 1) r ON f.year = r.year""",
 
     "html_links": r"""
 WITH x AS (SELECT page_id,
@@ -448,19 +453,17 @@ SELECT o_orderkey, o_totalprice, (SELECT greatest(count(*) - 10, 0) FROM orders)
 FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""",
 
     "zip_members": """
-SELECT 'supplier_' || CAST(s_suppkey AS VARCHAR) || '.zip' AS archive,
-       CAST(s_suppkey AS VARCHAR) || '_data.csv' AS member,
-       CAST(strlen(CAST(s_suppkey AS VARCHAR) || ';' || s_name || ';' || CAST(s_nationkey AS VARCHAR)) + 1
-            AS INTEGER) AS n_bytes,
-       CAST(NULL AS VARCHAR) AS error
-FROM supplier
+WITH s AS (SELECT s_suppkey % 9 AS c, CAST(s_suppkey AS VARCHAR) AS k,
+                  CAST(s_suppkey AS VARCHAR) || ';' || s_name || ';' || CAST(s_nationkey AS VARCHAR) || chr(10) AS line
+           FROM supplier),
+m AS (SELECT k, k || '_data.csv' AS member, line AS body FROM s WHERE c > 1
+      UNION ALL SELECT k, k || '_DATA.CSV', line || line FROM s WHERE c > 1)
+SELECT 'supplier_' || k || '.zip' AS archive, member, CAST(strlen(body) AS INTEGER) AS n_bytes, sha256(body) AS sha256,
+       CAST(NULL AS VARCHAR) AS error FROM m
 UNION ALL
-SELECT 'supplier_' || CAST(s_suppkey AS VARCHAR) || '.zip',
-       CAST(s_suppkey AS VARCHAR) || '_DATA.CSV',
-       CAST(2 * (strlen(CAST(s_suppkey AS VARCHAR) || ';' || s_name || ';' || CAST(s_nationkey AS VARCHAR)) + 1)
-            AS INTEGER),
-       CAST(NULL AS VARCHAR)
-FROM supplier""",
+SELECT 'supplier_' || k || '.zip', NULL, NULL, NULL,
+       CASE c WHEN 0 THEN 'BadZipFile: File is not a zip file' ELSE 'ValueError: no matching member' END
+FROM s WHERE c < 2""",
 
     "csv_policy": """
 SELECT CAST(s_suppkey AS VARCHAR) AS a,

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import config
 from ..functions import br_money, br_quantity, parse_dayfirst, parse_iso, strip_unicode
 from ..operators import distinct_rows
-from ..sources import expand_zip, read_delimited
+from ..sources import read_delimited, zip_lines
 from ..sources.delimited import parse_delimited_lines
 
 SOURCE_COLUMNS = config.TENDER_COLUMNS[:21]
@@ -26,14 +26,18 @@ def parse_lines(lines: DataFrame, columns: list[str], sep: str = ";") -> DataFra
     return parse_delimited_lines(lines, columns, sep)
 
 
+def archive_lines(archives: DataFrame) -> DataFrame:
+    """``(path, period, content)`` monthly archives → path, period, line_no, line, error.
+
+    A broken or empty archive is one row with ``error``; callers report those rows.
+    """
+    return zip_lines(archives, ["path", "period"])
+
+
 def bronze_from_archives(archives: DataFrame, ingest_date: str) -> DataFrame:
-    """``(path, period, content)`` monthly archives → works-tender bronze rows."""
-    members = expand_zip(archives.select("path", "content"), first_only=True)
-    ok = members.filter(F.col("error").isNull()).join(archives.select(F.col("path").alias("archive"), "period"), "archive")
-    text = F.decode(F.col("content"), "ISO-8859-1")
-    lines = ok.select("period", F.posexplode(F.split(text, "\r?\n")).alias("line_no", "line")) \
-              .filter((F.col("line_no") > 0) & (F.col("line") != ""))
-    return bronze_from_lines(lines, ingest_date)
+    """Monthly archives → works-tender bronze rows (archives with an error have none)."""
+    lines = archive_lines(archives).filter((F.col("line_no") > 0) & (F.col("line") != ""))
+    return bronze_from_lines(lines.select("period", "line"), ingest_date)
 
 
 def bronze_from_files(spark: SparkSession, path: str, ingest_date: str,

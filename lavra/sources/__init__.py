@@ -1,6 +1,6 @@
 """Sources and sinks: landed files → bronze DataFrames, and writers."""
 
-from .archives import expand_zip
+from .archives import expand_zip, zip_lines
 from .delimited import read_delimited, read_inferred
 from .files import list_layer, read_bytes, route_by_extension, with_extension
 from .html import extract_links

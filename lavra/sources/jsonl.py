@@ -35,8 +35,9 @@ def read_envelope_pages(spark: SparkSession, path: str, rows_field: str = "data"
                         F.posexplode(rows_field).alias("position", "payload"))
 
 
-ESRI_SCHEMA = ("features array<struct<attributes: map<string, string>, "
-               "geometry: struct<rings: array<array<array<double>>>>>>")
+# a string field keeps the geometry's own text, whatever it holds besides rings
+ESRI_SCHEMA = "features array<struct<attributes: map<string, string>, geometry: string>>"
+GEOMETRY_SCHEMA = "rings array<array<array<double>>>"
 
 
 def read_esri_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -44,4 +45,6 @@ def read_esri_pages(spark: SparkSession, path: str) -> DataFrame:
     pages = (spark.read.schema(ESRI_SCHEMA).option("multiLine", "true").json(path)
              .withColumn("source_file", F.col("_metadata.file_path")))
     return pages.select("source_file", F.posexplode("features").alias("position", "f")) \
-                .select("source_file", "position", "f.attributes", "f.geometry")
+                .select("source_file", "position", "f.attributes",
+                        F.from_json("f.geometry", GEOMETRY_SCHEMA).alias("geometry"),
+                        F.col("f.geometry").alias("geometry_raw"))

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from lavra.operators import (apply_header, commit_keys, contiguous_watermark, coverage,
-                             grouped_report, header_rows, keep_first, latest_variant,
+                             grouped_report, header_rows, sheet_headers, keep_first, latest_variant,
                              monthly_windows, null_safe_join, override_merge, pending,
                              pick_sheet, read_ledger, reset_ledger, weekly_windows,
                              window_diagnostics, diagnosis, batch_ids, preview)
@@ -188,3 +188,18 @@ def test_null_safe_join_hot_null_key(spark):
     assert out.count() == n
     assert out.filter(F.col("k").isNull() & (F.col("label") == "null-row")).count() == n // 3
     assert out.filter(F.col("label").isNull()).count() == 0
+
+
+def test_apply_header_takes_any_number_of_layouts(spark):
+    n = 12_000  # a layout per file: the wanted column moves, and each file has a column of its own
+    files = spark.range(n).select(F.col("id").cast("string").alias("file"), F.col("id"))
+    pad = F.transform(F.sequence(F.lit(0), (F.col("id") % 30).cast("int")), lambda i: F.concat(F.lit("c"), F.col("file"), F.lit("_"), i))
+    head = F.concat(pad, F.array(F.lit("Alvará"), F.lit("Mês")))
+    body = F.concat(F.transform(pad, lambda x: F.lit("v")), F.array(F.concat(F.lit("A-"), F.col("file")), F.lit("NA")))
+    grid = files.select("file", F.lit(0).alias("sheet_idx"), F.explode(F.array(
+        F.struct(F.lit(0).alias("row_idx"), head.alias("cells")), F.struct(F.lit(1).alias("row_idx"), body.alias("cells")),
+        F.struct(F.lit(2).alias("row_idx"), F.array(F.lit(""), F.lit("NA")).alias("cells")))).alias("r")).select("file", "sheet_idx", "r.*")
+    recs = apply_header(grid, sheet_headers(grid, config.PERMIT_HEADER_WORDS), columns=["alvará", "mês", "none"])
+    row = recs.agg(F.count("*").alias("n"), F.count_if(F.col("alvará") == F.concat(F.lit("A-"), "file")).alias("right"),
+                   F.count("mês").alias("m"), F.count("none").alias("x")).first()
+    assert tuple(row) == (n, n, 0, 0)

@@ -196,3 +196,17 @@ def test_jsonl_sink_keeps_nulls(spark, tmp):
     text = "".join(open(os.path.join(f"{tmp}/out", f)).read()
                    for f in os.listdir(f"{tmp}/out") if f.endswith(".json"))
     assert json.loads(text.strip()) == {"a": "x", "b": None}
+
+
+def test_investment_sources_are_isolated(spark, tmp):
+    from lavra import config
+    from lavra.plans import investments
+    names = [n for n, *_ in config.INVESTMENT_SOURCES]
+    sep = config.INVESTMENT_SOURCES[0][2]
+    with open(f"{tmp}/ok.csv", "w") as fh:
+        fh.write(sep.join(["Valor ($)", "Nome"]) + "\n" + sep.join(["1.5", "NA"]) + "\n" + "2\n")
+    ok, failed = investments.load_all(spark, {names[0]: f"{tmp}/ok.csv", names[1]: f"{tmp}/missing.csv"},
+                                      "2024-01-01", f"{tmp}/lake")
+    assert set(ok) == {names[0]} and set(failed) == {names[1]}
+    rows = sorted((r.valor_s, r.nome) for r in spark.read.parquet(ok[names[0]]).collect())
+    assert rows == [(1.5, None), (2.0, None)]

@@ -5,7 +5,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
-from lavra.sources import expand_zip, extract_links, read_delimited, read_envelope_pages, read_inferred, read_jsonl
+from lavra.sources import expand_zip, extract_links, zip_lines, read_delimited, read_envelope_pages, read_inferred, read_jsonl
 
 
 def test_delimited_bad_line_policy(spark, tmp):
@@ -129,3 +129,39 @@ def test_inferred_pads_short_rows_and_reads_missing_tokens(spark, tmp):
     assert dict(df.dtypes) == {"h1": "bigint", "h2": "string", "h3": "double", "h4": "string"}
     rows = {r.h1: r for r in df.collect()}
     assert sorted(rows) == [1, 2, 3] and rows[2].h2 is None and rows[2].h3 is None and rows[2].h4 is None
+
+
+def test_zip_lines_stream_in_batches_with_error_rows(spark):
+    def pack(members):
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w") as zf:
+            for name, body in members:
+                zf.writestr(name, body)
+        return bytearray(buf.getvalue())
+
+    files = spark.createDataFrame(
+        [("a.zip", "2024-01", pack([("x.csv", "l0\r\nl1 \xe9\n\nl3".encode("latin-1")), ("y.csv", b"no")])),
+         ("b.zip", "2024-02", bytearray(b"broken")), ("c.zip", "2024-03", pack([("n.txt", b"t")])),
+         ("d.zip", "2024-04", pack([("big.csv", b"z\n" * 5000)]))], "path string, period string, content binary")
+    rows = zip_lines(files, ["path", "period"], member_pattern=r"\.csv$", batch=64).collect()
+    assert [(r.line_no, r.line) for r in rows if r.path == "a.zip"] == [(0, "l0"), (1, "l1 \xe9"), (2, ""), (3, "l3")]
+    errors = {r.path: r.error for r in rows if r.error}
+    assert set(errors) == {"b.zip", "c.zip"} and all(r.line is None for r in rows if r.error)
+    assert sum(r.path == "d.zip" and r.period == "2024-04" for r in rows) == 5000
+
+
+def test_esri_pages_keep_the_geometry_text(spark, tmp):
+    from lavra.plans import mining
+    from lavra.sources import jsonl
+    with open(os.path.join(tmp, "p.json"), "w") as fh:
+        fh.write('{"features":[{"attributes":{"PROCESSO":"1"},"geometry":{"rings":[[[1.50,2],[3,4]]],"hasZ":false}},'
+                 '{"attributes":{"PROCESSO":"2"}}]}')
+    rows = {r.processo: r for r in mining.geometry_rows(jsonl.read_esri_pages(spark, tmp), "2024-01-01").collect()}
+    assert rows["1"].geometry_raw == '{"rings":[[[1.50,2],[3,4]]],"hasZ":false}' and rows["2"].geometry_raw == "{}"
+    assert rows["1"].lat is not None and rows["2"].lat is None
+
+
+def test_links_quotes_case_and_other_attributes(spark):
+    html = """<A HREF='/a'>x</a> <a data-href="/no" href=/b>y</a> <a data-href="/no">z</a> <a class="k" href="c?d">w</a>"""
+    rows = extract_links(spark.createDataFrame([(html,)], "html string"), "html", "https://h.example").collect()
+    assert [r.href for r in rows] == ["https://h.example/a", "https://h.example/b", "c?d"]
