@@ -210,3 +210,35 @@ def test_investment_sources_are_isolated(spark, tmp):
     assert set(ok) == {names[0]} and set(failed) == {names[1]}
     rows = sorted((r.valor_s, r.nome) for r in spark.read.parquet(ok[names[0]]).collect())
     assert rows == [(1.5, None), (2.0, None)]
+
+
+def test_tender_ingest_batches_retries_and_silver(spark, tmp):
+    from lavra.plans import tender_ingest as job
+    landing, lake = f"{tmp}/landing", f"{tmp}/lake"
+    os.makedirs(landing)
+
+    def land(period, blob):
+        with open(f"{landing}/licitacoes_{period}.zip", "wb") as fh:
+            fh.write(bytes(blob))
+
+    def lines(obj="Obras e servicos de engenharia", n=1):
+        cells = ["SP", "Pref", "1", "conc", obj, "desc", "item", "2", "un", "1,5", "1,5", "un", "1", "2", "un", "7",
+                 "05/03/2023", "cnpj", "Ana", "hab", "NA"]
+        return [";".join(f"h{i}" for i in range(21))] + [";".join([*cells[:2], str(i), *cells[3:]]) for i in range(n)]
+
+    for m in range(1, 6):
+        land(f"2023-{m:02d}", _tender_zip(lines(n=m)))
+    land("2023-06", b"broken")
+    land("2023-07", _tender_zip(lines(obj="Outro")))
+    first = {r.period: r for r in job.ingest(spark, landing, lake, [2023], "2023-08-01", 2, True).collect()}
+    assert {p: r.status for p, r in first.items()} == {**{f"2023-{m:02d}": "ok" for m in range(1, 6)},
+                                                       "2023-06": "failed", "2023-07": "failed"}
+    assert [first[f"2023-{m:02d}"].batch_id for m in range(1, 6)] == [0, 0, 1, 1, 2]
+    assert first["2023-06"].error.startswith("BadZipFile") and first["2023-07"].rows_seen == 1
+    # the failed ones are tried again, the others skipped
+    land("2023-06", _tender_zip(lines(n=9)))
+    again = {r.period: r.status for r in job.ingest(spark, landing, lake, [2023], "2023-08-02", 2, False).collect()}
+    assert again == {"2023-06": "ok", "2023-07": "ok"}
+    assert job.ingest(spark, landing, lake, [2023], "2023-08-03").count() == 0
+    assert spark.read.parquet(f"{lake}/bronze").count() == 15 + 9
+    assert job.write_silver(spark, lake).count() == 24
