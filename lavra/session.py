@@ -63,10 +63,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/lavra/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that touches the local file system."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["build_session", "use_utc", "shared_dir", "scratch_path", "local_path",
-           "SESSION_DEFAULTS"]
+__all__ = ["build_session", "use_utc", "shared_dir", "scratch_path", "SESSION_DEFAULTS"]
