@@ -9,9 +9,9 @@ come from the counts of counts of each order, and each n-gram's discounted
 probability and each context's interpolation weight come from joining counts
 with their contexts' totals, sharded by (stratum, context).
 
-Symbols are lower-cased characters: the ``alphabet`` - 3 most frequent ones of
-the stratum's trusted text, a digit class, and one symbol each for the start
-and for all other characters. A stratum's model has therefore at most
+Symbols are lower-cased characters: the ``alphabet`` - 2 most frequent ones of
+the stratum's documents (digits as one), and one symbol each for the start and
+for all other characters. A stratum's model has therefore at most
 alphabet^order n-grams whatever the corpus holds (2.6 million at 40^4), which
 is the proven bound under which each stratum's finished table is broadcast as
 its own shard; a task fetches the shards of the languages it meets. Documents
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.llm.common import LANGUAGES, OTHER, store, stratum
+from lavra.llm.common import LANGUAGES, OTHER, small_batches, store, stratum
 
 ORDER = 4
 ALPHABET = 40
@@ -60,30 +60,58 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
 
 
-def char_counts(trusted: DataFrame) -> DataFrame:
+class Pool:
+    """Collects arrays per stratum and hands them over joined, a bounded number of entries at a time."""
+
+    def __init__(self, take):
+        self.take, self.held, self.size = take, {}, {}
+
+    def add(self, s: str, values: np.ndarray) -> None:
+        self.held.setdefault(s, []).append(values)
+        self.size[s] = self.size.get(s, 0) + len(values)
+        if self.size[s] >= SEGMENT:
+            self.flush(s)
+
+    def flush(self, s: str) -> None:
+        if self.held.get(s):
+            self.take(s, np.concatenate(self.held.pop(s)))
+        self.size[s] = 0
+
+    def close(self) -> None:
+        for s in list(self.held):
+            self.flush(s)
+
+
+def char_counts(docs: DataFrame) -> DataFrame:
     """stratum, code (lower-cased code point; digits as '0'), n over whole texts."""
 
     def count(batches):
+        sums: dict[str, np.ndarray] = {}
+
+        def take(s, codes):
+            sums[s] = sums.get(s, 0) + np.bincount(codes, minlength=0x110000)
+
+        pool = Pool(take)
         for batch in batches:
-            totals: dict[tuple[str, int], int] = {}
             for text, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for part, _ in _segments(text or "", 0):
-                    codes, n = np.unique(_codes(part), return_counts=True)
-                    for c, k in zip(codes.tolist(), n.tolist(), strict=True):
-                        c = 48 if 48 <= c <= 57 else c
-                        totals[s, c] = totals.get((s, c), 0) + k
-            keys = list(totals)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()),
-                 pa.array(list(totals.values()), pa.int64())], ["stratum", "code", "n"])
-
-    rows = trusted.select("text", "stratum").mapInArrow(count, "stratum string, code long, n long")
+                    pool.add(s, _codes(part))
+        pool.close()
+        for s, n in sums.items():
+            n[48] = n[48:58].sum()
+            n[49:58] = 0
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array([s] * len(at), pa.string()), pa.array(at), pa.array(n[at])],
+                                             ["stratum", "code", "n"])
+
+    rows = docs.select("text", stratum(F.col("lang")).alias("stratum")).mapInArrow(
+        count, "stratum string, code long, n long")
     return rows.groupBy("stratum", "code").agg(F.sum("n").alias("n"))
 
 
-def fit_alphabet(trusted: DataFrame, size: int = ALPHABET) -> dict[str, list[int]]:
+def fit_alphabet(docs: DataFrame, size: int = ALPHABET) -> dict[str, list[int]]:
     """Per stratum the size - 2 most frequent characters; at most strata x size numbers."""
-    ranked = char_counts(trusted).groupBy("stratum").agg(
+    ranked = char_counts(docs).groupBy("stratum").agg(
         F.slice(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "code"))), 1, size - 2).alias("top"))
     return {r["stratum"]: [x["code"] for x in r["top"]] for r in ranked.collect()}
 
@@ -116,14 +144,19 @@ def gram_counts(trusted: DataFrame, alphabet: dict[str, list[int]], order: int,
     def count(batches):
         tables: dict[str, np.ndarray] = {}
         sums: dict[str, np.ndarray] = {}
+
+        def take(s, keys):  # bounded: alphabet^order counters a stratum
+            sums[s] += np.bincount(keys, minlength=size**order).astype(np.uint32)
+
+        pool = Pool(take)
         for batch in batches:
             for text, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if s not in tables:
                     tables[s] = _lookup(alphabet.get(s, []))
-                    sums[s] = np.zeros(size**order, np.uint32)  # bounded: alphabet^order counters a stratum
+                    sums[s] = np.zeros(size**order, np.uint32)
                 for part, back in _segments(text or "", order - 1):
-                    keys, n = np.unique(_gram_keys(part, back, tables[s], order, size), return_counts=True)
-                    sums[s][keys] += n.astype(np.uint32)
+                    pool.add(s, _gram_keys(part, back, tables[s], order, size))
+        pool.close()
         for s, c in sums.items():
             at = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays(
@@ -147,13 +180,13 @@ def _discounts(grams: DataFrame) -> DataFrame:
     return grams.groupBy("stratum").agg(*n).select("stratum", d(1, 0.5), d(2, 1.0), d(3, 1.5))
 
 
-def train(trusted: DataFrame, order: int = ORDER, size: int = ALPHABET) -> tuple[dict[str, list[int]], DataFrame]:
-    """(alphabet, model). Model rows: stratum, level, kind ('alpha' or 'gamma'), key, value.
+def train(trusted: DataFrame, alphabet: dict[str, list[int]], order: int = ORDER,
+          size: int = ALPHABET) -> DataFrame:
+    """Model rows of trusted text (text, stratum): stratum, level, kind ('alpha' or 'gamma'), key, value.
 
     alpha: discounted probability of an observed n-gram of that level; gamma:
     weight that its context leaves to the lower level.
     """
-    alphabet = fit_alphabet(trusted, size)
     grams = store(gram_counts(trusted, alphabet, order, size), "grams")
     out = None
     for level in range(order, 0, -1):
@@ -173,7 +206,7 @@ def train(trusted: DataFrame, order: int = ORDER, size: int = ALPHABET) -> tuple
         if level > 1:  # continuation counts: distinct symbols before the shorter n-gram
             grams = store(grams.groupBy("stratum", (F.col("gram") % (size ** (level - 1))).alias("gram"))
                           .agg(F.count(F.lit(1)).alias("c")), "grams")
-    return alphabet, store(out, "model")
+    return store(out, "model")
 
 
 def _shards(model: DataFrame, order: int, size: int) -> dict:
@@ -249,9 +282,13 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, mar
 
     limit: the quantile of the trusted documents' perplexities in the stratum, times margin.
     """
+    small_batches(docs.sparkSession)
     trust = store(trusted_ids(labels), "trusted")
-    trusted = docs.select("doc_id", "text", stratum(F.col("lang")).alias("stratum")).join(trust, "doc_id", "left_semi")
-    alphabet, model = train(trusted, order, size)
+    # merged, not broadcast while the labels are few: one plan whatever the size
+    trusted = docs.select("doc_id", "text", stratum(F.col("lang")).alias("stratum")).join(
+        trust.hint("merge"), "doc_id", "left_semi")
+    alphabet = fit_alphabet(docs, size)
+    model = train(trusted, alphabet, order, size)
     scored = store(score(docs, alphabet, model, order, size), "scores")
     limits = (scored.filter("perplexity is not null").join(trust, "doc_id", "left_semi").groupBy("stratum")
               .agg((F.percentile_approx("perplexity", quantile, 10_000) * margin).alias("limit"),
@@ -264,6 +301,6 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, mar
 def keep_quality(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that the classifier keeps, with the same columns."""
     bad = (classify(docs, labels, **options).filter(~F.col("kept"))
-           .select(F.col("doc_id").alias("_lm_doc"), F.col("row_id").alias("_lm_row")).distinct())
+           .select(F.col("doc_id").alias("_lm_doc"), F.col("row_id").alias("_lm_row")).distinct().hint("merge"))
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_lm_doc"))
                      & (F.xxhash64("text") == F.col("_lm_row")), "left_anti")
