@@ -34,10 +34,10 @@ def test_matches_brute_force(docs_of):
 
 def test_long_passage_goes_short_lines_stay(docs_of):
     passage = "\n".join(" ".join(f"p{k}{j}" for j in range(20)) for k in range(4))
-    docs = docs_of([f"head one\n{passage}\ntail", f"other start\n\n{passage}\ntail", "head one\ntail", passage])
+    docs = docs_of([f"head one\n{passage}\ntail", f"other start\n\n{passage}\nfin", "head one\ntail", passage])
     out = {r.doc_id: r for r in dedup_lines(docs).collect()}
-    assert out[0].text == f"head one\n{passage}\ntail" and out[1].text == "other start\n\ntail"
-    assert out[2].text == "head one\ntail" and out[3].text == "" and out[1].n_chars == len("other start\n\ntail")
+    assert out[0].text == f"head one\n{passage}\ntail" and out[1].text == "other start\n\nfin"
+    assert out[2].text == "head one\ntail" and out[3].text == "" and out[1].n_chars == len("other start\n\nfin")
     assert out[1].node == "x" and out[1]._lr_n_deleted == 4
     kept = dedup_lines(docs, drop_emptied=True)
     assert {r.doc_id for r in kept.collect()} == {0, 1, 2}
