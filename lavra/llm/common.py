@@ -37,6 +37,14 @@ def store(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """At most so many rows of whole texts in one Arrow batch, so that a task holds a few MB of them."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if not 0 < now <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; null and blank text have none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(WORD_SEPARATORS))

@@ -41,6 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lavra.llm.common import small_batches
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 GIANT = 65_536
 CHUNK = 16_384
@@ -317,6 +319,7 @@ def encode(docs: DataFrame, data: bytes, giant: int = GIANT) -> DataFrame:
 
     Documents of more than giant characters take the parallel scan, one row per text.
     """
+    small_batches(docs.sparkSession)
     names = docs.columns
     if "token_ids" in names:
         docs, names = docs.drop("token_ids"), [c for c in names if c != "token_ids"]
@@ -346,6 +349,7 @@ def encode(docs: DataFrame, data: bytes, giant: int = GIANT) -> DataFrame:
 
 def decode(rows: DataFrame, data: bytes, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
     """The rows with the text of their ids; bytes pieces are joined before UTF-8 is read."""
+    small_batches(rows.sparkSession)
     rows = rows.drop(out)
 
     def run(batches):
@@ -354,13 +358,13 @@ def decode(rows: DataFrame, data: bytes, ids: str = "token_ids", out: str = "dec
                  else sp.id_to_piece(i).replace(MARK, " ").encode() for i in range(sp.vocab_size())]
         for batch in batches:
             col = batch.column(batch.schema.get_field_index(ids))
-            flat, offsets = col.values.to_numpy().tolist(), col.offsets.to_numpy().tolist()
+            flat, offsets = col.values.to_numpy(), col.offsets.to_numpy()
             texts = []
             for i, valid in enumerate(np.asarray(col.is_valid())):
                 if not valid:
                     texts.append(None)
                     continue
-                raw = b"".join(map(table.__getitem__, flat[offsets[i]:offsets[i + 1]]))
+                raw = b"".join(map(table.__getitem__, flat[offsets[i]:offsets[i + 1]].tolist()))
                 texts.append((raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, out])
 

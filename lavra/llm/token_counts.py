@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from lavra.llm.common import small_batches
+
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # FIXED VALUE: the pattern that the public vocabulary was made with
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -94,6 +96,7 @@ def count_tokens(docs: DataFrame, data: bytes, rule: str = "majority", sections:
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
+    small_batches(docs.sparkSession)
     names = ["doc_id", "section", "name", "start", "end", "n_tokens", "n_crossing"]
 
     def run(batches):
