@@ -15,7 +15,9 @@ connected components of all links.
    other, the intersection is at most min(n_a - i, n_b - j). So a token is worth
    following for a pair only if 80 * (n_a + n_b) <= 180 * min(u_a, u_b), where
    u = n - place, and the sizes allow a link; a linking pair passes by its first
-   shared token at least.
+   shared token at least. The tokens in the lowest REGION of all hashes are
+   counted over all sets, not only where they come first: those that no other
+   node has are in no partner, and u is at most n minus their number.
 4. Similar nodes are partitioned into groups: for each token, its nodes are
    compared with the one of them that has the fewest rare tokens, and groups
    are the components of the links so found; a group of thousands of near
@@ -47,12 +49,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lavra.llm.common import store
+from lavra.llm.common import small_batches, store
 from lavra.llm.graph import connected_components
 
 WORDS = 5
 PERCENT = 80
 FREQUENT = 1 << 17
+REGION = 0.3
+BITS = 1 << 26
 LOCAL_MIN = 3
 BLOCK_TOKENS = 2_000_000
 SEGMENT = 1 << 21
@@ -222,15 +226,34 @@ def _need(n):
     return (PERCENT * n + 99) // 100
 
 
-def _first_tokens(docs: DataFrame, frequent: np.ndarray, words: int) -> DataFrame:
-    """token, node, n, rare, u: the first tokens of every set in the common order, once per node and task.
+def _bitmap(keys: DataFrame, key: str) -> np.ndarray:
+    """BITS bits, of which each key (a well mixed long) sets one; of fixed size whatever the input."""
+    rows = (keys.select(F.pmod(key, F.lit(BITS)).alias("b")).groupBy(F.shiftright("b", 6).alias("w"))
+            .agg(F.expr("bit_or(shiftleft(1L, cast(b & 63 as int)))").alias("v")).toArrow())
+    words = np.zeros(BITS // 64, np.int64)
+    words[rows.column("w").to_numpy()] = rows.column("v").to_numpy()
+    return words
 
-    rare: tokens that aren't frequent; u: tokens from this one on.
+
+def _maybe_in(words: np.ndarray, key: np.ndarray) -> np.ndarray:
+    at = key & (BITS - 1)
+    return (words[at >> 6] >> (at & 63)) & 1 == 1
+
+
+def _low_tokens(docs: DataFrame, frequent: np.ndarray, words: int, wanted: np.ndarray | None = None) -> DataFrame:
+    """token, node, n, rare, u, reg, first: a set's first tokens and its tokens in the region, once per node and task.
+
+    The region is the same for all sets: the lowest REGION of all hashes, without frequent tokens, so
+    it is complete for every set. rare: tokens that aren't frequent; u: tokens from this one on in the
+    common order; reg: tokens in the region, which come first; first: whether a partner could share
+    this one as its first. wanted: a bitmap, of which other tokens are left out.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most FREQUENT numbers
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast((frequent, wanted))  # FREQUENT numbers and BITS bits at most
+    edge = np.int64(-(1 << 63) + int(REGION * (1 << 64)))
 
     def run(batches):
-        shingler, often, seen = Shingler(words), shared.value, set()
+        shingler, (often, bits), seen = Shingler(words), shared.value, set()
         for batch in batches:
             for _, doc, token in shingler.sets(batch.column(0).to_pylist()):
                 ids, n, sig = _nodes(doc, token)
@@ -243,18 +266,38 @@ def _first_tokens(docs: DataFrame, frequent: np.ndarray, words: int) -> DataFram
                 late = np.zeros(len(token), bool)
                 if len(often):
                     late = often[np.minimum(np.searchsorted(often, token), len(often) - 1)] == token
+                begin = np.cumsum(n) - n
                 index = np.repeat(np.arange(len(ids)), n)
                 order = np.lexsort((token, late, index))
-                place = np.arange(len(token)) - np.repeat(np.cumsum(n) - n, n)
-                chosen = (place < np.repeat(n - _need(n) + 1, n)) & np.repeat(new, n)
-                take, left = order[chosen], (np.repeat(n, n) - place)[chosen]
-                rare = np.add.reduceat((~late).astype(np.int64), np.cumsum(n) - n)
+                place = np.arange(len(token)) - np.repeat(begin, n)
+                rare = np.add.reduceat((~late).astype(np.int64), begin)
+                reg = np.add.reduceat((~late & (token < edge)).astype(np.int64), begin)
+                prefix = n - _need(n) + 1
+                chosen = (place < np.repeat(np.maximum(prefix, reg), n)) & np.repeat(new, n)
+                if bits is not None:
+                    chosen &= _maybe_in(bits, token[order])
+                take, at, who = order[chosen], place[chosen], index[chosen]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(token[take]), pa.array(sig[index[take]]), pa.array(n[index[take]].astype(np.int32)),
-                     pa.array(rare[index[take]].astype(np.int32)), pa.array(left.astype(np.int32))],
-                    ["token", "node", "n", "rare", "u"])
+                    [pa.array(token[take]), pa.array(sig[who]), pa.array(n[who].astype(np.int32)),
+                     pa.array(rare[who].astype(np.int32)), pa.array((n[who] - at).astype(np.int32)),
+                     pa.array(reg[who].astype(np.int32)), pa.array(at < prefix[who])],
+                    ["token", "node", "n", "rare", "u", "reg", "first"])
+
+    return docs.select("text").mapInArrow(
+        run, "token long, node long, n int, rare int, u int, reg int, first boolean")
+
+
+def _only(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """row, text of one document per text hash in rows (row)."""
+    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(rows, "row"))
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(_maybe_in(bits.value, batch.column(0).to_numpy())))
 
-    return docs.select("text").mapInArrow(run, "token long, node long, n int, rare int, u int")
+    # the bitmap leaves most texts where they are; the join is exact
+    near = docs.select(F.xxhash64("text").alias("row"), "text").mapInArrow(run, "row long, text string")
+    return near.join(rows, "row", "left_semi").dropDuplicates(["row"])
 
 
 def _token_sets(texts: DataFrame, words: int) -> DataFrame:
@@ -293,29 +336,36 @@ def link_nodes(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFram
 
     The links hold a spanning set: every link between groups, and enough inside groups to connect them.
     """
+    small_batches(docs.sparkSession)
     survey = store(_survey(docs, words), "survey", ["kind"])
     rows = survey.filter("kind = 0").select("doc_id", "row", "n", "node")
-    first = _first_tokens(docs, _frequent(survey), words)
-    recurring = first.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token")
-    kept = store(first.join(recurring, "token", "left_semi").distinct(), "first")
+    frequent = _frequent(survey)
+    recurring = store(_low_tokens(docs, frequent, words).groupBy("token").agg(F.count(F.lit(1)).alias("c"))
+                      .filter("c > 1").select("token"), "recurring")
+    low = _low_tokens(docs, frequent, words, _bitmap(recurring, "token"))
+    kept = store(low.join(recurring, "token", "left_semi").distinct(), "low")
     # of those, tokens that two different nodes have; copies in other tasks were counted above
     shared = (kept.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi")
               .select("token"))
-    matrix = store(kept.join(shared, "token", "left_semi"), "matrix")  # token, node, n, rare, u
+    kept = store(kept.join(shared, "token", "left_semi"), "shared")
+    # tokens of the region that no other node has are in no partner
+    bound = kept.groupBy("node").agg((F.max("n") - F.max("reg") + F.count_if(F.col("n") - F.col("u") < F.col("reg")))
+                                     .cast("int").alias("most"))
+    matrix = store(kept.filter("first").join(bound, "node").select(
+        "token", "node", "n", "rare", F.least("u", "most").alias("u")), "matrix")
     lead = matrix.groupBy("token").agg(F.min(F.struct("rare", "node", "n", "u")).alias("l"),
-                                       F.min("n").alias("n_min"))
+                                       F.min("n").alias("n_min"), F.max("n").alias("n_max"))
     led = store(matrix.join(lead, "token"), "led")
     stars = (led.filter(F.col("node") != F.col("l.node"))
              .select(F.col("node").alias("a"), F.col("l.node").alias("b"), "n", "u", F.col("l.n").alias("nb"),
                      F.col("l.u").alias("ub"))
              .filter(_may_link("n", "u", "nb", "ub")).select("a", "b").distinct())
-    # nodes that some partner's size could still suit
-    alive = (led.filter((F.col("n") + F.col("n_min")) * PERCENT <= F.col("u") * (100 + PERCENT))
-             .select("node").distinct())
+    # nodes that some size among the token's nodes, within reach of theirs, still suits
+    least = F.greatest(F.col("n_min"), F.ceil(F.col("n") * PERCENT / 100).cast("int"))
+    alive = store(led.filter((least <= F.col("n_max")) & ((F.col("n") + least) * PERCENT <= F.col("u") * (100 + PERCENT)))
+                  .select("node").distinct(), "alive")
     wanted = rows.join(alive, "node", "left_semi").groupBy("node").agg(F.min("row").alias("row")).select("row")
-    texts = (docs.select(F.xxhash64("text").alias("row"), "text").join(wanted, "row", "left_semi")
-             .dropDuplicates(["row"]))
-    sets = store(_token_sets(texts, words).dropDuplicates(["node"]), "sets")
+    sets = store(_token_sets(_only(docs, store(wanted, "wanted")), words), "sets")
     links = store(_verified(stars, sets), "links")
     groups = store(connected_components(links), "groups")
 
