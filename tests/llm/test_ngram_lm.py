@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
@@ -82,3 +83,22 @@ def test_edge_rows_and_segments(spark, docs_of, monkeypatch):
     kept = lm.keep_quality(docs, labels, min_trusted=1)
     assert kept.columns == docs.columns and kept.filter("doc_id in (1, 2, 5)").count() == 0
     assert lm.classify(docs.limit(0), labels).count() == 0
+
+
+def test_all_characters_and_every_labelled_language_count(spark):
+    """A script of many characters keeps its n-grams, and languages with labels have their own strata."""
+    rng = random.Random(7)
+    signs = [chr(0x4E00 + i) for i in range(600)]
+    zh = ["".join(rng.choice(signs[:200] if i % 2 else signs) for _ in range(60)) for i in range(12)]
+    ja = ["".join(rng.choice(signs[300:]) for _ in range(60)) for _ in range(4)]
+    rows = [(i, t, "zh" if i < 12 else "ja") for i, t in enumerate(zh + ja)] + [(20, zh[0], "ko")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in (*range(8), 12, 13, 14)], LABELS)
+    got = {r.doc_id: r for r in lm.classify(docs, labels, order=3, size=1000, min_trusted=3).collect()}
+    assert {i: r.stratum for i, r in got.items()} == {i: s if s != "ko" else "other" for i, _, s in rows}
+    for train, held in ((zh[:8], range(12)), (ja[:3], range(12, 16))):
+        p = brute_model(train, 3)
+        for i in held:
+            s = [None, None, *rows[i][1]]
+            logs = [math.log(p(tuple(s[j:j + 2]), s[j + 2], 1000)) for j in range(60)]
+            assert math.isclose(got[i].perplexity, math.exp(-sum(logs) / 60), rel_tol=1e-3)
