@@ -4,12 +4,14 @@ Every 64-byte window of a text's UTF-8 bytes has an entropy, read on a scale of
 0 to 1000. How often each entropy occurs over all documents gives its rarity
 rank (``fit_ranks``, one histogram of 1001 numbers whatever the input). A
 window is selected if it is the leftmost rarest of enough of the neighbourhoods
-it is in; windows of very low entropy (runs, padding) never are. Selected
-windows are hashed and put, five bits each, into a chain of 2048-bit Bloom
-filters, a new one after 160 features. Two fingerprints are compared filter by
-filter: the overlap of their bits beyond what chance gives, on a scale up to
-the smaller filter's bits; each filter of the shorter chain counts with its
-best match, and the mean is the likeness.
+it is in; windows of very low entropy (runs, padding) never are. Where no window
+has enough votes, the most voted ones are selected; a text of nothing but weak
+windows has one feature, the hash of the whole text. Selected windows are
+hashed and put, five bits each, into a chain of 2048-bit Bloom filters, a new
+one after 160 features. Two fingerprints are compared filter by filter: the
+overlap of their bits beyond what chance gives, on a scale up to the smaller
+filter's bits; each filter of the shorter chain counts with its best match, and
+the mean is the likeness.
 
 Defined cases: null text is empty text; an empty text has an empty fingerprint,
 like only another empty one (1.0); a text shorter than a window is one feature;
@@ -121,12 +123,22 @@ def features(data: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     key = (rank << 40) | np.arange(n)
     best = _leftmost_min(key, width) & ((1 << 40) - 1)
     votes = np.bincount(best, minlength=n)
-    need = min(POPULAR, len(best))  # a text of few windows has few neighbourhoods
-    at = np.flatnonzero((votes >= need) & (rank <= SCALE))
+    strong = rank <= SCALE
+    if not strong.any():
+        return _whole(data)
+    # a short text has few neighbourhoods: its most voted windows are selected where none has enough votes
+    need = min(POPULAR, votes[strong].max())
+    at = np.flatnonzero((votes >= need) & strong)
     out = [_hash(data[part[:, None] + np.arange(WINDOW)]) for part in np.array_split(at, len(at) // 65536 + 1)]
     return np.concatenate(out)
 
 
+def _whole(data: np.ndarray) -> np.ndarray:
+    """Hash of a whole text as one feature."""
+    raw = hashlib.blake2b(data.tobytes(), digest_size=WINDOW).digest()
+    return _hash(np.frombuffer(raw, np.uint8)[None, :])
+
+
 def _hash(windows: np.ndarray) -> np.ndarray:
     words = np.ascontiguousarray(windows).view("<u8")
     out = np.full(len(words), 0x9E3779B97F4A7C15, np.uint64)

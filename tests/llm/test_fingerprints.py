@@ -93,3 +93,18 @@ def test_repeated_and_null_ids_each_give_a_row(docs_of):
     docs = docs_of([(1, "one text"), (1, "one text"), (1, "another"), (None, "no id"), (None, None)])
     rows = f.compare_edited(docs, [0] * 1001, 2).collect()
     assert sorted(str(r.doc_id) for r in rows) == ["1", "1", "1", "None", "None"]
+
+
+def test_short_texts_have_features():
+    """Texts of 64 to 300 bytes: none is empty, and distinct ones aren't wholly alike."""
+    rng = random.Random(5)
+    words = "the quick brown fox jumps over one lazy dog while seven wizards judge my vow".split()
+    ranks = np.array(rng.sample(range(1001), 1001))
+    chains = []
+    for n in range(64, 301):
+        text = " ".join(rng.choice(words) + str(rng.randrange(100)) for _ in range(n))[:n]
+        chains.append(f.digest(np.frombuffer(text.encode(), np.uint8), ranks))
+    assert all(len(c) for c in chains)
+    assert all(f.likeness(a, b) < 1.0 for i, a in enumerate(chains) for b in chains[:i])
+    weak = [f.digest(np.frombuffer(t, np.uint8), ranks) for t in (b"x" * 100, b"x" * 300, b"y" * 300, b"x" * 3000)]
+    assert all(len(c) for c in weak) and all(f.likeness(a, b) < 1.0 for i, a in enumerate(weak) for b in weak[:i])
