@@ -18,6 +18,9 @@ from lavra.llm.ngram_lm import classify
 from lavra.llm.oracle import SQL
 from lavra.llm.quality_rules import quality_rules
 from lavra.llm.secret_scan import secret_scan, spans_text
+from lavra.llm.simhash_join import hex_digits, simhash_components
+from lavra.llm.spelling_variants import spelling_variants
+from lavra.llm.token_alignment import align_and_score
 from lavra.llm.token_counts import count_tokens, read_ranks
 from lavra.llm.url_filters import judge_urls
 
@@ -84,10 +87,24 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "source", "tokens", "weight", "copy", "block", "place")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_and_score(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_simhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_document_fingerprints, op3_token_counts, op4_url_filters, op5_quality_classifier,
-        op6_line_dedup, op7_jaccard_join, op8_sentencepiece, op9_secret_scans, op10_mixing)}
+        op6_line_dedup, op7_jaccard_join, op8_sentencepiece, op9_secret_scans, op10_mixing, op11_token_alignment,
+        op12_spelling_variants, op13_simhash_join)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 __all__ = ["QUERIES", "SQL"]

@@ -31,5 +31,5 @@ def test_run_equals_the_stages_and_takes_empty_tables(spark, small, tmp_path):
 
 
 def test_every_operator_has_one_query():
-    assert sorted(q.split("_")[0] for q in QUERIES) == sorted([f"op{n}" for n in range(1, 11)] + ["pipeline"])
+    assert sorted(q.split("_")[0] for q in QUERIES) == sorted([f"op{n}" for n in range(1, 14)] + ["pipeline"])
     assert set(SQL) <= set(QUERIES) and cp.ORACLE_SQL is None
