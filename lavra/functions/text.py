@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -53,18 +54,21 @@ def cp1252_from_latin1(c: Column | str) -> Column:
     return F.translate(_col(c), CP1252_C1_SOURCE, CP1252_C1_TARGET)
 
 
+def contains_any(text: Column, terms: Iterable[str]) -> Column:
+    """Whether a text holds any of the terms, as plain byte searches."""
+    return reduce(lambda a, b: a | b, [text.contains(F.lit(t)) for t in terms], F.lit(False))
+
+
 def lower_contains_any(c: Column | str, terms: Iterable[str]) -> Column:
     """Plain-substring keyword test on lower-cased text; null reads as ''.
 
-    One regex of quoted literals (``\\Qterm\\E|…``) is the same test as an
-    OR of ``contains``, but evaluates the (possibly costly) text expression
-    once even inside a filter, where Spark does not share subexpressions.
+    The text is the one element of an array, so the (possibly costly)
+    expression is evaluated once for all terms, also inside a filter, where
+    Spark does not share subexpressions.
     """
-    low = F.lower(F.coalesce(_col(c), F.lit("")))
     terms = list(dict.fromkeys(terms))
-    if not terms:
-        return F.lit(False)
-    return low.rlike("|".join("\\Q" + t + "\\E" for t in terms))
+    low = F.lower(F.coalesce(_col(c), F.lit("")))
+    return F.exists(F.array(low), lambda t: contains_any(t, terms))
 
 
 def extract_optional_int(c: Column | str, pattern: str, group: int, default: int = 0) -> Column:

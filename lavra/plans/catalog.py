@@ -7,11 +7,8 @@ null inputs the operators exist for are *derived* by fixed rules on keys
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import config
@@ -27,7 +24,8 @@ from ..operators import (batch_ids, coalesce_variants, contiguous_watermark, cov
                          stale_commits, union_by_name, weekly_windows, window_diagnostics,
                          window_plan, with_lineage)
 from ..session import scratch_path, use_utc
-from ..sources import expand_zip, extract_links, read_delimited
+from ..sources import extract_links, read_delimited, read_quoted, read_zip, write_zips
+from ..sources.zip_source import open_path
 from .driver_bronze import OBJECT_WORDS
 from .tables import table
 
@@ -474,33 +472,36 @@ def q_topn_preview(spark: SparkSession, d: str) -> DataFrame:
 
 
 # -------------------------------------------------------- files and streams
-def _supplier_zips(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = []
-        for key, name, nation in zip(pdf["s_suppkey"], pdf["s_name"], pdf["s_nationkey"]):
-            line = f"{key};{name};{nation}\n".encode("latin-1")
-            buf = io.BytesIO()
-            with zipfile.ZipFile(buf, "w") as zf:
-                zf.writestr(f"{key}_data.csv", line)
-                zf.writestr(f"{key}_DATA.CSV", line + line)
-                zf.writestr(f"{key}_notes.txt", b"notes")
-            blob = buf.getvalue()
-            if key % 9 == 0:  # broken
-                blob = blob[:20]
-            elif key % 9 == 1:  # nothing that matches
-                buf = io.BytesIO()
-                with zipfile.ZipFile(buf, "w") as zf:
-                    zf.writestr("readme.txt", b"x")
-                blob = buf.getvalue()
-            rows.append((f"supplier_{key}.zip", blob))
-        yield pd.DataFrame(rows, columns=["path", "content"])
+def _break_archives(landed: DataFrame, folder: str, broken: Column) -> None:
+    """Cuts the chosen archives of a folder short, as a failed download leaves them."""
+    def cut(batches):
+        system, at = open_path(folder)
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                with system.open_input_stream(f"{at}/{name}") as f:
+                    start = f.read(20)
+                with system.open_output_stream(f"{at}/{name}") as f:
+                    f.write(start)
+            yield batch
+    landed.filter(broken).select("archive").mapInArrow(cut, "archive string").write.format("noop").mode("overwrite").save()
 
 
 def q_zip_members(spark: SparkSession, d: str) -> DataFrame:
-    # one archive per supplier (three members, two of them CSV)
-    sup = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    archives = sup.mapInPandas(_supplier_zips, "path string, content binary")
-    members = expand_zip(archives, member_pattern=r"\.(csv|xlsx)$")
+    """Archives landed from suppliers (two CSV members and one other; some broken, some with no CSV), by member."""
+    k, folder = F.col("s_suppkey"), scratch_path(spark, "zip_members")
+    key = k.cast("string")
+    line = F.concat(F.concat_ws(";", key, "s_name", F.col("s_nationkey").cast("string")), F.lit("\n"))
+    def file(name: Column, body: Column) -> Column:
+        return F.struct(name.alias("member"), body.alias("body"))
+
+    member = F.explode(F.when(k % 9 == 1, F.array(file(F.lit("readme.txt"), F.lit("x")))).otherwise(F.array(
+        file(F.concat(key, F.lit("_data.csv")), line), file(F.concat(key, F.lit("_DATA.CSV")), F.concat(line, line)),
+        file(F.concat(key, F.lit("_notes.txt")), F.lit("notes")))))
+    rows = table(spark, d, "supplier").select(F.concat(F.lit("supplier_"), key, F.lit(".zip")).alias("archive"), member.alias("m"))
+    landed = scratch_path(spark, "zip_listing")
+    write_zips(rows.select("archive", "m.member", F.col("m.body").cast("binary").alias("content")), folder).write.parquet(landed)
+    _break_archives(spark.read.parquet(landed), folder, F.regexp_extract("archive", r"(\d+)", 1).cast("long") % 9 == 0)
+    members = read_zip(spark, folder, pattern=r"\.(csv|xlsx)$", rows="content")
     return members.select("archive", "member", F.length("content").alias("n_bytes"),
                           F.sha2("content", 256).alias("sha256"), "error")
 
@@ -521,6 +522,15 @@ def q_csv_policy(spark: SparkSession, d: str) -> DataFrame:
     return read_delimited(spark, path, ["a", "b", "c"], sep=";", header=False)
 
 
+def q_quoted_breaks(spark: SparkSession, d: str) -> DataFrame:
+    """Whole document texts as a quoted CSV field, line breaks and all, read by splits."""
+    path = scratch_path(spark, "quoted_breaks")
+    quote = F.lit('"')
+    text = F.concat(quote, F.replace("text", quote, F.lit('""')), quote)
+    table(spark, d, "documents").select(F.concat_ws(";", F.col("doc_id").cast("string"), text, "lang").alias("value")).write.text(path)
+    return read_quoted(spark, path, ["doc_id", "text", "lang"], charset="UTF-8", header=False, na_tokens=False)
+
+
 def q_stream_append(spark: SparkSession, d: str) -> DataFrame:
     from ..streaming import stream_append_jsonl
     src = scratch_path(spark, "stream_src")
@@ -651,6 +661,26 @@ def q_investments_silver(spark: SparkSession, d: str) -> DataFrame:
     return investments.silver_for(spark, name, path, "2024-01-01", charset="UTF-8")
 
 
+def q_investments_zip_silver(spark: SparkSession, d: str) -> DataFrame:
+    """A zipped source: archives of two members whose headers drift, merged by name, types inferred over all."""
+    from . import investments
+    k, folder = F.col("c_custkey"), scratch_path(spark, "investments_zip")
+    fields = [F.col("c_name"), F.replace(F.format_string("%.2f", "c_acctbal"), F.lit(","), F.lit(".")),
+              F.concat(F.lit('"'), F.col("c_mktsegment"), F.lit('\n"'))]
+    old, new = ";".join([*INVESTMENT_HEADERS[:2], INVESTMENT_HEADERS[3]]), ";".join([*INVESTMENT_HEADERS[:2], *INVESTMENT_HEADERS[3:]])
+    line = F.when(k % 2 == 0, F.concat_ws(";", *fields)).otherwise(F.concat_ws(";", *fields, k.cast("string")))
+    rows = table(spark, d, "customer").select(
+        F.concat(F.lit("part_"), F.floor(k / 500).cast("string"), F.lit(".zip")).alias("archive"),
+        F.concat(F.lit("dados/v"), (k % 2).cast("string"), F.lit(".csv")).alias("member"), k.alias("k"), line.alias("line"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "line"))), lambda x: x["line"]), "\n")
+    files = rows.groupBy("archive", "member").agg(text.alias("body"))  # a member: 250 customers
+    head = F.when(F.col("member").endswith("0.csv"), F.lit(old)).otherwise(F.lit(new))
+    files = files.select("archive", "member", F.concat(head, F.lit("\n"), "body", F.lit("\n")).cast("binary").alias("content"))
+    write_zips(files, folder).write.format("noop").mode("overwrite").save()
+    name = config.INVESTMENT_SOURCES[0][0]
+    return investments.silver_for(spark, name, folder, "2024-01-01", charset="UTF-8", kind="zip")
+
+
 QUERIES: dict[str, Query] = {
     "keyword_filter": q_keyword_filter,
     "works_keyword_filter": q_works_keyword_filter,
@@ -693,6 +723,7 @@ QUERIES: dict[str, Query] = {
     "topn_preview": q_topn_preview,
     "zip_members": q_zip_members,
     "csv_policy": q_csv_policy,
+    "quoted_breaks": q_quoted_breaks,
     "stream_append": q_stream_append,
     "stream_dedup": q_stream_dedup,
     "procurement_report": q_procurement_report,
@@ -703,6 +734,7 @@ QUERIES: dict[str, Query] = {
     "permits_silver": q_permits_silver,
     "permits_report": q_permits_report,
     "investments_silver": q_investments_silver,
+    "investments_zip_silver": q_investments_zip_silver,
 }
 
 

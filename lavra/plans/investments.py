@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import config
 from ..functions import rename_all, snake_ascii
 from ..operators import select_sources, with_lineage
-from ..sources import read_inferred
+from ..sources import read_inferred, read_inferred_zip
 from ..sources.sinks import write_parquet
 
 
@@ -28,12 +28,15 @@ def selection(spark: SparkSession, requested: list[str]) -> DataFrame:
 
 
 def silver_for(spark: SparkSession, name: str, path: str, ingest_date: str,
-               charset: str | None = None) -> DataFrame:
-    """One registered source → silver; ``charset`` overrides the catalog's (re-encoded landings)."""
+               charset: str | None = None, kind: str | None = None) -> DataFrame:
+    """One registered source → silver; ``charset`` and ``kind`` override the catalog's (re-encoded or zipped landings)."""
     spec = {n: (k, s, c) for n, k, s, c in config.INVESTMENT_SOURCES}[name]
-    _, sep, catalog_charset = spec
-    charset = charset or catalog_charset
-    df = rename_all(read_inferred(spark, path, sep=sep, charset=charset), snake_ascii)
+    catalog_kind, sep, catalog_charset = spec
+    kind = kind or ("zip" if path.lower().endswith(".zip") else catalog_kind)
+    if kind not in ("csv", "zip"):
+        raise ValueError(f"unsupported source type: {kind}")
+    read = read_inferred_zip if kind == "zip" else read_inferred
+    df = rename_all(read(spark, path, sep=sep, charset=charset or catalog_charset), snake_ascii)
     return with_lineage(df, fonte=name, dt_ingestao=ingest_date)
 
 

@@ -576,7 +576,14 @@ GROUP BY uso_classificado, ano_referencia""",
 
     "investments_silver": f"""
 SELECT c_name AS municipio, c_acctbal AS valor_investido_s, c_acctbal / 1e6 AS rs_milhoes,
-       c_mktsegment AS setor__economico, CAST(c_custkey AS INTEGER) AS codigo,
+       c_mktsegment AS setor__economico, c_custkey AS codigo,
        {_q(config.INVESTMENT_SOURCES[0][0])} AS fonte, '2024-01-01' AS dt_ingestao
 FROM customer""",
+    "investments_zip_silver": f"""
+SELECT c_name AS municipio, c_acctbal AS valor_investido_s, c_mktsegment || chr(10) AS setor__economico,
+       CASE WHEN c_custkey % 2 = 1 THEN c_custkey END AS codigo,
+       {_q(config.INVESTMENT_SOURCES[0][0])} AS fonte, '2024-01-01' AS dt_ingestao
+FROM customer""",
+    "quoted_breaks": """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, '') AS text, lang FROM documents""",
 }

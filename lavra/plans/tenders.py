@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import config
 from ..functions import br_money, br_quantity, parse_dayfirst, parse_iso, strip_unicode
 from ..operators import distinct_rows
-from ..sources import read_delimited, zip_lines
+from ..sources import read_quoted, read_zip, zip_lines
 from ..sources.delimited import parse_delimited_lines
 
 SOURCE_COLUMNS = config.TENDER_COLUMNS[:21]
@@ -34,6 +34,17 @@ def archive_lines(archives: DataFrame) -> DataFrame:
     return zip_lines(archives, ["path", "period"])
 
 
+def landed_lines(spark: SparkSession, landing: str, periods: list[str]) -> DataFrame:
+    """The landed ``…yyyy-MM….zip`` archives of these periods → period, line_no, line (a record), error.
+
+    Members are read where they lie; archives of other periods aren't opened.
+    """
+    if not periods:
+        return spark.createDataFrame([], "period string, line_no bigint, line string, error string")
+    rows = read_zip(spark, landing, names=f"(?:{'|'.join(periods)})[^/]*\\.zip$", first=True, sep=";", charset="ISO-8859-1")
+    return rows.select(F.regexp_extract("archive", r"(\d{4}-\d{2})[^/]*\.zip$", 1).alias("period"), "line_no", "line", "error")
+
+
 def bronze_from_archives(archives: DataFrame, ingest_date: str) -> DataFrame:
     """Monthly archives → works-tender bronze rows (archives with an error have none)."""
     lines = archive_lines(archives).filter((F.col("line_no") > 0) & (F.col("line") != ""))
@@ -43,7 +54,7 @@ def bronze_from_archives(archives: DataFrame, ingest_date: str) -> DataFrame:
 def bronze_from_files(spark: SparkSession, path: str, ingest_date: str,
                       period_col: str = "period") -> DataFrame:
     """Landed monthly CSV files (``path/period=yyyy-MM/*``, no header) → works-tender bronze."""
-    rows = read_delimited(spark, path, SOURCE_COLUMNS, sep=";", charset="ISO-8859-1", header=False)
+    rows = read_quoted(spark, path, SOURCE_COLUMNS, sep=";", charset="ISO-8859-1", header=False)
     works = rows.filter(F.col("objeto") == F.lit(config.TENDER_WORKS_OBJECT))
     return works.select(*SOURCE_COLUMNS, F.col(period_col).cast("string").alias("periodo"),
                         F.lit(ingest_date).alias("dt_ingestao"))

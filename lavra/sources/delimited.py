@@ -121,6 +121,11 @@ def read_inferred(spark: SparkSession, path: str | Sequence[str], sep: str = ";"
             .option("encoding", spark_charset).option("multiLine", "true").csv(path))
     names = [cp1252_name(c) if spark_charset != charset else c for c in head.columns]
     text = read_delimited(spark, path, names, sep=sep, charset=charset)
+    return with_inferred_types(text, names)
+
+
+def with_inferred_types(text: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Text columns of which every value is a whole number, a number or a truth value, as such (missing ones aside)."""
     cols = [F.col(f"`{c}`") for c in names]
     counts = text.agg(*[x for i, c in enumerate(cols) for x in (
         F.count(c).alias(f"n{i}"), F.count_if(c.rlike(_WHOLE)).alias(f"i{i}"),

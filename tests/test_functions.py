@@ -121,3 +121,35 @@ def test_name_rules():
     assert snake_ascii(" Valor  Investido ($) ") == "valor__investido_s" and snake_ascii("Açaí/ção-1") == "acaicao1"
     assert snake_keep_accents("Área da Construção (m²)") == "área_da_construção_m"
     assert snake_keep_accents("__a__b//c%") == "a_b_c" and snake_keep_accents("") == ""
+
+
+def test_plain_rules_are_the_regex_rules(spark):
+    """Folded text searches against (?iu) searches: each code point in place of each letter the rules use."""
+    from pyspark.sql import functions as F
+
+    from lavra.functions.classify import literal_alternatives
+
+    rules = config.WORKS_TYPE_RULES + config.LAND_USE_RULES
+    plain = [literal_alternatives(p) for p, _ in rules]
+    assert None not in plain and plain[2][2:4] == ["ubs", "ubc"] and "r4" in plain[7]
+    assert literal_alternatives("a.c") is None and literal_alternatives("[^a]") is None
+    assert literal_alternatives("µ") is None and literal_alternatives("σ") is None and literal_alternatives("a||b") == ["a", "", "b"]
+    letters = sorted({c for p in plain for x in p for c in x})
+    points = spark.range(1, 0x20000).filter("id < 55296 or id > 57343").select(
+        F.expr("decode(cast(unhex(lpad(hex(id), 8, '0')) as binary), 'UTF-32')").alias("c"))
+    differ = points.filter(F.lit(False))
+    for c in letters:
+        as_rule = first_match_regex("c", [(c, "yes")], "no") == "yes"
+        differ = differ.unionByName(points.filter(as_rule != F.col("c").rlike("(?iu)" + c)))
+    assert differ.collect() == []
+
+
+def test_classifier_edges(spark):
+    texts = [None, "", "PAVİMENT", "pavıment", "ſaneamento", "SANEAMENTO", "CÓRREGO e ESCOLA", "galeria\nubC", "strASSE ß", "UBſ",
+             "nr1-3", "ÁREA ÁGUA", "i̇ndust"]
+    for rules in (config.WORKS_TYPE_RULES, config.LAND_USE_RULES):
+        got = values(spark, first_match_regex("x", rules, "none"), texts)
+        want = values(spark, first_match_regex("x", [*rules, ("(?!x)x", "never")], "none"), texts)  # not plain: regexes
+        assert got == want
+    assert values(spark, first_match_regex("x", [], "none"), ["a"]) == ["none"]
+    assert values(spark, first_match_regex("x", [("", "any")], "none"), ["a", None]) == ["any", "any"]

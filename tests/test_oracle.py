@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from lavra.plans import catalog
+from lavra.plans.oracle import SQL
 from lavra.plans.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -14,7 +16,7 @@ FAST = ["keyword_filter", "json_flatten", "br_decimal_parse", "multi_date_parse"
         "contiguous_watermark", "outcome_diagnostics", "override_merge", "html_links", "header_row",
         "report_class", "coverage", "csv_policy", "zip_members", "procurement_report",
         "mining_report", "mining_coverage", "tenders_silver", "permits_silver", "permits_report",
-        "investments_silver", "batch_ids"]
+        "investments_silver", "investments_zip_silver", "quoted_breaks", "batch_ids"]
 
 SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
                  "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
@@ -45,7 +47,8 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(catalog.QUERIES) <= set(oracle_sql()) and set(catalog.QUERIES) <= set(queries())
+    assert set(SQL) == set(catalog.QUERIES)
 
 
 def test_entry_runs(spark):
