@@ -12,8 +12,9 @@ The weights are realised over blocks: a source's rows are hashed into
 drawn for that pass. A source's budget is its weight times the total budget;
 full passes take every block, the last pass takes blocks in order until the
 budget is met and cuts the last block row by row. Windows run over a source's
-blocks (at most ``blocks`` rows) or one block's rows, so a source with a third
-of all rows is spread over as many tasks as it has blocks.
+blocks (at most ``blocks`` rows) or one block's different rows, and the number of
+blocks follows the number of rows, so a source with a third of all rows is
+spread over as many tasks as it has blocks.
 
 With budget None the total is the smallest one in which the source that gains
 least is read exactly once, so that no row is left out and the others repeat.
@@ -36,6 +37,7 @@ from pyspark.sql import Window as W
 from lavra.llm.common import store, words
 
 BLOCKS = 256
+ROWS = 1_000_000  # rows of a block, of which one per source is cut row by row
 GRID = 17
 ROUNDS = 6
 MAX_REPEATS = 2.0
@@ -133,38 +135,71 @@ def plan_blocks(rows: DataFrame, target_entropy: float | None = None, max_repeat
 
 
 def mix(docs: DataFrame, target_entropy: float | None = None, max_repeats: float | None = MAX_REPEATS,
-        budget: int | None = None, blocks: int = BLOCKS, seed: int = 0) -> DataFrame:
+        budget: int | None = None, blocks: int | None = None, seed: int = 0) -> DataFrame:
     """doc_id, source, tokens, block, weight, copy, place for every emitted copy of a row.
 
     copy counts the passes from 0; within a source and copy, blocks come in the order of place.
+    blocks: None for one per ROWS rows, BLOCKS at least.
     """
+    blocks = blocks or max(BLOCKS, -(-docs.count() // ROWS))
     rows = store(token_rows(docs, blocks, seed), "mix-rows")
     plan = store(plan_blocks(rows, target_entropy, max_repeats, budget, seed), "mix-plan")
     placed = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block")))
-    # only cut blocks, at most one per source, need their rows' running sum
-    cut = placed.filter("rest > 0")
-    run = F.sum("tokens").over(W.partitionBy("source", "block").orderBy("row_hash", "doc_id")
-                               .rowsBetween(W.unboundedPreceding, W.currentRow))
-    cut = cut.withColumn("_upto", run).withColumn("n", F.col("passes") + (F.col("_upto") <= F.col("rest")).cast("int"))
-    whole = placed.filter("rest is null or rest <= 0").withColumn("_upto", F.lit(0).cast("long")).withColumn(
-        "n", F.col("passes") + F.coalesce((F.col("rest") == -1).cast("int"), F.lit(0)))
-    return (whole.unionByName(cut).filter("n > 0")
-            .select("doc_id", "source", "tokens", "block", "weight", "row_hash",
-                    F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("copy"))
+    columns = ["doc_id", "source", "tokens", "block", "weight", "row_hash"]
+    full = placed.filter("passes > 0").select(*columns, F.explode(F.sequence(F.lit(0), F.col("passes") - 1)).alias("copy"))
+    last = placed.filter("rest = -1").select(*columns, F.col("passes").alias("copy"))
+    # only cut blocks, at most one per source, need a running sum; equal rows are one row of it
+    equal = placed.filter("rest > 0").groupBy(*columns, "passes", "rest").agg(F.count(F.lit(1)).alias("m"))
+    before = F.coalesce(F.sum(F.col("tokens") * F.col("m")).over(
+        W.partitionBy("source", "block").orderBy("row_hash", "doc_id", "tokens").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    room = F.col("rest") - F.col("before")
+    fits = F.when(F.col("tokens") > 0, F.least("m", F.floor(room / F.greatest("tokens", F.lit(1))))).otherwise(F.col("m"))
+    cut = (equal.withColumn("before", before).filter("before <= rest").withColumn("fits", fits).filter("fits > 0")
+           .select(*columns, F.col("passes").alias("copy"), F.explode(F.sequence(F.lit(1), F.col("fits"))).alias("_fit")).drop("_fit"))
+    return (full.unionByName(last).unionByName(cut)
             .withColumn("place", F.xxhash64(F.lit(seed), F.col("copy"), F.col("block"))))
 
 
+def _numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with _mx_k: the number, from 0, of each row among those of equal keys.
+
+    A key's rows are numbered where they lie and offset by what the tasks before hold, so a key of
+    any size needs no task of its own.
+    """
+    rows = store(rows.withColumn("_mx_id", F.monotonically_increasing_id()), "mix-partly")
+    rows = rows.withColumn("_mx_task", F.shiftright("_mx_id", 33))
+    held = rows.groupBy(*keys, "_mx_task").agg(F.count(F.lit(1)).alias("_mx_n"))
+    offset = F.coalesce(F.sum("_mx_n").over(
+        W.partitionBy(*keys).orderBy("_mx_task").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    at = held.select(*[F.col(k).alias(f"{k}_at") for k in keys], F.col("_mx_task").alias("_mx_task_at"), offset.alias("_mx_offset"))
+    same = F.col("_mx_task") == F.col("_mx_task_at")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_at"))
+    here = F.row_number().over(W.partitionBy(*keys, "_mx_task").orderBy("_mx_id")) - 1
+    return rows.withColumn("_mx_here", here).join(at, same).withColumn("_mx_k", F.col("_mx_here") + F.col("_mx_offset"))
+
+
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents themselves, each as many times as the mixture emits it; the same columns.
 
-    Copies meet their texts by doc_id and row hash, so the join is spread evenly.
+    Copies meet their texts by doc_id, source and row hash, so the join is spread evenly. Of m equal
+    rows that are emitted e times, each comes e // m times and the first e % m of them once more.
     """
     seed = options.get("seed", 0)
-    counts = mix(docs, **options).groupBy("doc_id", "row_hash").agg(
-        F.count(F.lit(1)).alias("_mx_emitted"), F.count_if(F.col("copy") == 0).alias("_mx_rows"))
-    counts = counts.withColumnsRenamed({"doc_id": "_mx_doc", "row_hash": "_mx_hash"})
-    joined = docs.join(counts, F.col("doc_id").eqNullSafe(F.col("_mx_doc"))
-                       & (row_hash(seed) == F.col("_mx_hash")))
-    times = F.col("_mx_emitted") / F.greatest(F.col("_mx_rows"), F.lit(1))
-    return (joined.withColumn("_mx_copy", F.explode(F.sequence(F.lit(1), F.round(times).cast("int"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    keys = ["doc_id", "source", "row_hash"]
+    emitted = mix(docs, **options).groupBy(*keys).agg(F.count(F.lit(1)).alias("_mx_emitted"))
+    held = token_rows(docs, 1, seed).groupBy(*keys).agg(F.count(F.lit(1)).alias("_mx_rows"))
+    named = {k: f"_mx_{k}" for k in keys}
+    same = [F.col(f"_mx_{k}").eqNullSafe(F.col(k)) for k in keys]
+    counts = emitted.withColumnsRenamed(named).join(held, same[0] & same[1] & same[2]).select(
+        *named.values(), F.floor(F.col("_mx_emitted") / F.col("_mx_rows")).cast("int").alias("_mx_each"),
+        (F.col("_mx_emitted") % F.col("_mx_rows")).alias("_mx_more"))
+    joined = docs.join(counts, F.col("doc_id").eqNullSafe(F.col("_mx_doc_id")) & F.col("source").eqNullSafe(F.col("_mx_source"))
+                       & (row_hash(seed) == F.col("_mx_row_hash")))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    whole = joined.filter("_mx_more = 0").withColumn("_mx_copy", F.explode(F.sequence(F.lit(1), F.col("_mx_each"))))
+    # equal rows that the mixture cut among them: one group per source at most
+    partly = _numbered(joined.filter("_mx_more > 0"), list(named.values())).withColumn(
+        "_mx_times", F.col("_mx_each") + (F.col("_mx_k") < F.col("_mx_more")).cast("int")).filter("_mx_times > 0")
+    partly = partly.withColumn("_mx_copy", F.explode(F.sequence(F.lit(1), F.col("_mx_times"))))
+    return whole.select(*own).unionByName(partly.select(*own))
