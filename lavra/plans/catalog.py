@@ -24,7 +24,7 @@ from ..operators import (batch_ids, coalesce_variants, contiguous_watermark, cov
                          stale_commits, union_by_name, weekly_windows, window_diagnostics,
                          window_plan, with_lineage)
 from ..session import scratch_path, use_utc
-from ..sources import extract_links, read_delimited, read_quoted, read_zip, write_zips
+from ..sources import extract_links, land_texts, read_delimited, read_quoted, read_zip, write_zips
 from ..sources.zip_source import open_path
 from .driver_bronze import OBJECT_WORDS
 from .tables import table
@@ -549,6 +549,58 @@ def q_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
                                 ["user_id"], scratch_path(spark, "dedup_lake"))
 
 
+def q_stream_keep_first(spark: SparkSession, d: str) -> DataFrame:
+    """The first event of each user by time, from files in any order, batch by batch."""
+    from ..streaming import stream_keep_first
+    src = scratch_path(spark, "keep_first_src")
+    (table(spark, d, "events").select("event_id", "user_id", "event_type", "ts").repartition(4, F.xxhash64("event_id"))
+     .write.mode("overwrite").json(src))
+    return stream_keep_first(spark, src, "event_id bigint, user_id bigint, event_type string, ts timestamp_ntz", ["user_id"],
+                             ["ts", "event_id"], scratch_path(spark, "keep_first_lake"), max_files_per_trigger=2)
+
+
+PAGE_ROWS = 250
+
+
+def event_claim_pages(spark: SparkSession, d: str) -> DataFrame:
+    """section, page, text of feature pages made of events: even ones are claims, odd ones geometries."""
+    k = F.col("event_id")
+    user = F.concat(F.lit("P"), F.col("user_id").cast("string"))
+    attrs = F.create_map(F.lit("PROCESSO"), user, F.lit("FID"), k.cast("string"), F.lit("AREA_HA"), F.col("value").cast("string"))
+    rings = F.array(F.array(F.array(F.col("value"), (k % 90).cast("double"))))
+    row = table(spark, d, "events").select(
+        F.when(k % 2 == 0, "attributes").otherwise("geometry").alias("section"), F.floor(k / 2).alias("pos"),
+        F.struct(attrs.alias("attributes"), F.struct(rings.alias("rings")).alias("geometry")).alias("feature"))
+    page = row.groupBy("section", F.floor(F.col("pos") / PAGE_ROWS).cast("int").alias("page")).agg(
+        F.array_sort(F.collect_list(F.struct("pos", F.to_json("feature").alias("f")))).alias("rows"))
+    text = F.concat(F.lit('{"features":['), F.array_join(F.transform("rows", lambda r: r["f"]), ","), F.lit("]}"))
+    return page.select("section", "page", F.size("rows").alias("n"), text.alias("text"))
+
+
+def q_paged_load_replay(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs of the paged load: the first meets pages whose fetch failed, the second finds them landed."""
+    from . import mining_ingest as job
+    staged = scratch_path(spark, "claim_pages")
+    event_claim_pages(spark, d).write.parquet(staged)
+    pages, start = spark.read.parquet(staged), F.col("page") * PAGE_ROWS
+    failed = F.col("page") % 11 == F.when(F.col("section") == "attributes", 3).otherwise(7)
+    name = F.concat("section", F.lit("/page_"), start.cast("string"))
+    good = F.concat(name, F.lit("_"), (start + F.col("n")).cast("string"), F.lit(".json"))
+    landing, lake, seen = scratch_path(spark, "claims_landing"), scratch_path(spark, "claims_lake"), []
+    for run in (1, 2):
+        land = pages if run == 1 else pages.filter(failed)
+        land_texts(land.select(F.when(failed & F.lit(run == 1), F.concat(name, F.lit(".error"))).otherwise(good).alias("name"), "text"), landing)
+        marks = job.ingest(spark, landing, lake, f"2024-01-0{run}")
+        for section, mark in marks.items():
+            claim = F.col("attributes")["PROCESSO"] if section == "attributes" else F.col("processo")
+            out = scratch_path(spark, "claims_seen")
+            job.read_bronze(spark, lake, section).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(claim).alias("n_claims")).select(
+                F.lit(section).alias("section"), F.lit(run).alias("run"), F.lit(mark).cast("bigint").alias("watermark"),
+                "n_rows", "n_claims").write.parquet(out)
+            seen.append(spark.read.parquet(out))
+    return union_by_name(seen)
+
+
 # ----------------------------------------------------------- flagship query
 def q_procurement_report(spark: SparkSession, d: str) -> DataFrame:
     from .driver_bronze import procurement_bronze
@@ -726,6 +778,8 @@ QUERIES: dict[str, Query] = {
     "quoted_breaks": q_quoted_breaks,
     "stream_append": q_stream_append,
     "stream_dedup": q_stream_dedup,
+    "stream_keep_first": q_stream_keep_first,
+    "paged_load_replay": q_paged_load_replay,
     "procurement_report": q_procurement_report,
     "ingest_replay": q_ingest_replay,
     "mining_report": q_mining_report,

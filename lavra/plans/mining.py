@@ -8,6 +8,8 @@ null-safe left join (null claim numbers match, as in the source tool).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from .. import config
@@ -28,19 +30,19 @@ def source_filter(attrs: DataFrame) -> DataFrame:
                         & F.col("attributes")["SUBS"].isin(config.MINING_SUBSTANCES))
 
 
-def attributes_rows(pages: DataFrame, ingest_date: str) -> DataFrame:
+def attributes_rows(pages: DataFrame, ingest_date: str, keep: Sequence[str] = ()) -> DataFrame:
     """ESRI feature rows → attribute map + FID + lineage."""
     return pages.select("attributes", F.col("attributes")["FID"].try_cast("bigint").alias("fid"),
-                        "source_file", "position", F.lit(ingest_date).alias("dt_ingestao"))
+                        *keep, "source_file", "position", F.lit(ingest_date).alias("dt_ingestao"))
 
 
-def geometry_rows(pages: DataFrame, ingest_date: str) -> DataFrame:
+def geometry_rows(pages: DataFrame, ingest_date: str, keep: Sequence[str] = ()) -> DataFrame:
     """ESRI feature rows → (processo, lat, lon, geometry_raw as landed); absent geometry → ``{}``."""
     lat, lon = first_ring_centroid(F.col("geometry.rings"))
     text = F.col("geometry_raw") if "geometry_raw" in pages.columns else F.to_json("geometry")
     raw = F.coalesce(text, F.lit("{}"))
     return pages.select(F.col("attributes")["PROCESSO"].alias("processo"), lat.alias("lat"),
-                        lon.alias("lon"), raw.alias("geometry_raw"), "source_file", "position",
+                        lon.alias("lon"), raw.alias("geometry_raw"), *keep, "source_file", "position",
                         F.lit(ingest_date).alias("dt_ingestao"))
 
 

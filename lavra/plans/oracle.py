@@ -586,4 +586,14 @@ SELECT c_name AS municipio, c_acctbal AS valor_investido_s, c_mktsegment || chr(
 FROM customer""",
     "quoted_breaks": """
 SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, '') AS text, lang FROM documents""",
+    "stream_keep_first": """
+SELECT event_id, user_id, event_type, ts FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1""",
+    "paged_load_replay": """
+WITH p AS (SELECT CASE WHEN event_id % 2 = 0 THEN 'attributes' ELSE 'geometry' END AS section, event_id // 2 AS pos,
+                  user_id, (event_id // 2) // 250 AS page, CASE WHEN event_id % 2 = 0 THEN 3 ELSE 7 END AS bad FROM events),
+w AS (SELECT section, count(*) AS total, coalesce(min(page) FILTER (page % 11 = bad) * 250, count(*)) AS first_bad FROM p GROUP BY section),
+r AS (SELECT section, 1 AS run, first_bad AS watermark FROM w UNION ALL SELECT section, 2, total FROM w)
+SELECT r.section, r.run, CAST(r.watermark AS BIGINT) AS watermark, count(p.pos) AS n_rows, count(DISTINCT p.user_id) AS n_claims
+FROM r LEFT JOIN p ON p.section = r.section AND p.pos < r.watermark GROUP BY ALL""",
 }

@@ -43,3 +43,15 @@ def route_by_extension(files: DataFrame, supported: list[str], path_col: str = "
     if sample:
         raise ValueError(f"unsupported file type(s), e.g. {sample}")
     return {ext: tagged.filter(F.col("ext") == ext) for ext in supported}
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop's API, for any store that Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Removes a folder with all in it; False if there was none."""
+    system, p = hadoop_path(spark, path)
+    return system.delete(p, True)

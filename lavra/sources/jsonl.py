@@ -40,6 +40,15 @@ ESRI_SCHEMA = "features array<struct<attributes: map<string, string>, geometry:
 GEOMETRY_SCHEMA = "rings array<array<array<double>>>"
 
 
+def esri_features(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Page texts ``(source_file, payload)`` → one row per feature, as ``read_esri_pages`` gives them."""
+    kept = ["source_file", *(keep or [])]
+    doc = pages.select(*kept, F.explode(F.array(F.from_json("payload", ESRI_SCHEMA))).alias("doc"))  # parsed once
+    return doc.select(*kept, F.posexplode("doc.features").alias("position", "f")).select(
+        *kept, "position", "f.attributes", F.from_json("f.geometry", GEOMETRY_SCHEMA).alias("geometry"),
+        F.col("f.geometry").alias("geometry_raw"))
+
+
 def read_esri_pages(spark: SparkSession, path: str) -> DataFrame:
     """ESRI query pages ``{features:[{attributes, geometry}]}`` → one row per feature."""
     pages = (spark.read.schema(ESRI_SCHEMA).option("multiLine", "true").json(path)
