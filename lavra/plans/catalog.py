@@ -554,7 +554,7 @@ def q_stream_keep_first(spark: SparkSession, d: str) -> DataFrame:
     from ..streaming import stream_keep_first
     src = scratch_path(spark, "keep_first_src")
     (table(spark, d, "events").select("event_id", "user_id", "event_type", "ts").repartition(4, F.xxhash64("event_id"))
-     .write.mode("overwrite").json(src))
+     .write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(src))
     return stream_keep_first(spark, src, "event_id bigint, user_id bigint, event_type string, ts timestamp_ntz", ["user_id"],
                              ["ts", "event_id"], scratch_path(spark, "keep_first_lake"), max_files_per_trigger=2)
 

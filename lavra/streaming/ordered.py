@@ -26,6 +26,11 @@ from ..sources.jsonl import missing_path
 
 
 
+# whole microseconds, which JSON texts of timestamps leave out by default
+ROW_JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+            "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def sort_values(df: DataFrame, column: str) -> list[Column]:
     """Two columns without nulls that sort together as the column does: nulls first, NaN last."""
     c, kind = F.col(f"`{column}`"), df.schema[column].dataType
@@ -89,13 +94,13 @@ def first_rows(stream: DataFrame, keys: Sequence[str], order: Sequence[str], eve
                delay: str = "1 day") -> DataFrame:
     """A stream of updates: the columns of ``stream``, a row whenever its key's first one changes."""
     ranks = [c.alias(f"o{i}_{j}") for i, name in enumerate(order) for j, c in enumerate(sort_values(stream, name))]
-    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in stream.columns]), {"ignoreNullFields": "false"}).alias("row")
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in stream.columns]), ROW_JSON).alias("row")
     timed = []
     if event_time:
         at = F.col(f"`{event_time}`").cast("timestamp")
         timed = [at.alias("at"), F.unix_millis(at).alias("at_ms")]
     # one text that is never null: the Python worker finds a group's rows by the key's value
-    key = F.to_json(F.struct(*[F.col(f"`{c}`") for c in keys]), {"ignoreNullFields": "false"}).alias("key")
+    key = F.to_json(F.struct(*[F.col(f"`{c}`") for c in keys]), ROW_JSON).alias("key")
     packed = stream.select(key, *timed, *ranks, row)
     if event_time:
         packed = packed.filter("at is not null").withWatermark("at", delay)
@@ -103,7 +108,7 @@ def first_rows(stream: DataFrame, keys: Sequence[str], order: Sequence[str], eve
     updates = packed.groupBy("key").transformWithStateInPandas(
         statefulProcessor=FirstRow(state, bool(event_time)), outputStructType="row string",
         outputMode="Update", timeMode="EventTime" if event_time else "None")
-    return updates.select(F.from_json("row", stream.schema).alias("r")).select("r.*")
+    return updates.select(F.from_json("row", stream.schema, ROW_JSON).alias("r")).select("r.*")
 
 
 def stream_keep_first(spark: SparkSession, src: str, schema: str, keys: Sequence[str], order: Sequence[str], root: str,

@@ -10,6 +10,7 @@ import pytest
 from lavra.operators import keep_first
 from lavra.plans import mining_ingest as job
 from lavra.streaming import stream_keep_first
+from lavra.streaming.ordered import ROW_JSON
 from lavra.streaming.pages import PageReader, contiguous_end
 
 
@@ -87,13 +88,13 @@ def test_stream_keep_first_equals_the_batch_in_any_order(spark, tmp):
     rng = random.Random(1)
     schema = "k long, n double, t string, ts timestamp, more int"
     rows = [(rng.choice([None, *range(20)]), rng.choice([None, float("nan"), *map(float, range(30))]), rng.choice([None, "a", "B", "é"]),
-             datetime(2024, 1, 1, rng.randrange(24)), i) for i in range(400)]
+             datetime(2024, 1, 1, rng.randrange(24), 0, 0, rng.randrange(10**6)), i) for i in range(400)]
     order = ["n", "t", "ts", "more"]
     first, second = (spark.createDataFrame(x, schema) for x in (rows[:250], rows[250:]))
-    first.repartition(3).write.option("ignoreNullFields", "false").json(f"{tmp}/src")
+    first.repartition(3).write.options(**ROW_JSON).json(f"{tmp}/src")
     got = stream_keep_first(spark, f"{tmp}/src", schema, ["k"], order, f"{tmp}/lake", max_files_per_trigger=1)
     assert rows_of(got) == rows_of(keep_first(first, ["k"], order))
-    second.repartition(2).write.mode("append").option("ignoreNullFields", "false").json(f"{tmp}/src")
+    second.repartition(2).write.mode("append").options(**ROW_JSON).json(f"{tmp}/src")
     got = stream_keep_first(spark, f"{tmp}/src", schema, ["k"], order, f"{tmp}/lake")
     assert rows_of(got) == rows_of(keep_first(first.unionByName(second), ["k"], order))
     updates = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp}/lake/updates")
