@@ -1,10 +1,12 @@
 """Incremental-load bookkeeping: a commit-after-write ledger and its rules.
 
-The ledger is an append-only Parquet table ``(pipeline, key, committed_at,
-kind)``. ``kind='commit'`` rows record a key whose data write already
-succeeded; a ``kind='reset'`` row (overwrite mode) hides every earlier row of
-its pipeline. Appends are atomic through the file commit protocol, and the
-table is never read and overwritten in one plan.
+The ledger is a versioned table of ``(pipeline, key, committed_at, version)``.
+A commit adds a small file of keys whose data write already succeeded; every
+``MERGE_AFTER`` of them are merged into one sorted, distinct base, so any number
+of commits is read as a bounded number of files. Every commit is a version of the table, and
+two writers can't make the same one: the later looks again at what has been
+committed since. A reset (overwrite mode) notes the version up to which its
+pipeline is forgotten; order never rests on clocks.
 """
 
 from __future__ import annotations
@@ -12,43 +14,90 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.utils import AnalysisException
 
-LEDGER_SCHEMA = "pipeline string, key string, committed_at timestamp, kind string"
+from ..sources.snapshots import VersionConflict, Versions, data_folder
+
+LEDGER_SCHEMA = "pipeline string, key string, committed_at timestamp, version bigint"
+MERGE_AFTER = 32  # files of keys beside the base
+ATTEMPTS = 50
+
+
+class KeyConflict(RuntimeError):
+    """A key that was to be committed once has been committed by another writer."""
+
+
+def _rows(versions: Versions, state: dict) -> DataFrame:
+    """All rows that a ledger version names, but those that a reset hides.
+
+    A commit's file holds no version, as it is written before its number is known; the state names it.
+    """
+    spark, folders = versions.spark, state.get("folders", [])
+    if not folders:
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    rows = spark.read.schema(LEDGER_SCHEMA).parquet(*[f"{versions.root}/{f}" for f in folders])
+    numbers = F.create_map(*[F.lit(x) for pair in state["versions"].items() for x in pair]) if state["versions"] else None
+    if numbers is not None:
+        folder = F.regexp_extract(F.col("_metadata.file_path"), r"(data-[0-9a-f]+)/[^/]*$", 1)
+        rows = rows.withColumn("version", F.coalesce("version", F.try_element_at(numbers, folder)))
+    for pipeline, upto in state.get("resets", {}).items():  # a few pipelines
+        rows = rows.filter((F.col("pipeline") != pipeline) | (F.col("version") > upto))
+    return rows
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    return (rows.groupBy("pipeline", "key").agg(F.max("committed_at").alias("committed_at"), F.max("version").alias("version"))
+            .select("pipeline", "key", "committed_at", "version"))
 
 
 def read_ledger(spark: SparkSession, path: str, pipeline: str) -> DataFrame:
     """Committed keys of one pipeline since its last reset; none when absent."""
-    try:
-        raw = spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "key string, committed_at timestamp")
-    mine = raw.filter(F.col("pipeline") == pipeline)
-    # newest commit of each key, and the newest reset under the null key, in one aggregation
-    last = mine.groupBy("key").agg(F.max(F.when(F.col("kind") == "commit", F.col("committed_at"))).alias("committed_at"),
-                                   F.max(F.when(F.col("kind") == "reset", F.col("committed_at"))).alias("reset_at"))
-    reset_at = last.agg(F.max("reset_at").alias("at")).first()["at"]  # one value
-    since = last.filter(F.col("committed_at").isNotNull())
-    if reset_at is not None:
-        since = since.filter(F.col("committed_at") > F.lit(reset_at))
-    return since.select("key", "committed_at")
-
-
-def commit_keys(keys: DataFrame, path: str, pipeline: str, key_col: str = "key") -> None:
-    """Append keys whose data is already written (call only after the write)."""
-    (keys.select(F.lit(pipeline).alias("pipeline"), F.col(key_col).cast("string").alias("key"),
-                 F.current_timestamp().alias("committed_at"), F.lit("commit").alias("kind"))
-         .write.mode("append").parquet(path))
+    versions = Versions(spark, path)
+    rows = _rows(versions, versions.current()[1]).filter(F.col("pipeline") == pipeline)
+    return rows.groupBy("key").agg(F.max("committed_at").alias("committed_at"))
 
 
-def reset_ledger(spark: SparkSession, path: str, pipeline: str) -> None:
+def commit_keys(keys: DataFrame, path: str, pipeline: str, key_col: str = "key", once: bool = False) -> int:
+    """Adds keys whose data is already written (call only after the write); returns the ledger's version.
+
+    ``once``: KeyConflict, and nothing added, if another writer has any of them in the ledger.
+    """
+    spark = keys.sparkSession
+    versions, own = Versions(spark, path), data_folder()
+    (keys.select(F.lit(pipeline).alias("pipeline"), F.col(key_col).cast("string").alias("key"),
+                 F.current_timestamp().alias("committed_at"), F.lit(None).cast("bigint").alias("version"))
+     .write.parquet(f"{versions.root}/{own}"))
+    new = spark.read.schema(LEDGER_SCHEMA).parquet(f"{versions.root}/{own}")
+    for _ in range(ATTEMPTS):
+        base, state = versions.current()
+        if once:
+            held = _rows(versions, state).select("pipeline", "key")
+            taken = new.join(held, ["pipeline", "key"], "left_semi").select("key").limit(5).collect()
+            if taken:
+                raise KeyConflict(f"{pipeline}: {[r['key'] for r in taken]} committed before")
+        folders, numbers = [*state.get("folders", []), own], {**state.get("versions", {}), own: base + 1}
+        if len(folders) > MERGE_AFTER:
+            merged = data_folder()
+            _merged(_rows(versions, {**state, "folders": folders, "versions": numbers})).sortWithinPartitions(
+                "pipeline", "key").write.parquet(f"{versions.root}/{merged}")
+            folders, numbers = [merged], {}
+        try:
+            return versions.commit(base, {"folders": folders, "versions": numbers, "resets": state.get("resets", {})})
+        except VersionConflict:
+            continue
+    raise VersionConflict(f"{path}: others committed {ATTEMPTS} times meanwhile")
+
+
+def reset_ledger(spark: SparkSession, path: str, pipeline: str) -> int:
     """Overwrite mode: forget every key committed so far for this pipeline."""
-    (spark.range(1)
-          .select(F.lit(pipeline).alias("pipeline"), F.lit(None).cast("string").alias("key"),
-                  F.current_timestamp().alias("committed_at"), F.lit("reset").alias("kind"))
-          .write.mode("append").parquet(path))
+    versions = Versions(spark, path)
+    for _ in range(ATTEMPTS):
+        base, state = versions.current()
+        resets = {**state.get("resets", {}), pipeline: base + 1}
+        try:
+            return versions.commit(base, {"folders": state.get("folders", []), "versions": state.get("versions", {}), "resets": resets})
+        except VersionConflict:
+            continue
+    raise VersionConflict(f"{path}: others committed {ATTEMPTS} times meanwhile")
 
 
 def pending(planned: DataFrame, committed: DataFrame, key: str = "key") -> DataFrame:

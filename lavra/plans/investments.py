@@ -14,7 +14,7 @@ from .. import config
 from ..functions import rename_all, snake_ascii
 from ..operators import select_sources, with_lineage
 from ..sources import read_inferred, read_inferred_zip
-from ..sources.sinks import write_parquet
+from ..sources.snapshots import publish
 
 
 def catalog(spark: SparkSession) -> DataFrame:
@@ -44,12 +44,12 @@ def load_all(spark: SparkSession, paths: dict[str, str], ingest_date: str, lake:
     """Rebuild every readable source's silver table under ``lake``; (path per source, error per failed one).
 
     A source counts as read when its whole table was written; one that fails on
-    any row is reported and doesn't stop the others. All failed → error.
+    any row is reported, keeps the silver it had (``read_snapshot``) and doesn't stop the others. All failed → error.
     """
     ok, failed = {}, {}
     for name, path in paths.items():  # a handful of registered sources
         try:
-            write_parquet(silver_for(spark, name, path, ingest_date), f"{lake}/silver/{name}")
+            publish(silver_for(spark, name, path, ingest_date), f"{lake}/silver/{name}")
             ok[name] = f"{lake}/silver/{name}"
         except Exception as exc:  # isolate one bad source
             failed[name] = f"{type(exc).__name__}: {exc}"

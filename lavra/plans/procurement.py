@@ -18,7 +18,7 @@ from ..functions import first_match_regex, lower_contains_any, parse_iso
 from ..operators import (commit_keys, flatten_json, grouped_report, keep_first, pending,
                          read_ledger, reset_ledger, window_diagnostics, window_plan)
 from ..sources.jsonl import missing_path
-from ..sources.sinks import write_parquet
+from ..sources.snapshots import publish, read_snapshot
 
 PAYLOAD_SCHEMA = """
 numeroControlePNCP string, numeroCompra string, processo string, anoCompra bigint,
@@ -229,7 +229,7 @@ def read_bronze(spark: SparkSession, lake: str) -> DataFrame:
 
 
 def write_silver(spark: SparkSession, lake: str) -> DataFrame:
-    """Rebuild silver from all of bronze and overwrite the table; returns it."""
+    """Rebuild silver from all of bronze as the table's next version; returns it. Readers keep the last one till then."""
     path = f"{lake}/silver"
-    write_parquet(silver_from_bronze(read_bronze(spark, lake)), path)
-    return spark.read.parquet(path)
+    publish(silver_from_bronze(read_bronze(spark, lake)), path)
+    return read_snapshot(spark, path)

@@ -16,6 +16,7 @@ from pyspark.sql.utils import AnalysisException
 from ..operators import batch_ids, commit_keys, monthly_periods, outcome_status, pending, read_ledger, reset_ledger
 from ..sources.jsonl import missing_path
 from ..sources.sinks import write_parquet
+from ..sources.snapshots import publish, read_snapshot
 from .tenders import bronze_from_lines, landed_lines, silver
 
 PIPELINE = "tenders"
@@ -80,6 +81,6 @@ def ingest(spark: SparkSession, landing: str, lake: str, years: list[int], inges
 
 
 def write_silver(spark: SparkSession, lake: str) -> DataFrame:
-    """Rebuild silver from all of bronze and overwrite the table; returns it."""
-    write_parquet(silver(spark.read.parquet(f"{lake}/bronze").drop("period")), f"{lake}/silver")
-    return spark.read.parquet(f"{lake}/silver")
+    """Rebuild silver from all of bronze as the table's next version; returns it."""
+    publish(silver(spark.read.parquet(f"{lake}/bronze").drop("period")), f"{lake}/silver")
+    return read_snapshot(spark, f"{lake}/silver")

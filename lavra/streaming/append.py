@@ -15,12 +15,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.ledger import commit_keys
+from ..sources.jsonl import missing_path
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as exc:
+        if not missing_path(exc):
+            raise
         return spark.createDataFrame([], schema)
 
 

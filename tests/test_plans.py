@@ -6,6 +6,7 @@ import zipfile
 from pyspark.sql import functions as F
 
 from lavra.plans import mining, permits, procurement, tenders
+from lavra.sources.snapshots import read_snapshot
 from lavra.streaming import stream_append_jsonl
 
 
@@ -208,7 +209,7 @@ def test_investment_sources_are_isolated(spark, tmp):
     ok, failed = investments.load_all(spark, {names[0]: f"{tmp}/ok.csv", names[1]: f"{tmp}/missing.csv"},
                                       "2024-01-01", f"{tmp}/lake")
     assert set(ok) == {names[0]} and set(failed) == {names[1]}
-    rows = sorted((r.valor_s, r.nome) for r in spark.read.parquet(ok[names[0]]).collect())
+    rows = sorted((r.valor_s, r.nome) for r in read_snapshot(spark, ok[names[0]]).collect())
     assert rows == [(1.5, None), (2.0, None)]
 
 
