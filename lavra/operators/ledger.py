@@ -13,8 +13,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..session import scratch_path
 from ..sources.snapshots import VersionConflict, Versions, data_folder
 
 LEDGER_SCHEMA = "pipeline string, key string, committed_at timestamp, version bigint"
@@ -121,17 +122,36 @@ def stale_commits(committed: DataFrame, present: DataFrame, key: str = "key") ->
     return committed.select(key).join(present.select(key), key, "left_anti")
 
 
-def batch_ids(periods: DataFrame, order: Sequence[str], size: int,
-              non_empty: Column | None = None) -> DataFrame:
-    """Number non-empty periods in order and close a write batch every ``size``.
+def number_rows(df: DataFrame, order: Sequence[str], name: str = "seq") -> DataFrame:
+    """The rows with their number, from 1, in an order that should be total; no task sees them all.
 
-    Input is one row per period (already aggregated), so the global ordering
-    window sees a handful of rows, never the data itself.
+    Rows are dealt into ranges of the order and numbered inside each; a range's
+    first number follows from the sizes of those before it, one number per
+    range. The ranges are stored, as another evaluation could cut them elsewhere.
     """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "numbered")
+    keys = [F.col(f"`{o}`") for o in order]
+    (df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__at", F.monotonically_increasing_id())
+     .write.parquet(path))
+    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__at", T.LongType())])).parquet(path)
+    part = F.shiftright("__at", 33)
+    sizes = {r["part"]: r["n"] for r in rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per range
+    before, upto = {}, 0
+    for p in sorted(sizes):
+        before[p], upto = upto, upto + sizes[p]
+    if not before:
+        return rows.drop("__at").withColumn(name, F.lit(None).cast("bigint"))
+    offset = F.element_at(F.create_map(*[F.lit(x) for pair in before.items() for x in pair]), part)
+    here = F.col("__at").bitwiseAND((1 << 33) - 1)
+    return rows.withColumn(name, (offset + here + 1).cast("bigint")).drop("__at")
+
+
+def batch_ids(periods: DataFrame, order: Sequence[str], size: int,
+              non_empty: Column | None = None) -> DataFrame:
+    """Number non-empty periods in order and close a write batch every ``size``."""
     kept = periods.filter(non_empty) if non_empty is not None else periods
-    w = Window.orderBy(*[F.col(o) for o in order])
-    return (kept.withColumn("seq", F.row_number().over(w))
-                .withColumn("batch_id", F.floor((F.col("seq") - 1) / F.lit(size)).cast("int")))
+    numbered = number_rows(kept, order).withColumn("seq", F.col("seq").cast("int"))
+    return numbered.withColumn("batch_id", F.floor((F.col("seq") - 1) / F.lit(size)).cast("int"))
 
 
 def contiguous_watermark(pages: DataFrame, section: str = "section",

@@ -20,7 +20,7 @@ from ..operators import (batch_ids, coalesce_variants, contiguous_watermark, cov
                          diagnosis, distinct_rows, eq_in_filter, flatten_json, grouped_report,
                          header_rows, keep_first, keyword_filter, latest_variant, monthly_windows,
                          null_safe_join, override_merge, pending, pending_with_refresh,
-                         pick_sheet, positional_rename, preview, project_or_null, select_sources,
+                         pick_sheet, positional_rename, preview, project_or_null, read_drifting, select_sources,
                          stale_commits, union_by_name, weekly_windows, window_diagnostics,
                          window_plan, with_lineage)
 from ..session import scratch_path, use_utc
@@ -142,6 +142,20 @@ def q_coalesce_variants(spark: SparkSession, d: str) -> DataFrame:
                        "data_pedido", "situacao")
 
 
+def q_widened_union(spark: SparkSession, d: str) -> DataFrame:
+    """Files of orders whose columns drift: a whole, a fractional and a text code, dates and timestamps, a column that comes later."""
+    path, o, k = scratch_path(spark, "drifting"), table(spark, d, "orders"), F.col("o_orderkey")
+    parts = [
+        o.select(k.alias("pedido"), (k % 1000).cast("int").alias("codigo"), (k % 7).cast("int").alias("n"),
+                 F.to_date("o_orderdate").alias("data")),
+        o.select(k.alias("pedido"), ((k % 1000) / 2).alias("codigo"), (k * 3).alias("n"), F.col("o_orderdate").alias("data")),
+        o.select(k.alias("pedido"), F.concat(F.lit("c"), k.cast("string")).alias("codigo"), F.col("o_totalprice").alias("n"),
+                 F.col("o_orderdate").alias("data"), F.col("o_orderstatus").alias("novo"))]
+    for i, part in enumerate(parts):
+        part.filter(k % 3 == i).write.parquet(f"{path}/{i}")
+    return read_drifting(spark, path)[0]
+
+
 # ---------------------------------------------------------------- classify
 def q_classify_regex(spark: SparkSession, d: str) -> DataFrame:
     part = table(spark, d, "part")
@@ -741,6 +755,7 @@ QUERIES: dict[str, Query] = {
     "rename_or_null": q_rename_or_null,
     "normalize_names": q_normalize_names,
     "coalesce_variants": q_coalesce_variants,
+    "widened_union": q_widened_union,
     "classify_regex": q_classify_regex,
     "classify_works": q_classify_works,
     "classify_set": q_classify_set,

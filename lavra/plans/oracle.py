@@ -596,4 +596,13 @@ w AS (SELECT section, count(*) AS total, coalesce(min(page) FILTER (page % 11 =
 r AS (SELECT section, 1 AS run, first_bad AS watermark FROM w UNION ALL SELECT section, 2, total FROM w)
 SELECT r.section, r.run, CAST(r.watermark AS BIGINT) AS watermark, count(p.pos) AS n_rows, count(DISTINCT p.user_id) AS n_claims
 FROM r LEFT JOIN p ON p.section = r.section AND p.pos < r.watermark GROUP BY ALL""",
+    "widened_union": """
+SELECT o_orderkey AS pedido,
+       CASE o_orderkey % 3 WHEN 0 THEN CAST(o_orderkey % 1000 AS VARCHAR) WHEN 1 THEN CAST((o_orderkey % 1000) / 2 AS VARCHAR)
+            ELSE 'c' || CAST(o_orderkey AS VARCHAR) END AS codigo,
+       CASE o_orderkey % 3 WHEN 0 THEN CAST(o_orderkey % 7 AS DOUBLE) WHEN 1 THEN CAST(o_orderkey * 3 AS DOUBLE)
+            ELSE o_totalprice END AS n,
+       CASE WHEN o_orderkey % 3 = 0 THEN CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) ELSE o_orderdate END AS data,
+       CASE WHEN o_orderkey % 3 = 2 THEN o_orderstatus END AS novo
+FROM orders""",
 }

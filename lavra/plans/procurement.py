@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from .. import config
@@ -152,24 +152,47 @@ def landed_pages(spark: SparkSession, folders: list[str]) -> DataFrame:
                         "source_file", "data", "totalPaginas", "error")
 
 
-def landed_counts(pages: DataFrame) -> DataFrame:
-    """Per window: pages landed of how many, failed pages not landed since, records seen and kept; one pass."""
-    kept = F.filter("data", lambda x: lower_contains_any(F.get_json_object(x, "$.objetoCompra"), config.WORKS_KEYWORDS))
+STAGE = ("key string, page int, source_file string, totalPaginas bigint, error string, good boolean, rows_seen int, "
+         "kept array<struct<position: int, payload: string>>")
+
+
+def stage_pages(pages: DataFrame, path: str, seen: Observation | None = None) -> DataFrame:
+    """Landed pages → their works records and counts, parsed once and stored; read back.
+
+    ``seen`` counts pages, failed pages, records and works records while they are written.
+    """
+    records = F.transform("data", lambda x, i: F.struct(i.alias("position"), x.alias("payload")))
+    kept = F.filter(records, lambda r: lower_contains_any(F.get_json_object(r["payload"], "$.objetoCompra"), config.WORKS_KEYWORDS))
     good = F.col("error").isNull() & F.col("data").isNotNull()
-    return pages.groupBy("key").agg(
+    staged = pages.select("key", "page", "source_file", "totalPaginas", "error", good.alias("good"),
+                          F.coalesce(F.size("data"), F.lit(0)).alias("rows_seen"), F.coalesce(kept, F.array()).alias("kept"))
+    if seen is not None:
+        staged = staged.observe(seen, F.count(F.lit(1)).alias("pages"), F.count_if(~F.col("good")).alias("pages_failed"),
+                                F.coalesce(F.sum("rows_seen"), F.lit(0)).alias("rows_seen"),
+                                F.coalesce(F.sum(F.size("kept")), F.lit(0)).alias("rows_kept"))
+    staged.write.mode("overwrite").parquet(path)
+    return pages.sparkSession.read.schema(STAGE).parquet(path)
+
+
+def landed_counts(staged: DataFrame) -> DataFrame:
+    """Per window: pages landed of how many, failed pages not landed since, records seen and kept; no text is read."""
+    good = F.col("good")
+    return staged.groupBy("key").agg(
         F.size(F.collect_set(F.when(good, F.col("page")))).alias("n_pages"),
         F.coalesce(F.max(F.when(good, F.col("totalPaginas"))), F.lit(0)).alias("total"),
         F.size(F.array_except(F.collect_set(F.when(~good, F.coalesce("page", F.lit(-1)))),
                               F.collect_set(F.when(good, F.col("page"))))).alias("n_failed"),
-        F.sum(F.coalesce(F.size("data"), F.lit(0)).cast("bigint")).alias("rows_seen"),
-        F.sum(F.coalesce(F.size(kept), F.lit(0)).cast("bigint")).alias("rows_kept"))
+        F.sum(F.col("rows_seen").cast("bigint")).alias("rows_seen"),
+        F.sum(F.size("kept.position").cast("bigint")).alias("rows_kept"))
 
 
 def ingest(spark: SparkSession, landing: str, lake: str, years: list[int],
-           mode: str = "append", ingest_date: str | None = None) -> DataFrame:
+           mode: str = "append", ingest_date: str | None = None, seen: Observation | None = None) -> DataFrame:
     """Incremental bronze load with commit-after-write; returns per-category diagnostics.
 
-    Windows in the ledger are skipped, and only the folders of pending windows
+    A landed page is parsed once, where its works records are staged; bronze, the
+    outcome of each window and ``seen`` (pages, pages_failed, rows_seen,
+    rows_kept of this run) come from that. Windows in the ledger are skipped, and only the folders of pending windows
     are read. Their rows are appended to bronze (a failed or incomplete window
     keeps its partial rows and is retried; silver keeps the first copy). A
     window is committed, after the bronze write, only if it was answered in
@@ -189,16 +212,19 @@ def ingest(spark: SparkSession, landing: str, lake: str, years: list[int],
     # at most one folder per planned window
     landed = landed_folders(spark, landing).join(todo.select("key"), "key", "left_semi").collect()
     errors = spark.createDataFrame([(r["key"], r["n_errors"]) for r in landed], "key string, n_errors bigint")
+    run = uuid.uuid4().hex
     pages = landed_pages(spark, [r["folder"] for r in landed])
     if landed or mode == "overwrite":
-        rows = (pages.filter("error is null").select("key", "source_file", F.posexplode("data").alias("position", "payload"))
-                .join(todo.select("key", "name", "start"), "key"))
+        pages = stage_pages(pages, f"{lake}/_stage/run={run}", seen)
         day = F.lit(ingest_date) if ingest_date else F.date_format(F.current_date(), "yyyy-MM-dd")
-        new = works_filter(rows).select(
-            "payload", F.lit("pncp").alias("fonte"), F.col("name").alias("modalidade"),
+        new = (pages.filter("error is null").select("key", "source_file", F.explode("kept").alias("r"))
+               .join(todo.select("key", "name", "start"), "key").select(
+            F.col("r.payload").alias("payload"), F.lit("pncp").alias("fonte"), F.col("name").alias("modalidade"),
             F.substring("start", 1, 4).alias("ano_referencia"), day.alias("dt_ingestao"),
-            "source_file", F.col("position").cast("bigint"))
+            "source_file", F.col("r.position").cast("bigint").alias("position")))
         new.write.mode("overwrite" if mode == "overwrite" else "append").parquet(bronze)
+    else:
+        pages = spark.createDataFrame([], STAGE)
     events = F.coalesce("n_errors", F.lit(0)) + F.coalesce("n_failed", F.lit(0))
     outcome = (plan.join(landed_counts(pages), "key", "left").join(errors, "key", "left")
                .join(todo.select("key", F.lit(False).alias("pending_flag")), "key", "left")
@@ -211,7 +237,7 @@ def ingest(spark: SparkSession, landing: str, lake: str, years: list[int],
         return window_diagnostics(outcome)
     # the run's outcome table (one row per window) is written once; the commit
     # and the diagnostics both read that snapshot, taken before the ledger grows
-    run_path = f"{lake}/_outcomes/run={uuid.uuid4().hex}"
+    run_path = f"{lake}/_outcomes/run={run}"
     outcome.write.mode("overwrite").parquet(run_path)
     snapshot = spark.read.schema(outcome.schema).parquet(run_path)
     commit_keys(snapshot.filter(~F.col("skipped") & F.col("complete")).select("key"), ledger, "procurement")

@@ -13,7 +13,9 @@ compose, so
    edge. What crosses an edge of splits leaves as pieces, which are joined by
    file: one record at a time, however many splits it spans.
 
-Lines are scanned twice, and a third time only if some record crosses a split.
+Lines are scanned twice. Files without headers in which no line ends inside
+quotes (most) need no more than Spark's own operators; in others, Python puts the
+records together, and a third scan follows only if some record crosses a split.
 """
 
 from __future__ import annotations
@@ -106,8 +108,8 @@ def _split_functions(lines: DataFrame) -> DataFrame:
         run, "__file string, __block long, from_out long, from_in long")
 
 
-def _begin_inside(lines: DataFrame) -> set[tuple[str, int]]:
-    """The splits that begin inside quotes.
+def _begin_inside(lines: DataFrame) -> tuple[set[tuple[str, int]], bool]:
+    """The splits that begin inside quotes, and whether any ends inside.
 
     A path and an offset for some of the splits that the driver has listed to
     plan the scan anyway, so the set is smaller than what it already holds.
@@ -118,8 +120,9 @@ def _begin_inside(lines: DataFrame) -> set[tuple[str, int]]:
     sets = F.last(F.when(F.expr("from_out = from_in"), (F.col("from_out") + F.col("flips")) % 2), ignorenulls=True).over(upto)
     after = _split_functions(lines).withColumn("flips", flips).withColumn("sets", sets).select(
         "__file", "__block", ((F.coalesce("sets", F.lit(0)) + F.col("flips")) % 2).alias("state"))
-    start = after.withColumn("state", F.lag("state", 1, 0).over(order)).filter("state = 1")
-    return {(r["__file"], r["__block"]) for r in start.select("__file", "__block").collect()}
+    found = after.withColumn("start", F.lag("state", 1, 0).over(order)).filter("state = 1 or start = 1")
+    found = found.select("__file", "__block", "start", "state").collect()
+    return {(r["__file"], r["__block"]) for r in found if r["start"]}, any(r["state"] for r in found)
 
 
 class _Records:
@@ -210,12 +213,18 @@ def quoted_records(spark: SparkSession, path: str | Sequence[str], sep: str = ";
     ends there. ``header`` leaves out each file's first record.
     """
     lines = _quote_lines(spark, path, sep, charset)
-    inside = _begin_inside(lines)
-    rows = _records(lines, inside, pieces=False)
     extra = [F.col(f"`{c}`") for c in lines.columns if c not in _OWN]
+    # a file begins outside of quotes, so where no line ends inside, none does
+    if not header and not lines.agg(F.bool_or("__out").alias("opens")).first()["opens"]:
+        return _texts(lines.select(*extra, "__line"), line_col)
+    inside, open_ends = _begin_inside(lines)
+    rows = _records(lines, inside, pieces=False)
     rows = rows.select(*extra, "__head", "__line")
     # a record that opens in the last split has no split behind it; those before are followed by what they open
     upto = Window.partitionBy("__file").orderBy("__block", "__order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if not open_ends:  # no record crosses a split
+        rows = rows.filter(~F.col("__head")) if header else rows
+        return _texts(rows.drop("__head"), line_col)
     pieces = _records(lines, inside, pieces=True).withColumn("__order", (F.col("__kind") == _OPENS).cast("int"))
     pieces = pieces.withColumn("__owner", F.last(F.when(F.col("__kind") == _OPENS, F.col("__block")), ignorenulls=True).over(upto))
     joined = pieces.groupBy(*extra, "__file", "__owner").agg(
@@ -224,9 +233,14 @@ def quoted_records(spark: SparkSession, path: str | Sequence[str], sep: str = ";
     rows = rows.unionByName(joined.select(*extra, "__head", "__line"))
     if header:
         rows = rows.filter(~F.col("__head"))
+    return _texts(rows.drop("__head"), line_col)
+
+
+def _texts(rows: DataFrame, line_col: str) -> DataFrame:
+    """Records without the carriage return before their end, and without empty ones."""
     line = F.col("__line")
     line = F.when(line.endswith("\r"), F.left(line, F.length(line) - 1)).otherwise(line)
-    return rows.select(*extra, line.alias(line_col)).filter(F.col(line_col) != "")
+    return rows.withColumn("__line", line).filter(F.col("__line") != "").withColumnRenamed("__line", line_col)
 
 
 def read_quoted(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], sep: str = ";",

@@ -2,8 +2,8 @@
 
 ``spark.read.format("zip_members")`` lists the archives of a folder, reads only
 their central directories, and plans one partition per bundle of members: a
-large member is a task of its own, small ones share one, and an archive's
-members are spread over executors. A task seeks to its members and streams them
+large member is a task of its own, small ones and small archives share one, and a
+large archive's members are spread over executors. A task seeks to its members and streams them
 in bounded batches, so nothing holds an archive or a member whole. An archive
 that can't be opened, or has no matching member, and a member that breaks off are
 rows with ``error``; all others load.
@@ -52,12 +52,32 @@ def _error(exc: Exception) -> str:
 
 
 @dataclass
-class Members(InputPartition):
+class Part:
     """Members of one archive by their place in its directory, or the error that it has instead."""
 
     archive: str
     members: tuple[tuple[int, str], ...] = ()
     error: str | None = None
+    size: int = 0
+
+
+@dataclass
+class Members(InputPartition):
+    """What one task reads."""
+
+    parts: tuple[Part, ...] = ()
+
+
+def bundled(parts: list[Part], bundle: int, most: int = 64) -> list[Members]:
+    """Parts of archives in tasks of so many compressed bytes and parts."""
+    out, held, size = [], [], 0
+    for p in parts:
+        if held and (size + p.size > bundle or len(held) == most):
+            out.append(Members(tuple(held)))
+            held, size = [], 0
+        held.append(p)
+        size += p.size
+    return [*out, Members(tuple(held))]
 
 
 def _archives(path: str, names: str | None) -> list[str]:
@@ -69,7 +89,7 @@ def _archives(path: str, names: str | None) -> list[str]:
                   and (names is None or re.search(names, f.base_name)))
 
 
-def plan_archive(archive: str, pattern: re.Pattern | None, bundle: int, first: bool = False) -> list[Members]:
+def plan_archive(archive: str, pattern: re.Pattern | None, bundle: int, first: bool = False) -> list[Part]:
     """An archive's matching members, bundled up to so many compressed bytes."""
     try:
         system, at = open_path(archive)
@@ -78,19 +98,19 @@ def plan_archive(archive: str, pattern: re.Pattern | None, bundle: int, first: b
         with system.open_input_file(at) as f, zipfile.ZipFile(f) as zf:
             infos = [(i, x) for i, x in enumerate(zf.infolist()) if not x.is_dir()]
     except Exception as exc:  # one archive's error, the others are planned
-        return [Members(archive, error=_error(exc))]
+        return [Part(archive, error=_error(exc))]
     named = [(i, x.filename.rsplit("/", 1)[-1], x.compress_size) for i, x in infos]
     named = [x for x in named if pattern is None or pattern.search(x[1])]
     if not named:
-        return [Members(archive, error="ValueError: no matching member")]
+        return [Part(archive, error="ValueError: no matching member")]
     out, held, size = [], [], 0
     for i, name, n in named[:1] if first else named:
         if held and size + n > bundle:
-            out.append(Members(archive, tuple(held)))
+            out.append(Part(archive, tuple(held), size=size))
             held, size = [], 0
         held.append((i, name))
         size += n
-    return [*out, Members(archive, tuple(held))]
+    return [*out, Part(archive, tuple(held), size=size)]
 
 
 def _records(lines: Iterator[str], sep: str | None) -> Iterator[str]:
@@ -127,7 +147,7 @@ class ZipReader(DataSourceReader):
         with ThreadPool(16) as pool:  # directories are small reads at the archives' ends
             planned = pool.map(lambda a: plan_archive(a, self.pattern, self.bundle, self.first),
                                _archives(self.path, self.names))
-        return [p for one in planned for p in one] or [Members("")]
+        return bundled([p for one in planned for p in one], self.bundle)
 
     def _batch(self, rows: list[tuple]) -> pa.RecordBatch:
         kinds = ([("content", pa.binary())] if self.content else [("line_no", pa.int64()), ("line", pa.string())])
@@ -151,15 +171,18 @@ class ZipReader(DataSourceReader):
                 yield self._batch(held)
 
     def read(self, partition: Members) -> Iterator[pa.RecordBatch]:
+        for part in partition.parts:
+            yield from self._part(part)
+
+    def _part(self, part: Part) -> Iterator[pa.RecordBatch]:
         blank = (None,) if self.content else (None, None)
-        name = partition.archive.rsplit("/", 1)[-1]
-        if partition.error:
-            yield self._batch([(name, None, *blank, partition.error)])
-        if not partition.members:
+        name = part.archive.rsplit("/", 1)[-1]
+        if part.error:
+            yield self._batch([(name, None, *blank, part.error)])
             return
-        system, at = open_path(partition.archive)
+        system, at = open_path(part.archive)
         with system.open_input_file(at) as f, zipfile.ZipFile(f) as zf:
-            for place, member in partition.members:
+            for place, member in part.members:
                 try:
                     yield from self._member(zf, name, place, member)
                 except Exception as exc:  # a broken member is a row, the next one is read
@@ -209,19 +232,33 @@ def read_inferred_zip(spark: SparkSession, path: str, sep: str = ";", charset: s
 
 
 def write_zips(members: DataFrame, folder: str) -> DataFrame:
-    """Writes ``(archive, member, content)`` rows as zip files of a shared folder, an archive per task; archive, n_members.
+    """Writes ``(archive, member, content)`` rows as zip files of a shared folder; archive, n_members.
 
-    An archive is one file, so its members meet in one task; a retried task replaces its own file.
+    An archive is one file, so its members come to one task, in order, and are
+    written as they come; a retried task replaces its own files.
     """
-    def pack(table: pa.Table) -> pa.Table:
+    def pack(batches):
         system, at = open_path(folder)
-        rows = sorted(table.to_pylist(), key=lambda r: r["member"])
-        with system.open_output_stream(f"{at}/{rows[0]['archive']}") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
-            for r in rows:
-                zf.writestr(zipfile.ZipInfo(r["member"]), r["content"], zipfile.ZIP_DEFLATED)
-        return pa.table({"archive": [rows[0]["archive"]], "n_members": pa.array([len(rows)], pa.int64())})
+        now, out, zf, n = None, None, None, 0
+
+        def close():
+            zf.close()
+            out.close()
+            return pa.RecordBatch.from_pydict({"archive": [now], "n_members": pa.array([n], pa.int64())})
+
+        for batch in batches:
+            for archive, member, content in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+                if archive != now:
+                    if now is not None:
+                        yield close()
+                    now, n, out = archive, 0, system.open_output_stream(f"{at}/{archive}")
+                    zf = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
+                zf.writestr(zipfile.ZipInfo(member), content, zipfile.ZIP_DEFLATED)
+                n += 1
+        if now is not None:
+            yield close()
 
     system, at = open_path(folder)
     system.create_dir(at, recursive=True)
-    return members.select("archive", "member", "content").groupBy("archive").applyInArrow(
-        pack, "archive string, n_members long")
+    rows = members.select("archive", "member", "content").repartition("archive").sortWithinPartitions("archive", "member")
+    return rows.mapInArrow(pack, "archive string, n_members long")

@@ -1,3 +1,6 @@
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from lavra.operators import (apply_header, commit_keys, contiguous_watermark, coverage,
@@ -101,6 +104,18 @@ def test_batch_ids(spark):
     assert [b for _, b in got] == [0, 0, 1, 1, 2, 2, 3, 3, 4] and got[0][0] == "2024-01"
 
 
+def test_rows_are_numbered_by_ranges(spark):
+    from lavra.operators.ledger import number_rows
+    n = 30_000
+    rows = spark.range(n).select((F.col("id") * 7919 % n).alias("k"), F.lit("x").alias("seq_of"), F.when(F.col("id") % 5 > 0, F.col("id")).alias("v"))
+    got = number_rows(rows.repartition(7), ["k"], "no")
+    assert got.columns == ["k", "seq_of", "v", "no"] and got.filter("no <> k + 1").count() == 0 and got.count() == n
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+    assert number_rows(rows.limit(0), ["k"]).count() == 0
+    back = batch_ids(rows, ["k"], 100, F.col("v").isNotNull())
+    assert back.agg(F.countDistinct("batch_id"), F.max("seq")).first()[:] == (240, 24_000)
+
+
 def test_preview(spark):
     df = spark.range(25).withColumnRenamed("id", "v")
     rows = preview(df, [F.desc("v")], 10).collect()
@@ -203,3 +218,32 @@ def test_apply_header_takes_any_number_of_layouts(spark):
     row = recs.agg(F.count("*").alias("n"), F.count_if(F.col("alvará") == F.concat(F.lit("A-"), "file")).alias("right"),
                    F.count("mês").alias("m"), F.count("none").alias("x")).first()
     assert tuple(row) == (n, n, 0, 0)
+
+
+def test_widening_union(spark, tmp):
+    from itertools import permutations
+
+    from pyspark.sql import types as T
+
+    from lavra.operators import read_drifting, union_widened
+    from lavra.operators.widen import widened, wider
+    a = spark.createDataFrame([(1, 1, "2024-01-01", True, [1])], "a int, b long, d string, f boolean, g array<int>").withColumn("d", F.to_date("d"))
+    b = spark.createDataFrame([(2.5, 2, "x", 3)], "a double, b short, f string, h int")
+    c = spark.createDataFrame([(None, "2024-02-02 03:04:05", {"k": 1})], "a byte, d string, g map<string,int>").withColumn("d", F.to_timestamp_ntz("d"))
+    for frames in permutations([a, b, c]):
+        out = union_widened(frames)
+        assert dict(out.dtypes) == {"a": "double", "b": "bigint", "d": "timestamp_ntz", "f": "string", "g": "string", "h": "int"}
+        assert sorted(str((r.a, r.b, r.f, r.g, r.h)) for r in out.collect()) == sorted(
+            str(x) for x in [(1.0, 1, "true", "[1]", None), (2.5, 2, "x", None, 3), (None, None, None, '{"k":1}', None)])
+    report = {r[0]: r[1:] for r in widened([a.schema, b.schema, c.schema])[1]}
+    assert report["a"] == (["double", "int", "tinyint"], "double", False) and report["f"] == (["boolean", "string"], "string", True)
+    assert wider(T.DecimalType(10, 2), T.LongType()) == T.DecimalType(21, 2) and wider(T.DecimalType(38, 0), T.DecimalType(10, 5)) == T.StringType()
+    assert wider(T.DateType(), T.TimestampType()) == T.TimestampType() and wider(T.LongType(), T.FloatType()) == T.DoubleType()
+    for i, df in enumerate((a, b, b, c)):
+        df.write.parquet(f"{tmp}/{i}")
+    rows, seen = read_drifting(spark, tmp)
+    assert rows.count() == 4 and {r["column"] for r in seen.filter("conflict").collect()} == {"f", "g"}
+    assert {r["column"]: r.result for r in seen.collect()}["a"] == "double"
+    with pytest.raises(FileNotFoundError):
+        os.makedirs(f"{tmp}/none")
+        read_drifting(spark, f"{tmp}/none")

@@ -3,6 +3,7 @@ import json
 import os
 import zipfile
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from lavra.plans import mining, permits, procurement, tenders
@@ -60,7 +61,9 @@ def test_procurement_ingest_commit_after_write(spark, tmp):
     os.makedirs(f"{landing}/8/20240101_20240131", exist_ok=True)
     with open(f"{landing}/8/20240101_20240131/page_1.error", "w") as fh:
         fh.write("HTTP 500")
-    diag = {r.category: r for r in procurement.ingest(spark, landing, lake, [2024], ingest_date="2024-02-01").collect()}
+    seen = Observation("seen")
+    diag = {r.category: r for r in procurement.ingest(spark, landing, lake, [2024], ingest_date="2024-02-01", seen=seen).collect()}
+    assert seen.get == {"pages": 2, "pages_failed": 0, "rows_seen": 3, "rows_kept": 2}
     assert diag["Concorrência Eletrônica"].evaluated == 2 and diag["Concorrência Eletrônica"].found == 1
     assert diag["Dispensa de Licitação"].with_event == 1
     assert procurement.read_bronze(spark, lake).count() == 2
