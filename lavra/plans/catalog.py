@@ -12,19 +12,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import config
-from ..functions import (br_money, br_quantity, concat_skip_blank, extract_optional_int,
+from ..functions import (br_money, br_quantity, concat_skip_blank, extension, extract_optional_int,
                          first_match_regex, first_match_set, first_ring_centroid, nullable_int,
                          parse_dayfirst, parse_iso, parse_two_formats, snake_ascii,
-                         snake_keep_accents, strip_unicode, url_host)
-from ..operators import (batch_ids, coalesce_variants, contiguous_watermark, coverage,
+                         snake_keep_accents, strip_unicode, url_basename, url_host)
+from ..operators import (batch_ids, coalesce_variants, commit_keys, contiguous_watermark, coverage,
                          diagnosis, distinct_rows, eq_in_filter, flatten_json, grouped_report,
-                         header_rows, keep_first, keyword_filter, latest_variant, monthly_windows,
+                         header_rows, keep_first, keyword_filter, latest_variant, monthly_periods, monthly_windows,
                          null_safe_join, override_merge, pending, pending_with_refresh,
-                         pick_sheet, positional_rename, preview, project_or_null, read_drifting, select_sources,
+                         pick_sheet, positional_rename, preview, project_or_null, read_drifting, read_ledger, reset_ledger, select_sources,
                          stale_commits, union_by_name, weekly_windows, window_diagnostics,
                          window_plan, with_lineage)
 from ..session import scratch_path, use_utc
-from ..sources import extract_links, land_texts, read_delimited, read_quoted, read_zip, write_zips
+from ..sources import (extract_links, land_bytes, land_texts, list_layer, read_bytes, read_delimited, read_jsonl, read_quoted,
+                       read_zip, route_by_extension, write_jsonl, write_zips)
 from ..sources.zip_source import open_path
 from .driver_bronze import OBJECT_WORDS
 from .tables import table
@@ -300,6 +301,70 @@ def q_weekly_windows(spark: SparkSession, d: str) -> DataFrame:
     return weekly_windows(_order_years(spark, d))
 
 
+PERIOD_URL = "https://landing.invalid/licitacoes_%s.zip"
+
+
+def q_period_urls(spark: SparkSession, d: str) -> DataFrame:
+    return monthly_periods(_order_years(spark, d), url_template=PERIOD_URL)
+
+
+def q_url_parts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", url_basename("url").alias("base"), extension("url").alias("ext"),
+                                           url_host("url").alias("host"))
+
+
+def q_jsonl_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Customers with nulls through JSON lines: the rows read back, and how many fields each line holds."""
+    path, k = scratch_path(spark, "jsonl"), F.col("c_custkey")
+    write_jsonl(table(spark, d, "customer").select("c_custkey", F.when(k % 7 != 0, F.col("c_name")).alias("nome"),
+                                                   F.when(k % 5 != 0, F.col("c_acctbal")).alias("saldo")), path)
+    rows = read_jsonl(spark, path, "c_custkey bigint, nome string, saldo double")
+    lines = spark.read.text(path).select(F.get_json_object("value", "$.c_custkey").cast("bigint").alias("c_custkey"),
+                                         F.size(F.json_object_keys("value")).alias("n_fields"))
+    return rows.join(lines, "c_custkey")
+
+
+def q_landed_layer(spark: SparkSession, d: str) -> DataFrame:
+    """Files of three types landed under one layer (and a decoy beside it), listed, routed, read and kept as bytes."""
+    root, k = scratch_path(spark, "layers"), F.col("s_suppkey")
+    ext = F.element_at(F.array(F.lit(".csv"), F.lit(".ZIP"), F.lit(".xlsx")), (k % 3 + 1).cast("int"))
+    layer = F.when(k % 10 == 7, "bronze/raw_old/").otherwise("bronze/raw/")
+    files = table(spark, d, "supplier").select(F.concat(layer, k.cast("string"), ext).alias("name"),
+                                               F.concat_ws(";", k.cast("string"), "s_name").alias("text"))
+    land_texts(files, root)
+    routes = route_by_extension(list_layer(spark, root, "bronze/raw"), ["csv", "zip", "xlsx"])
+    typed = union_by_name([f.select("path", F.lit(kind).alias("kind")) for kind, f in routes.items()])
+    land_bytes(read_bytes(spark, f"{root}/bronze/raw"), f"{root}/kept")
+    kept = spark.read.parquet(f"{root}/kept").join(typed, "path")
+    return kept.select(url_basename("path").alias("name"), "kind", F.col("length").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def q_ledger_replay(spark: SparkSession, d: str) -> DataFrame:
+    """Commits of order months by two pipelines, a reset of one, and its commits after that."""
+    path, o = scratch_path(spark, "ledger"), table(spark, d, "orders")
+    months = o.select(_months(o, "o_orderdate").alias("key")).distinct()
+    third = months.filter(F.substring("key", 6, 2).cast("int") % 3 == 0)
+    for keys, pipeline in ((months, "a"), (third, "b")):
+        commit_keys(keys, path, pipeline)
+    reset_ledger(spark, path, "a")
+    commit_keys(third.filter("key < '1997'"), path, "a")
+    return union_by_name([read_ledger(spark, path, p).select(F.lit(p).alias("pipeline"), "key") for p in ("a", "b")])
+
+
+def q_sources_load(spark: SparkSession, d: str) -> DataFrame:
+    """Two registered sources, one of them missing: what is loaded and what is reported."""
+    from . import investments
+    from ..sources.snapshots import read_snapshot
+    path, lake = scratch_path(spark, "sources_csv"), scratch_path(spark, "sources_lake")
+    table(spark, d, "customer").select("c_custkey", "c_name").write.option("header", "true").option("sep", ";").csv(path)
+    names = [n for n, *_ in config.INVESTMENT_SOURCES[:2]]
+    ok, failed = investments.load_all(spark, {names[0]: path, names[1]: f"{path}/none"}, "2024-01-01", lake)
+    found = [read_snapshot(spark, p).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("fonte"), F.lit("ok").alias("status"), "n")
+             for n, p in ok.items()]
+    lost = [spark.range(1).select(F.lit(n).alias("fonte"), F.lit("failed").alias("status"), F.lit(0).cast("bigint").alias("n")) for n in failed]
+    return union_by_name(found + lost)
+
+
 def modality_catalog(spark: SparkSession) -> DataFrame:
     rows = [(c, g, n) for c, g, n in config.PROCUREMENT_MODALITIES]
     cat = spark.createDataFrame(rows, "category int, granularity string, name string")
@@ -773,6 +838,12 @@ QUERIES: dict[str, Query] = {
     "monthly_windows": q_monthly_windows,
     "weekly_windows": q_weekly_windows,
     "window_plan": q_window_plan,
+    "period_urls": q_period_urls,
+    "url_parts": q_url_parts,
+    "jsonl_roundtrip": q_jsonl_roundtrip,
+    "landed_layer": q_landed_layer,
+    "ledger_replay": q_ledger_replay,
+    "sources_load": q_sources_load,
     "ledger_pending": q_ledger_pending,
     "refresh_current": q_refresh_current,
     "source_selection": q_source_selection,

@@ -605,4 +605,27 @@ SELECT o_orderkey AS pedido,
        CASE WHEN o_orderkey % 3 = 0 THEN CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) ELSE o_orderdate END AS data,
        CASE WHEN o_orderkey % 3 = 2 THEN o_orderstatus END AS novo
 FROM orders""",
+    "period_urls": """
+WITH y AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders),
+m AS (SELECT year, printf('%04d-%02d', year, m) AS period FROM y, range(1, 13) AS r(m))
+SELECT year, period, 'https://landing.invalid/licitacoes_' || period || '.zip' AS url FROM m""",
+    "url_parts": r"""
+SELECT page_id, url_decode(regexp_extract(url, '([^/?#]+)(?:[?#].*)?$', 1)) AS base,
+       lower(regexp_extract(url, '\.([^./]+)$', 1)) AS ext,
+       regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)', 1) AS host FROM pages""",
+    "jsonl_roundtrip": """
+SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS nome, CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal END AS saldo,
+       CAST(3 AS INTEGER) AS n_fields FROM customer""",
+    "landed_layer": """
+WITH s AS (SELECT CAST(s_suppkey AS VARCHAR) AS k, s_suppkey % 3 AS e, CAST(s_suppkey AS VARCHAR) || ';' || s_name AS body
+           FROM supplier WHERE s_suppkey % 10 <> 7)
+SELECT k || ['.csv', '.ZIP', '.xlsx'][e + 1] AS name, ['csv', 'zip', 'xlsx'][e + 1] AS kind,
+       CAST(strlen(body) AS BIGINT) AS n_bytes, sha256(body) AS sha256 FROM s""",
+    "ledger_replay": """
+WITH m AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS key FROM orders),
+t AS (SELECT key FROM m WHERE CAST(substr(key, 6, 2) AS INTEGER) % 3 = 0)
+SELECT 'a' AS pipeline, key FROM t WHERE key < '1997' UNION ALL SELECT 'b', key FROM t""",
+    "sources_load": f"""
+SELECT {_q(config.INVESTMENT_SOURCES[0][0])} AS fonte, 'ok' AS status, count(*) AS n FROM customer
+UNION ALL SELECT {_q(config.INVESTMENT_SOURCES[1][0])}, 'failed', 0""",
 }
