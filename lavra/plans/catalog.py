@@ -775,6 +775,38 @@ def q_permits_report(spark: SparkSession, d: str) -> DataFrame:
     return permits.report(_permits_silver(spark, d))
 
 
+def q_permits_refresh_replay(spark: SparkSession, d: str) -> DataFrame:
+    """Three runs over yearly grids: a first load, a refresh that meets a new, a changed and a lost year, and a quiet one."""
+    from . import permits_ingest as job
+    from .driver_bronze import permit_grid
+    from ..sources.files import delete_path
+    landing, lake, staged = (scratch_path(spark, f"permits_{x}") for x in ("landing", "lake", "grid"))
+    permit_grid(spark, d)[0].select("file", "sheet", "sheet_idx", F.col("row_idx").cast("bigint").alias("row_idx"), "cells").write.parquet(staged)
+    grid = spark.read.parquet(staged)
+    years = sorted(int(r["file"]) for r in grid.select("file").distinct().collect())  # one row per year
+    first, second, last = years[0], years[1], years[-1]
+
+    def land(year: int, rows: DataFrame) -> None:
+        rows.filter(F.col("file") == str(year)).write.mode("overwrite").parquet(f"{landing}/ano={year}")
+
+    runs = []
+    for run in (1, 2, 3):
+        if run == 1:
+            for y in years[:-1]:
+                land(y, grid)
+        elif run == 2:
+            land(last, grid)
+            land(first, grid.filter("row_idx % 2 = 0 or row_idx < 3"))
+            delete_path(spark, f"{lake}/bronze/ano={second}")
+        report = job.ingest(spark, landing, lake, years, as_of=last if run > 1 else years[-2])
+        n = spark.read.schema(f"{job.GRID_SCHEMA}, ano string").parquet(f"{lake}/bronze").groupBy(F.col("ano").alias("key")).agg(
+            F.count(F.lit(1)).alias("n_rows"))
+        out = scratch_path(spark, "permits_run")
+        report.join(n, "key", "left").select(F.lit(run).alias("run"), "key", "status", "reason", "n_rows").write.parquet(out)
+        runs.append(spark.read.parquet(out))
+    return union_by_name(runs)
+
+
 INVESTMENT_HEADERS = ["Município", "Valor Investido ($)", "R$ Milhões", "Setor  Econômico", "Código"]
 
 
@@ -873,6 +905,7 @@ QUERIES: dict[str, Query] = {
     "tenders_silver": q_tenders_silver,
     "permits_silver": q_permits_silver,
     "permits_report": q_permits_report,
+    "permits_refresh_replay": q_permits_refresh_replay,
     "investments_silver": q_investments_silver,
     "investments_zip_silver": q_investments_zip_silver,
 }

@@ -628,4 +628,18 @@ SELECT 'a' AS pipeline, key FROM t WHERE key < '1997' UNION ALL SELECT 'b', key
     "sources_load": f"""
 SELECT {_q(config.INVESTMENT_SOURCES[0][0])} AS fonte, 'ok' AS status, count(*) AS n FROM customer
 UNION ALL SELECT {_q(config.INVESTMENT_SOURCES[1][0])}, 'failed', 0""",
+    "permits_refresh_replay": """
+WITH o AS (SELECT year(o_orderdate) AS y, o_orderkey + 2 AS row_idx FROM orders),
+ys AS (SELECT y, min(y) OVER () AS first, max(y) OVER () AS last FROM (SELECT DISTINCT y FROM o)),
+n AS (SELECT y, count(*) + 5 AS whole, count(*) FILTER (row_idx % 2 = 0 OR row_idx < 3) + 5 AS half FROM o GROUP BY y),
+r AS (
+  SELECT 1 AS run, y, CASE WHEN y = last THEN 'not landed' ELSE 'new' END AS status,
+         CASE WHEN y < last THEN 'not committed' END AS reason, CASE WHEN y < last THEN whole END AS n_rows FROM ys JOIN n USING (y)
+  UNION ALL
+  SELECT 2, y, CASE WHEN y = last THEN 'new' WHEN y = first THEN 'changed' ELSE 'same' END,
+         CASE WHEN y = last THEN 'not committed' WHEN y = first THEN 'changed' WHEN y = first + 1 THEN 'bronze gone' END,
+         CASE WHEN y = first THEN half ELSE whole END FROM ys JOIN n USING (y)
+  UNION ALL
+  SELECT 3, y, 'same', CASE WHEN y = last THEN 'current year' END, CASE WHEN y = first THEN half ELSE whole END FROM ys JOIN n USING (y))
+SELECT CAST(run AS INTEGER) AS run, CAST(y AS VARCHAR) AS key, status, reason, n_rows FROM r""",
 }

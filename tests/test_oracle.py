@@ -18,7 +18,8 @@ FAST = ["keyword_filter", "json_flatten", "br_decimal_parse", "multi_date_parse"
         "mining_report", "mining_coverage", "tenders_silver", "permits_silver", "permits_report",
         "investments_silver", "investments_zip_silver", "quoted_breaks", "batch_ids",
         "stream_keep_first", "paged_load_replay", "widened_union", "period_urls",
-        "url_parts", "jsonl_roundtrip", "landed_layer", "ledger_replay", "sources_load"]
+        "url_parts", "jsonl_roundtrip", "landed_layer", "ledger_replay", "sources_load",
+        "permits_refresh_replay"]
 
 SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
                  "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
