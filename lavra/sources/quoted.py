@@ -13,9 +13,10 @@ compose, so
    edge. What crosses an edge of splits leaves as pieces, which are joined by
    file: one record at a time, however many splits it spans.
 
-Lines are scanned twice. Files without headers in which no line ends inside
-quotes (most) need no more than Spark's own operators; in others, Python puts the
-records together, and a third scan follows only if some record crosses a split.
+Where no line ends inside quotes (most files), one scan shows it and Spark's own
+reader does the rest. In others Python puts the records together, in one scan for
+the states and one for the records, and another only if some record crosses a
+split.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import cp1252_from_latin1
-from .delimited import parse_delimited_lines
+from .delimited import parse_delimited_lines, read_delimited
 
 _OWN = ("__file", "__block", "__line", "__out", "__in")
 _WHOLE, _OPENS, _THROUGH, _ENDS = range(4)
@@ -213,27 +214,33 @@ def quoted_records(spark: SparkSession, path: str | Sequence[str], sep: str = ";
     ends there. ``header`` leaves out each file's first record.
     """
     lines = _quote_lines(spark, path, sep, charset)
+    if not header and not _any_open(lines):
+        return _texts(lines.drop(*[c for c in _OWN if c != "__line"]), line_col)
+    return _texts(_joined(lines, header), line_col)
+
+
+def _any_open(lines: DataFrame) -> bool:
+    """Whether a line ends inside quotes: a file begins outside of them, so where none does from there, none does."""
+    return bool(lines.agg(F.bool_or("__out").alias("opens")).first()["opens"])
+
+
+def _joined(lines: DataFrame, header: bool) -> DataFrame:
+    """The folder columns and __line of every record, put together from lines."""
     extra = [F.col(f"`{c}`") for c in lines.columns if c not in _OWN]
-    # a file begins outside of quotes, so where no line ends inside, none does
-    if not header and not lines.agg(F.bool_or("__out").alias("opens")).first()["opens"]:
-        return _texts(lines.select(*extra, "__line"), line_col)
     inside, open_ends = _begin_inside(lines)
     rows = _records(lines, inside, pieces=False)
     rows = rows.select(*extra, "__head", "__line")
     # a record that opens in the last split has no split behind it; those before are followed by what they open
     upto = Window.partitionBy("__file").orderBy("__block", "__order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if not open_ends:  # no record crosses a split
-        rows = rows.filter(~F.col("__head")) if header else rows
-        return _texts(rows.drop("__head"), line_col)
+        return (rows.filter(~F.col("__head")) if header else rows).drop("__head")
     pieces = _records(lines, inside, pieces=True).withColumn("__order", (F.col("__kind") == _OPENS).cast("int"))
     pieces = pieces.withColumn("__owner", F.last(F.when(F.col("__kind") == _OPENS, F.col("__block")), ignorenulls=True).over(upto))
     joined = pieces.groupBy(*extra, "__file", "__owner").agg(
         F.max("__head").alias("__head"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__block", "__line"))), lambda p: p["__line"]), "\n").alias("__line"))
     rows = rows.unionByName(joined.select(*extra, "__head", "__line"))
-    if header:
-        rows = rows.filter(~F.col("__head"))
-    return _texts(rows.drop("__head"), line_col)
+    return (rows.filter(~F.col("__head")) if header else rows).drop("__head")
 
 
 def _texts(rows: DataFrame, line_col: str) -> DataFrame:
@@ -245,5 +252,11 @@ def _texts(rows: DataFrame, line_col: str) -> DataFrame:
 
 def read_quoted(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], sep: str = ";",
                 charset: str = "ISO-8859-1", header: bool = True, na_tokens: bool = True) -> DataFrame:
-    """``read_delimited`` of files whose quoted fields hold line breaks, split among all cores."""
-    return parse_delimited_lines(quoted_records(spark, path, sep, charset, header), columns, sep, "line", na_tokens)
+    """``read_delimited`` of files whose quoted fields may hold line breaks, split among all cores.
+
+    Where one scan of the lines finds that no field does, Spark's reader takes the lines as they are.
+    """
+    lines = _quote_lines(spark, path, sep, charset)
+    if not _any_open(lines):
+        return read_delimited(spark, path, columns, sep, charset, header, na_tokens, quoted_newlines=False)
+    return parse_delimited_lines(_texts(_joined(lines, header), "line"), columns, sep, "line", na_tokens)
