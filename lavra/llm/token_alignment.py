@@ -47,8 +47,9 @@ from lavra.llm.token_counts import PATTERN
 
 BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 MARK = "▁"
-HELD = 500_000  # units held per task, and those of a block more
-BLOCK = 1 << 22  # characters of texts aligned at a time
+HELD = 150_000  # units held per task, and those of a block more
+BLOCK = 1 << 20  # characters of texts aligned at a time
+TOKENS = 1 << 17  # A tokens of aligned rows scored at a time
 SHIFT = 20  # a pair of ids as one number: A id << SHIFT | B id
 BESIDE = -1  # number of a unit that makes its text to be encoded whole
 PLAIN = re.compile(r"[\n!-~\u00A1-\u00AC\u00AE-\u024F\u2010-\u2027]*").fullmatch
@@ -239,6 +240,17 @@ def align(docs: DataFrame, byte_model: str, piece_model: bytes) -> DataFrame:
         run, f"doc_id {kind}, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>")
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of aligned batches, up to TOKENS A tokens at a time or one row."""
+    for batch in batches:
+        upto = np.cumsum(batch.column(batch.schema.get_field_index("a_ids")).value_lengths().to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + TOKENS, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def _flat(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     """Values of a list column, and where each row's begin and the last one's end."""
     column = batch.column(batch.schema.get_field_index(name))
@@ -256,7 +268,7 @@ def _links(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 def link_counts(aligned: DataFrame) -> DataFrame:
     """a_id, b_id, n, best (n is the highest of b_id): links of every linked id pair in the corpus."""
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             pairs, n = np.unique(_links(batch)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n.astype(np.int64))], ["pair", "n"])
 
@@ -308,7 +320,7 @@ def score(aligned: DataFrame, counts: DataFrame, a_tokens: list[bytes], b_tokens
     def run(batches):
         known, n, best = shared.value
         writer = GroupText(*sizes)
-        for batch in batches:
+        for batch in _slices(batches):
             links, at = _links(batch)
             where = np.searchsorted(known, links)
 
