@@ -24,9 +24,10 @@ connected components of all links.
    copies takes as many comparisons as it has nodes and tokens, not the square.
 5. The token-group matrix holds each group's union of first tokens, with the
    sizes and the largest u of the group's nodes that have the token.
-   A node is bounded against every other group that shares a token; only
-   groups whose bound allows a link are opened, and the node is compared with
-   their nodes that pass step 3.
+   Groups that share a token are bounded against each other, and each node of
+   the one that has fewer there against the other; only groups whose bound
+   allows a link are opened, and the node is compared with their nodes that
+   pass step 3.
 6. Components of all links give the result.
 
 Tokens, nodes and pairs are keyed rows spread by hash; counts are pre-aggregated, joins on a
@@ -372,13 +373,18 @@ def link_nodes(docs: DataFrame, words: int = WORDS) -> tuple[DataFrame, DataFram
     member = (matrix.join(alive, "node", "left_semi").join(groups, "node", "left")
               .withColumn("g", F.coalesce("component", "node")).drop("component"))
     member = store(member, "member")  # token, node, n, rare, u, g
-    union = member.groupBy("token", "g").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"),
-                                             F.max("u").alias("u_max")).withColumnRenamed("g", "other")
-    # a node against the groups that share a token: the best case of any of their nodes
-    opened = (member.join(union, "token").filter(
-        (F.col("g") > F.col("other")) & (F.col("n") * 100 >= F.col("n_min") * PERCENT)
-        & (F.col("n_max") * 100 >= F.col("n") * PERCENT)
-        & ((F.col("n") + F.col("n_min")) * PERCENT <= F.least("u", "u_max") * (100 + PERCENT)))
+    # two groups that share a token, in the best case of any of their nodes; the one with fewer nodes there opens the other
+    union = member.groupBy("token", "g").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("n_min"),
+                                             F.max("n").alias("n_max"), F.max("u").alias("u_max"))
+    other = union.toDF("token", "other", "m_o", "n_min_o", "n_max_o", "u_max_o")
+    facing = union.join(other, "token").filter(
+        (F.struct("m", "g") < F.struct(F.col("m_o").alias("m"), F.col("other").alias("g")))
+        & (F.col("n_max") * 100 >= F.col("n_min_o") * PERCENT) & (F.col("n_max_o") * 100 >= F.col("n_min") * PERCENT)
+        & ((F.col("n_min") + F.col("n_min_o")) * PERCENT <= F.least("u_max", "u_max_o") * (100 + PERCENT)))
+    # and each of its nodes against that group
+    opened = (member.join(facing.select("token", "g", "other", "n_min_o", "n_max_o", "u_max_o"), ["token", "g"]).filter(
+        (F.col("n") * 100 >= F.col("n_min_o") * PERCENT) & (F.col("n_max_o") * 100 >= F.col("n") * PERCENT)
+        & ((F.col("n") + F.col("n_min_o")) * PERCENT <= F.least("u", "u_max_o") * (100 + PERCENT)))
         .select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("u").alias("ua"), "other"))
     inside = member.select("token", F.col("g").alias("other"), F.col("node").alias("b"), F.col("n").alias("nb"),
                            F.col("u").alias("ub"))
