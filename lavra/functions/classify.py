@@ -82,8 +82,9 @@ def first_match_regex(c: Column | str, rules: Sequence[tuple[str, str]], default
 
     if None in plain:
         return chain([text.rlike(flags + p) for p, _ in rules])
-    # as an array's element the folded text is one value, however many searches read it
-    return F.get(F.transform(F.array(_fold(text)), lambda t: chain([contains_any(t, x) for x in plain])), F.lit(0))
+    # in a projection Spark evaluates the folded text once for all searches, and compiles them
+    folded = _fold(text)
+    return chain([contains_any(folded, x) for x in plain])
 
 
 def first_match_set(c: Column | str, groups: Sequence[tuple[Sequence[str], str]],

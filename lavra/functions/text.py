@@ -56,7 +56,8 @@ def cp1252_from_latin1(c: Column | str) -> Column:
 
 def contains_any(text: Column, terms: Iterable[str]) -> Column:
     """Whether a text holds any of the terms, as plain byte searches."""
-    return reduce(lambda a, b: a | b, [text.contains(F.lit(t)) for t in terms], F.lit(False))
+    found = [text.contains(F.lit(t)) for t in terms]
+    return reduce(lambda a, b: a | b, found) if found else F.lit(False)
 
 
 def lower_contains_any(c: Column | str, terms: Iterable[str]) -> Column:
