@@ -123,3 +123,16 @@ def test_state_expires_behind_the_watermark(spark, tmp):
     put([("c", 2, day + timedelta(days=2))])
     put([("a", 9, day + timedelta(days=3))])  # a's state is gone
     assert ("a", 9) in updates()
+
+
+def test_keep_first_in_a_session_with_another_state_store(spark, tmp):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before, other = spark.conf.get(key), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    rows = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3)], "k string, n long")
+    rows.write.json(f"{tmp}/src")
+    spark.conf.set(key, other)
+    try:
+        got = stream_keep_first(spark, f"{tmp}/src", "k string, n long", ["k"], ["n"], f"{tmp}/lake")
+        assert rows_of(got) == [("a", 1), ("b", 3)] and spark.conf.get(key) == other
+    finally:
+        spark.conf.set(key, before)
