@@ -60,7 +60,7 @@ REGION = 0.3
 BITS = 1 << 26
 LOCAL_MIN = 3
 BLOCK_TOKENS = 2_000_000
-SEGMENT = 1 << 21
+SEGMENT = 1 << 18  # bytes of text hashed at a time: an array over them takes 2 MB
 
 _MULT = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_MULT, -1, 1 << 64)
@@ -170,6 +170,15 @@ def _nodes(doc: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return ids, n, _mix(a + _mix(b + n.astype(np.uint64))).view(np.int64)
 
 
+def _recurring(held: list[np.ndarray], least: int = LOCAL_MIN) -> tuple[np.ndarray, np.ndarray]:
+    """(token, count) of the tokens that occur ``least`` times or more; sorted in place, one copy of them at a time."""
+    token, back = np.concatenate(held), least - 1
+    held.clear()
+    token.sort()
+    token, n = np.unique(token[back:][token[back:] == token[:len(token) - back]], return_counts=True)
+    return token, (n + back).astype(np.int64)
+
+
 def _survey(docs: DataFrame, words: int) -> DataFrame:
     """kind 0: doc_id, row (text hash), n, node of every row; kind 1: token and count of recurring tokens."""
 
@@ -181,10 +190,9 @@ def _survey(docs: DataFrame, words: int) -> DataFrame:
         def recurring():
             nonlocal held, size, seen
             if held:
-                token, n = np.unique(np.concatenate(held), return_counts=True)
-                token, n = token[n >= LOCAL_MIN], n[n >= LOCAL_MIN]
+                token, n = _recurring(held)
                 if len(token):
-                    yield _batch(1, pa.nulls(len(token), kind), np.zeros(len(token), np.int64), n.astype(np.int64), token)
+                    yield _batch(1, pa.nulls(len(token), kind), np.zeros(len(token), np.int64), n, token)
             held, size, seen = [], 0, set()
 
         def _batch(k, ids, rows, n, node):

@@ -1,6 +1,10 @@
 import random
 import re
+import tracemalloc
 
+import numpy as np
+
+from lavra.llm import jaccard_join as jj
 from lavra.llm.jaccard_join import jaccard_components, keep_one
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -83,3 +87,20 @@ def test_keep_one(docs_of):
     assert out.columns == docs.columns
     assert sorted((r.doc_id, r.text) for r in out.collect() if r.text) == [(2, text + " more"), (8, "other words here now ok")]
     assert keep_one(docs.limit(0)).count() == 0
+
+
+def test_tokens_are_counted_and_texts_hashed_in_little_memory():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 2, 500):
+        held = [rng.integers(0, 150, size), rng.integers(0, 250, size)]
+        token, n = np.unique(np.concatenate(held), return_counts=True)
+        got = jj._recurring(held)
+        assert got[0].tolist() == token[n >= jj.LOCAL_MIN].tolist() and got[1].tolist() == n[n >= jj.LOCAL_MIN].tolist()
+    texts = [" ".join(map(str, rng.integers(0, 10**6, 300))) for _ in range(2000)]  # 4 MB
+    tracemalloc.start()
+    try:
+        count = sum(len(token) for _, _, token in jj.Shingler().sets(texts))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert count == sum(len(jj.Shingler().sets([t]).__next__()[2]) for t in texts) and peak < 30_000_000
