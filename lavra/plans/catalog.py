@@ -702,8 +702,11 @@ def q_ingest_replay(spark: SparkSession, d: str) -> DataFrame:
     landing, lake = scratch_path(spark, "replay_landing"), scratch_path(spark, "replay_lake")
     done = []
     for run in (1, 2):
-        (pages.filter(F.col("run") == run).drop("run").repartition("category", "window", "page").write.mode("append")
-         .partitionBy("category", "window", "page").json(landing))
+        name = F.concat_ws("/", F.col("category").cast("string"), "window", F.concat(F.lit("page_"), F.col("page").cast("string"), F.lit(".json")))
+        # a name for each run, so that a page that failed in the first is not lost when it lands in the second
+        name = F.replace(name, F.lit("page_"), F.lit(f"run_{run}_page_"))
+        land_texts(pages.filter(F.col("run") == run).repartition("category", "window", "page")
+                   .select(name.alias("name"), F.to_json(F.struct("data", "totalPaginas", "error")).alias("text")), landing)
         procurement.ingest(spark, landing, lake, years, ingest_date=f"2024-01-0{run}").write.format("noop").mode(
             "overwrite").save()
         committed = scratch_path(spark, "replay_committed")  # the ledger as this run left it
@@ -711,8 +714,9 @@ def q_ingest_replay(spark: SparkSession, d: str) -> DataFrame:
         done.append(spark.read.parquet(committed).withColumn(f"run_{run}", F.lit(True)))
     windows = pages.select(F.concat_ws(":", F.col("category").cast("string"), F.replace("window", F.lit("_"), F.lit(":")))
                            .alias("key")).distinct()
-    rows = (procurement.read_bronze(spark, lake).groupBy(procurement._window_key(F.col("source_file")).alias("key"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    # the window is read off a page's path once, not for each of its rows
+    rows = (procurement.read_bronze(spark, lake).groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy(procurement._window_key(F.col("source_file")).alias("key")).agg(F.sum("n").alias("n")))
     return (windows.join(done[0], "key", "left").join(done[1], "key", "left").join(rows, "key", "left")
             .select("key", *[F.coalesce(f"run_{r}", F.lit(False)).alias(f"committed_{r}") for r in (1, 2)],
                     F.coalesce("n", F.lit(0)).alias("bronze_rows")))

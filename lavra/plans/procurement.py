@@ -17,7 +17,7 @@ from .. import config
 from ..functions import first_match_regex, lower_contains_any, parse_iso
 from ..operators import (commit_keys, flatten_json, grouped_report, keep_first, pending,
                          read_ledger, reset_ledger, window_diagnostics, window_plan)
-from ..sources.jsonl import missing_path
+from ..sources.jsonl import missing_path, page_reader
 from ..sources.snapshots import publish, read_snapshot
 
 PAYLOAD_SCHEMA = """
@@ -144,7 +144,7 @@ def landed_pages(spark: SparkSession, folders: list[str]) -> DataFrame:
     """One row per page of the given window folders: key, page, records as JSON text, total, error."""
     if not folders:
         return spark.createDataFrame([], f"key string, page int, source_file string, {PAGE_SCHEMA}")
-    pages = (spark.read.schema(PAGE_SCHEMA).option("multiLine", "true").option("pathGlobFilter", "*.json")
+    pages = (page_reader(spark, PAGE_SCHEMA).option("pathGlobFilter", "*.json")
              .option("recursiveFileLookup", "true").json(folders)
              .withColumn("source_file", F.col("_metadata.file_path")))
     return pages.select(_window_key(F.col("source_file")).alias("key"),

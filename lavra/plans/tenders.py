@@ -77,5 +77,7 @@ def silver(bronze: DataFrame) -> DataFrame:
         typed["dt_ingestao"] = parse_iso("dt_ingestao")
     out = bronze.withColumns(typed)
     text_cols = [c for c, t in out.dtypes if t == "string"]
-    out = out.withColumns({c: strip_unicode(c) for c in text_cols})
-    return distinct_rows(out)
+    # stripped as one array: an expression for each column would make a method too long for the JVM to compile
+    out = out.withColumn("__texts", F.transform(F.array(*[F.col(f"`{c}`") for c in text_cols]), strip_unicode))
+    out = out.withColumns({c: F.get("__texts", F.lit(i)) for i, c in enumerate(text_cols)})
+    return distinct_rows(out.drop("__texts"))

@@ -100,9 +100,12 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], columns: Sequ
     odd = F.col(_RAW).isNotNull()
     # always true, but it names a data column: Spark refuses to read the record's text alone
     named = F.coalesce(F.col(f"`{columns[0]}`"), F.lit("")) >= ""
-    return (rows.filter(named & (~odd | _fits(F.col("__r"), columns)))
-            .select(*others, *[_cell(text(F.when(odd, F.col("__r")[c]).otherwise(F.col(f"`{c}`"))), na_tokens).alias(c)
-                               for c in columns]))
+    # one array of cells, each cleaned by the same small expression: written out for every column they
+    # make one method of generated code too long for the JVM to compile
+    fields = F.array(*[F.when(odd, F.col("__r")[c]).otherwise(F.col(f"`{c}`")) for c in columns])
+    cells = F.transform(fields, lambda x: _cell(text(x), na_tokens))
+    kept = rows.filter(named & (~odd | _fits(F.col("__r"), columns))).select(*others, F.explode(F.array(cells)).alias("__cells"))
+    return kept.select(*others, *[F.get("__cells", F.lit(i)).alias(c) for i, c in enumerate(columns)])
 
 
 _WHOLE = r"^\s*[+-]?\d{1,18}\s*$"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
@@ -22,14 +22,26 @@ def missing_path(exc: AnalysisException) -> bool:
     return exc.getCondition() == "PATH_NOT_FOUND"
 
 
+# no JSON text holds it raw, so a file without it is read as one record
+_FILE_END = "\u0000"
+
+
+def page_reader(spark: SparkSession, schema: StructType | str) -> DataFrameReader:
+    """Reader of files of one JSON value each, however many lines it spans.
+
+    Spark's multi-line reader opens the file again for every raw text (an object
+    read as a string) in it; a record held as bytes has its raw texts copied out.
+    """
+    return spark.read.schema(schema).option("lineSep", _FILE_END)
+
+
 def read_envelope_pages(spark: SparkSession, path: str, rows_field: str = "data") -> DataFrame:
     """Paged API responses ``{data:[…], totalPaginas}`` → one row per record.
 
     Each record is kept as its JSON text (a string field captures the raw
     object), with the page file it came from and its position in the page.
     """
-    pages = (spark.read.schema(f"`{rows_field}` array<string>, totalPaginas bigint")
-             .option("multiLine", "true").json(path)
+    pages = (page_reader(spark, f"`{rows_field}` array<string>, totalPaginas bigint").json(path)
              .withColumn("source_file", F.col("_metadata.file_path")))
     return pages.select("source_file", "totalPaginas",
                         F.posexplode(rows_field).alias("position", "payload"))
@@ -51,7 +63,7 @@ def esri_features(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 def read_esri_pages(spark: SparkSession, path: str) -> DataFrame:
     """ESRI query pages ``{features:[{attributes, geometry}]}`` → one row per feature."""
-    pages = (spark.read.schema(ESRI_SCHEMA).option("multiLine", "true").json(path)
+    pages = (page_reader(spark, ESRI_SCHEMA).json(path)
              .withColumn("source_file", F.col("_metadata.file_path")))
     return pages.select("source_file", F.posexplode("features").alias("position", "f")) \
                 .select("source_file", "position", "f.attributes",
