@@ -50,6 +50,7 @@ MARK = "▁"
 HELD = 150_000  # units held per task, and those of a block more
 BLOCK = 1 << 20  # characters of texts aligned at a time
 TOKENS = 1 << 17  # A tokens of aligned rows scored at a time
+JOINED = 500  # plain units encoded in one call
 SHIFT = 20  # a pair of ids as one number: A id << SHIFT | B id
 BESIDE = -1  # number of a unit that makes its text to be encoded whole
 PLAIN = re.compile(r"[\n!-~\u00A1-\u00AC\u00AE-\u024F\u2010-\u2027]*").fullmatch
@@ -72,8 +73,12 @@ def byte_tokens(model: str) -> list[bytes]:
     """Bytes of every id of a byte-level tokenizer."""
     from tokenizers import Tokenizer
 
+    return _byte_tokens(Tokenizer.from_str(model))
+
+
+def _byte_tokens(tokenizer) -> list[bytes]:
     alphabet = byte_alphabet()
-    vocab = Tokenizer.from_str(model).get_vocab(with_added_tokens=False)
+    vocab = tokenizer.get_vocab(with_added_tokens=False)
     out = [b""] * (max(vocab.values()) + 1)
     for piece, i in vocab.items():
         out[i] = bytes(alphabet[c] for c in piece)
@@ -82,7 +87,10 @@ def byte_tokens(model: str) -> list[bytes]:
 
 def piece_tokens(model: bytes) -> list[bytes]:
     """Bytes of every id of a piece model: the space mark is a space, <0xHH> the byte HH."""
-    sp = _pieces(model)
+    return _piece_tokens(_pieces(model))
+
+
+def _piece_tokens(sp) -> list[bytes]:
     return [bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i)
             else sp.id_to_piece(i).replace(MARK, " ").encode() for i in range(sp.vocab_size())]
 
@@ -120,7 +128,8 @@ class Units:
         self.a = Tokenizer.from_str(byte_model)
         self.a.encode_special_tokens = True
         self.b = _pieces(piece_model)
-        self.a_bytes, self.b_bytes = byte_tokens(byte_model), piece_tokens(piece_model)
+        self.a_bytes, self.b_bytes = _byte_tokens(self.a), _piece_tokens(self.b)
+        self.lengths = [np.array([len(t) for t in x], np.int64) for x in (self.a_bytes, self.b_bytes)]
         ranks = {t: i for i, t in enumerate(self.a_bytes)}
         self.fast = tiktoken.Encoding("units", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.clear()
@@ -130,35 +139,54 @@ class Units:
         self.ids = array("i"), array("i")
         self.ends = array("q", [0]), array("q", [0])
 
-    def _encode(self, units: list[str]) -> list[list[int]]:
-        """A ids of space + unit. Ranks of merged tokens give the merges' order, so the fast encoder's ids are the
-        library's own; only units of characters on which their regexes are known to agree are given to it."""
-        out = [self.fast(" " + u) if PLAIN(u) else None for u in units]
-        odd = [i for i, ids in enumerate(out) if ids is None]
-        for i, e in zip(odd, self.a.encode_batch([" " + units[i] for i in odd], add_special_tokens=False), strict=True):
-            out[i] = e.ids
-        return out
+    def _encode(self, plain: list[str], odd: list[str], ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A ids of space + unit one after the other, and how many each unit has. Ranks of merged tokens give the merges'
+        order, so the fast encoder's ids are the library's own; only units of characters on which their regexes are known
+        to agree are given to it, many at a time. ends: the plain units' cumulative ends in bytes."""
+        flat = [np.fromiter(self.fast(" " + " ".join(plain[i:i + JOINED])), np.int32) for i in range(0, len(plain), JOINED)]
+        flat = np.concatenate([np.zeros(0, np.int32), *flat])
+        upto = np.cumsum(self.lengths[0][flat])
+        at = np.searchsorted(upto, ends, side="right")
+        slow = odd
+        if not np.array_equal(np.concatenate([[0], upto])[at], ends):  # a token crosses from a unit to the next
+            flat, at, slow = flat[:0], at[:0], plain + odd
+        coded = [e.ids for e in self.a.encode_batch([" " + u for u in slow], add_special_tokens=False)]
+        n = np.concatenate([np.diff(at, prepend=0), np.fromiter(map(len, coded), np.int64, len(coded))])
+        return np.concatenate([flat, np.fromiter(chain.from_iterable(coded), np.int32)]), n
 
     def _learn(self, keys: list, units: list[str]) -> None:
         """Encodes units (space + unit) and numbers them; None for those whose tokens spell something else."""
-        for a, b, key, unit in zip(self._encode(units), self.b.encode(units), keys, units, strict=True):
-            if not b" " + unit.encode() == b"".join([self.a_bytes[i] for i in a]) == b"".join([self.b_bytes[i] for i in b]):
-                self.known[key] = None
-                continue
-            self.known[key] = len(self.ends[0]) - 1
-            self.ids[0].fromlist(a)
-            self.ids[1].fromlist(b)
-            self.ends[0].append(len(self.ids[0]))
-            self.ends[1].append(len(self.ids[1]))
+        alike = list(map(PLAIN, units))
+        plain, odd = [u for u, p in zip(units, alike, strict=True) if p], [u for u, p in zip(units, alike, strict=True) if not p]
+        keys = [k for k, p in zip(keys, alike, strict=True) if p] + [k for k, p in zip(keys, alike, strict=True) if not p]
+        units = plain + odd
+        spelled = [(" " + u).encode() for u in units]
+        size = np.fromiter(map(len, spelled), np.int64, len(units))
+        pieces = self.b.encode(units)
+        n = np.fromiter(map(len, pieces), np.int64, len(units))
+        coded = self._encode(plain, odd, np.cumsum(size[:len(plain)])), (np.fromiter(chain.from_iterable(pieces), np.int32), n)
+        good = np.ones(len(units), bool)
+        for tokens, lengths, (flat, n) in zip((self.a_bytes, self.b_bytes), self.lengths, coded, strict=True):
+            end = np.cumsum(n)
+            good &= np.diff(np.concatenate([[0], np.cumsum(lengths[flat])])[end], prepend=0) == size
+            # with every unit's size right, the units are right if all bytes in a row are
+            if not good.all() or b"".join(map(tokens.__getitem__, flat.tolist())) != b"".join(spelled):
+                good &= [b"".join([tokens[t] for t in flat[e - k:e].tolist()]) == u
+                         for e, k, u in zip(end.tolist(), n.tolist(), spelled, strict=True)]
+        self.known.update(zip(keys, (len(self.ends[0]) - 2 + np.cumsum(good)).tolist(), strict=True))
+        self.known.update((keys[i], None) for i in np.flatnonzero(~good).tolist())
+        for side, (flat, n) in enumerate(coded):
+            self.ends[side].frombytes((len(self.ids[side]) + np.cumsum(n[good])).astype(np.int64).tobytes())
+            self.ids[side].frombytes(flat[np.repeat(good, n)].tobytes())
 
     def numbers(self, texts: list[str]) -> list[list[int]]:
         """The numbers of each text's units, or of the text as one; none where tokens spell something else."""
         if len(self.known) > HELD or len(self.ids[0]) > 8 * HELD:
             self.clear()
         parts = [t.split(" ") if t else [] for t in texts]
-        new = {u for p in parts for u in p}.difference(self.known)
+        new = set().union(*parts).difference(self.known)
         # a unit that is empty or begins or ends with white space has a space next to other white space
-        beside = {u for u in new if not u or u[0].isspace() or u[-1].isspace()}
+        beside = {u for u in new if not u or len(u.strip()) < len(u)}
         self.known.update(dict.fromkeys(beside, BESIDE))
         new = list(new - beside)
         self._learn(new, new)
@@ -182,7 +210,6 @@ class Aligner:
 
     def __init__(self, byte_model: str, piece_model: bytes):
         self.units = Units(byte_model, piece_model)
-        self.lengths = [np.array([len(t) for t in x], np.int64) for x in (self.units.a_bytes, self.units.b_bytes)]
 
     def align(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """(values, numbers per text) of a_ids, b_ids, a_sizes and b_sizes."""
@@ -195,7 +222,7 @@ class Aligner:
             found, size = self.units.joined(side, flat)
             ids.append(found)
             per_text.append(np.bincount(text, weights=size, minlength=len(texts)).astype(np.int64))
-            ends.append(np.cumsum(self.lengths[side][found]))
+            ends.append(np.cumsum(self.units.lengths[side][found]))
         # end -> index: an end is its own hash, so the dictionary is a table addressed by it; 0 is no entry
         for e in ends:
             table = np.zeros(int(ends[0][-1]) + 1 if len(flat) else 1, np.int32)

@@ -85,3 +85,26 @@ def test_groups_and_pairs_stay_within_bounds(docs_of, models):
 def test_empty_and_blocks(docs_of, models):
     assert ta.align_and_score(docs_of(["a"]).limit(0), *models).count() == 0
     assert [len(b) for b in ta._blocks(["a" * ta.BLOCK, "b", None, "c" * ta.BLOCK])] == [1, 2, 1]
+
+
+def test_plain_units_are_encoded_many_at_a_time(models):
+    """One call of the fast encoder for many new units, with the ids that one call for each would give."""
+    units = ta.Units(*models)
+    calls, fast = [], units.fast
+    units.fast = lambda text: calls.append(text) or fast(text)
+    words = [f"word{i} x{i}, ñandú{i}" for i in range(700)]
+    found = units.numbers([" ".join(words), "a▁b c", "漢字 word1"])
+    assert len(calls) <= 2100 // ta.JOINED + 2 and found[1] == []
+    for unit in ("word1", "x699,", "ñandú3", "漢字"):
+        ids, _ = units.joined(0, ta.np.array([units.known[unit]]))
+        assert ids.tolist() == units.a.encode(" " + unit, add_special_tokens=False).ids
+
+
+def test_units_that_run_together_are_encoded_alone(models):
+    """An encoder whose token crosses from a unit to the next isn't believed."""
+    units = ta.Units(*models)
+    want = {u: units.a.encode(" " + u, add_special_tokens=False).ids for u in ("ab", "cd", "ef")}
+    whole = units.a_bytes.index(b" the")
+    units.fast = lambda text: [whole] * (len(text) // 4)
+    units.numbers(["ab cd ef"])
+    assert all(units.joined(0, ta.np.array([units.known[u]]))[0].tolist() == ids for u, ids in want.items())
