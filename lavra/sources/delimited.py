@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -37,6 +37,23 @@ def _cell(c: Column, na_tokens: bool) -> Column:
     return na_tokens_to_null(c) if na_tokens else c
 
 
+def _cells(raw: Column, columns: Sequence[str], sep: str, cell: Callable[[Column], Column]) -> Column:
+    """A record's text → array of its cells; null with a field too many.
+
+    The parsed record is a lambda's variable, so each text is parsed once. Tested in a filter, its fields
+    would become columns of the plan, and the optimizer would derive a condition for every set of them.
+    """
+    return F.get(F.transform(F.array(_marked(raw, columns, sep)), lambda r: F.when(
+        _fits(r, columns), F.array(*[cell(r[c]) for c in columns]))), F.lit(0))
+
+
+def _spread(rows: DataFrame, others: Sequence[Column], cells: Column, columns: Sequence[str]) -> DataFrame:
+    """The other columns and the array's cells as columns; rows without an array are left out."""
+    # explode(array(x)) is a generator the optimizer will not fold into the accesses to the cells
+    kept = rows.select(*others, F.explode(F.array(cells)).alias("__cells")).filter(F.col("__cells").isNotNull())
+    return kept.select(*others, *[F.get("__cells", F.lit(i)).alias(c) for i, c in enumerate(columns)])
+
+
 def parse_delimited_lines(lines: DataFrame, columns: Sequence[str], sep: str = ";",
                           line_col: str = "line", na_tokens: bool = True) -> DataFrame:
     """Text lines → all-text columns with the spreadsheet-tool bad-line policy.
@@ -46,11 +63,7 @@ def parse_delimited_lines(lines: DataFrame, columns: Sequence[str], sep: str = "
     once. Every other column of ``lines`` passes through.
     """
     others = [F.col(f"`{c}`") for c in lines.columns if c != line_col]
-    # explode(array(x)) is a generator the optimizer will not fold into the
-    # field accesses below, so each line is parsed once (not once per field)
-    kept = lines.select(*others, F.explode(F.array(_marked(F.col(line_col), columns, sep))).alias("__r"))
-    return (kept.filter(_fits(F.col("__r"), columns))
-            .select(*others, *[_cell(F.col("__r")[c], na_tokens).alias(c) for c in columns]))
+    return _spread(lines, others, _cells(F.col(line_col), columns, sep, lambda c: _cell(c, na_tokens)), columns)
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str], charset: str = "ISO-8859-1",
@@ -94,18 +107,13 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], columns: Sequ
     def text(c: Column) -> Column:
         return c if spark_charset == charset else cp1252_from_latin1(c)
 
+    def cell(c: Column) -> Column:
+        return _cell(text(c), na_tokens)
+
     # only records with another number of fields are looked at again
-    again = F.when(F.col(_RAW).isNotNull(), _marked(F.col(_RAW), columns, sep))
-    rows = raw.select(*others, _RAW, *[F.col(f"`{c}`") for c in columns], F.explode(F.array(again)).alias("__r"))
-    odd = F.col(_RAW).isNotNull()
-    # always true, but it names a data column: Spark refuses to read the record's text alone
-    named = F.coalesce(F.col(f"`{columns[0]}`"), F.lit("")) >= ""
-    # one array of cells, each cleaned by the same small expression: written out for every column they
-    # make one method of generated code too long for the JVM to compile
-    fields = F.array(*[F.when(odd, F.col("__r")[c]).otherwise(F.col(f"`{c}`")) for c in columns])
-    cells = F.transform(fields, lambda x: _cell(text(x), na_tokens))
-    kept = rows.filter(named & (~odd | _fits(F.col("__r"), columns))).select(*others, F.explode(F.array(cells)).alias("__cells"))
-    return kept.select(*others, *[F.get("__cells", F.lit(i)).alias(c) for i, c in enumerate(columns)])
+    own = F.transform(F.array(*[F.col(f"`{c}`") for c in columns]), cell)
+    again = _cells(F.col(_RAW), columns, sep, cell)
+    return _spread(raw, others, F.when(F.col(_RAW).isNull(), own).otherwise(again), columns)
 
 
 _WHOLE = r"^\s*[+-]?\d{1,18}\s*$"
