@@ -694,7 +694,7 @@ def q_procurement_report(spark: SparkSession, d: str) -> DataFrame:
 def q_ingest_replay(spark: SparkSession, d: str) -> DataFrame:
     """Two ingest runs over landed pages: which windows each run commits, and the rows bronze ends with."""
     from . import procurement
-    from .driver_bronze import landed_replay
+    from .driver_bronze import landed_replay, replay_files
     staged = scratch_path(spark, "replay_pages")
     landed_replay(spark, d).write.mode("overwrite").parquet(staged)
     pages = spark.read.parquet(staged)
@@ -702,11 +702,7 @@ def q_ingest_replay(spark: SparkSession, d: str) -> DataFrame:
     landing, lake = scratch_path(spark, "replay_landing"), scratch_path(spark, "replay_lake")
     done = []
     for run in (1, 2):
-        name = F.concat_ws("/", F.col("category").cast("string"), "window", F.concat(F.lit("page_"), F.col("page").cast("string"), F.lit(".json")))
-        # a name for each run, so that a page that failed in the first is not lost when it lands in the second
-        name = F.replace(name, F.lit("page_"), F.lit(f"run_{run}_page_"))
-        land_texts(pages.filter(F.col("run") == run).repartition("category", "window", "page")
-                   .select(name.alias("name"), F.to_json(F.struct("data", "totalPaginas", "error")).alias("text")), landing)
+        land_texts(replay_files(pages, run), landing)
         procurement.ingest(spark, landing, lake, years, ingest_date=f"2024-01-0{run}").write.format("noop").mode(
             "overwrite").save()
         committed = scratch_path(spark, "replay_committed")  # the ledger as this run left it

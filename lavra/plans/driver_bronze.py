@@ -96,6 +96,25 @@ def landed_replay(spark: SparkSession, d: str) -> DataFrame:
     return real.unionByName(failed).unionByName(empty)
 
 
+# pages that a fetcher writes to one file; a page has some hundred records
+FILE_PAGES = 16
+
+
+def replay_files(pages: DataFrame, run: int) -> DataFrame:
+    """name, text of the files that a run lands: FILE_PAGES pages of a window in each, as an array of envelopes.
+
+    The run is part of the name, so that a page that failed in the first is not lost when it lands in the second.
+    """
+    envelope = F.to_json(F.struct(F.col("page").alias("numeroPagina"), "data", "totalPaginas", "error"))
+    files = (pages.filter(F.col("run") == run).withColumn("text", envelope)
+             .groupBy("category", "window", F.floor((F.col("page") - 1) / FILE_PAGES).alias("part"))
+             .agg(F.array_sort(F.collect_list(F.struct("page", "text"))).alias("texts")))
+    name = F.concat_ws("/", F.col("category").cast("string"), "window",
+                       F.concat(F.lit(f"run_{run}_part_"), F.col("part").cast("string"), F.lit(".json")))
+    return files.select(name.alias("name"), F.concat(F.lit("["), F.array_join(F.transform("texts", lambda t: t["text"]), ","),
+                                                     F.lit("]")).alias("text"))
+
+
 # Mining claims derived from orders (attributes) and customers (geometry).
 OTHER_SUBSTANCE = "OURO"
 OTHER_PHASE = "DISPONIBILIDADE"

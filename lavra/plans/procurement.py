@@ -111,9 +111,10 @@ def categories(spark: SparkSession) -> DataFrame:
 
 # landing/<category>/<start>_<end>/page_<n>.json, or the same as partition folders
 # (category=…/window=…_…/page=<n>/part-….json); a failed call lands an envelope with
-# ``error``, or a file ending in .error
+# ``error``, or a file ending in .error. A file that names no page may hold an array of
+# envelopes, each with its numeroPagina: small pages need no file each
 _WINDOW = r"/(?:category=)?(\d+)/(?:window=)?(\d{8})_(\d{8})/"
-PAGE_SCHEMA = "data array<string>, totalPaginas bigint, error string"
+PAGE_SCHEMA = "data array<string>, totalPaginas bigint, error string, numeroPagina int"
 
 
 def _window_key(path: Column) -> Column:
@@ -143,13 +144,15 @@ def landed_folders(spark: SparkSession, landing: str) -> DataFrame:
 def landed_pages(spark: SparkSession, folders: list[str]) -> DataFrame:
     """One row per page of the given window folders: key, page, records as JSON text, total, error."""
     if not folders:
-        return spark.createDataFrame([], f"key string, page int, source_file string, {PAGE_SCHEMA}")
+        return spark.createDataFrame([], "key string, page int, source_file string, data array<string>, totalPaginas bigint, error string")
     pages = (page_reader(spark, PAGE_SCHEMA).option("pathGlobFilter", "*.json")
              .option("recursiveFileLookup", "true").json(folders)
              .withColumn("source_file", F.col("_metadata.file_path")))
-    return pages.select(_window_key(F.col("source_file")).alias("key"),
-                        F.regexp_extract("source_file", r"page[_=](\d+)", 1).try_cast("int").alias("page"),
-                        "source_file", "data", "totalPaginas", "error")
+    named = F.regexp_extract("source_file", r"page[_=](\d+)", 1).try_cast("int")
+    # the records of a file's pages are numbered from 0 in each page, so the page is part of what they come from
+    source = F.when(named.isNull() & F.col("numeroPagina").isNotNull(), F.concat_ws("#", "source_file", "numeroPagina"))
+    return pages.select(_window_key(F.col("source_file")).alias("key"), F.coalesce(named, "numeroPagina").alias("page"),
+                        F.coalesce(source, "source_file").alias("source_file"), "data", "totalPaginas", "error")
 
 
 STAGE = ("key string, page int, source_file string, totalPaginas bigint, error string, good boolean, rows_seen int, "

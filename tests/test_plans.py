@@ -52,6 +52,46 @@ def _land(landing, cat, start, end, page, rows, total=1):
         json.dump({"data": rows, "totalPaginas": total}, fh)
 
 
+def test_a_landed_file_may_hold_several_pages(spark, tmp):
+    folder, lake = f"{tmp}/landing/4/20240101_20240131", f"{tmp}/lake"
+    os.makedirs(folder)
+
+    def land(name, pages):
+        with open(f"{folder}/{name}.json", "w") as fh:
+            json.dump(pages, fh)
+
+    def notice(x):
+        return {"numeroControlePNCP": x, "objetoCompra": "obra"}
+
+    def ingest(day):
+        found = procurement.ingest(spark, f"{tmp}/landing", lake, [2024], ingest_date=day).collect()
+        return next(r for r in found if r.category == "Concorrência Eletrônica")
+
+    first = {"numeroPagina": 1, "data": [notice("a"), notice("b")], "totalPaginas": 3}
+    third = {"numeroPagina": 3, "data": [notice("c")], "totalPaginas": 3}
+    land("run_1", [first, {"numeroPagina": 2, "error": "HTTP 500"}, third])
+    got = ingest("2024-02-01")
+    assert (got.evaluated, got.found, got.with_event) == (3, 3, 1)
+    assert procurement.read_ledger(spark, f"{lake}/_ledger", "procurement").count() == 0
+    land("run_2", [{"numeroPagina": 2, "data": [notice("a"), notice("d")], "totalPaginas": 3}])
+    ingest("2024-02-02")
+    assert [r.key for r in procurement.read_ledger(spark, f"{lake}/_ledger", "procurement").collect()] == ["4:20240101:20240131"]
+    rows = procurement.read_bronze(spark, lake).filter("dt_ingestao = '2024-02-02'").collect()
+    assert sorted((r.source_file.rsplit("/", 1)[1], r.position) for r in rows) == [
+        ("run_1.json#1", 0), ("run_1.json#1", 1), ("run_1.json#3", 0), ("run_2.json#2", 0), ("run_2.json#2", 1)]
+    assert procurement.silver_from_bronze(procurement.read_bronze(spark, lake)).count() == 4
+
+
+def test_replay_lands_many_pages_in_few_files(spark):
+    from lavra.plans.driver_bronze import FILE_PAGES, replay_files
+    pages = spark.range(1, 41).selectExpr("4 as category", "'20240101_20240131' as window", "cast(id as int) as page", "1 as run",
+                                          "array(named_struct('objetoCompra', 'obra')) as data", "40L as totalPaginas", "cast(null as string) as error")
+    files = {r.name: json.loads(r.text) for r in replay_files(pages, 1).collect()}
+    assert sorted(files) == [f"4/20240101_20240131/run_1_part_{i}.json" for i in range(3)] and FILE_PAGES == 16
+    assert [p["numeroPagina"] for _, f in sorted(files.items()) for p in f] == list(range(1, 41))
+    assert replay_files(pages, 2).count() == 0
+
+
 def test_procurement_ingest_commit_after_write(spark, tmp):
     landing, lake = f"{tmp}/landing", f"{tmp}/lake"
     _land(landing, 4, "20240101", "20240131", 1,
